@@ -1,4 +1,4 @@
-from quillframe.functions.hashing import hash_hex, hash_normal, hash_unit
+from quillframe.functions.hashing import hash_below, hash_hex, hash_normal, hash_unit
 from quillframe.functions.scalars import (
     confidence_bar,
     map_codes,
@@ -13,6 +13,7 @@ from quillframe.functions.scalars import (
 
 __all__ = [
     "confidence_bar",
+    "hash_below",
     "hash_hex",
     "hash_normal",
     "hash_unit",

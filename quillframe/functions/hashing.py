@@ -26,6 +26,14 @@ def hash_unit(key: Sequence[str | Column], seed: int, tag: str = "") -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+def hash_below(key: Sequence[str | Column], share: float, seed: int, tag: str = "") -> Column:
+    """True for a ``share`` of rows: ``hash_unit(...) < share`` without parsing the digits."""
+    threshold = math.ceil(share * (1 << 32))
+    if threshold >= 1 << 32:
+        return F.lit(True)
+    return F.substring(hash_hex(key, seed, tag), 1, 8) < F.lit(f"{max(threshold, 0):08x}")
+
+
 def hash_normal(key: Sequence[str | Column], seed: int, tag: str = "") -> Column:
     """A standard normal draw (Box-Muller on two independent choices)."""
     radius = F.sqrt(-2 * F.log(1 - hash_unit(key, seed, tag + "/radius")))

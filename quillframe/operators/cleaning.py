@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillframe.functions.hashing import hash_unit
+from quillframe.functions.hashing import hash_below
 from quillframe.functions.scalars import map_codes
 from quillframe.operators.joins import MAX_BROADCAST_ROWS, join_small
 from quillframe.operators.ordered import add_row_index
 from quillframe.operators.quantiles import quantiles
 from quillframe.operators.sampling import sample_n
+from quillframe.sources.artifacts import materialize
 
 
 def is_missing(df: DataFrame, col: str) -> Column:
@@ -30,7 +31,7 @@ def inject_nulls(
 ) -> DataFrame:
     """Blank a seeded share of the named columns."""
     blanked = {
-        c: F.when(hash_unit(key, seed, f"null/{c}") >= share, F.col(c))
+        c: F.when(~hash_below(key, share, seed, f"null/{c}"), F.col(c))
         for c, share in fractions.items()
     }
     return df.select(*[blanked.get(c, F.col(c)).alias(c) for c in df.columns])
@@ -156,9 +157,10 @@ def clean(
     """De-duplicate, fill missing cells, cast, and number the rows.
 
     Returns the clean table and its report: rows before, after and removed, missing cells before
-    and after.
+    and after. Distinct rows cost a shuffle of the whole table, so they are written out once; the
+    medians then read their own columns only.
     """
-    distinct = drop_duplicates(df)
+    distinct = materialize(drop_duplicates(df), "distinct")
     filled = cast_columns(impute_median(distinct, impute, exact=exact), types)
     result = add_row_index(filled, key)
 

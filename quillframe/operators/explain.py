@@ -243,13 +243,57 @@ def _condition(feature: str, edges: Sequence[float], i: int) -> str:
     return f"{edges[i - 1]:.2f} < {feature} <= {edges[i]:.2f}"
 
 
-def _ridge(z: np.ndarray, y: np.ndarray, w: np.ndarray, alpha: float) -> tuple[np.ndarray, float]:
-    """Weighted ridge with a free intercept."""
-    zm, ym = np.average(z, axis=0, weights=w), np.average(y, weights=w)
-    zc, yc = z - zm, y - ym
-    gram = (zc * w[:, None]).T @ zc + alpha * np.eye(z.shape[1])
-    coef = np.linalg.solve(gram, (zc * w[:, None]).T @ yc)
-    return coef, float(ym - zm @ coef)
+def _solver(
+    keys: list[str],
+    names: list[str],
+    conditions: dict[str, list[str]],
+    k: int,
+    alpha: float,
+    is_class: bool,
+) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The per-row fit. Everything it needs is nested here, so workers import nothing of ours."""
+    width = math.sqrt(len(names)) * 0.75
+
+    def ridge(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, float]:
+        zm, ym = np.average(z, axis=0, weights=w), np.average(y, weights=w)
+        zw = (z - zm) * w[:, None]
+        coef = np.linalg.solve(zw.T @ (z - zm) + alpha * np.eye(z.shape[1]), zw.T @ (y - ym))
+        return coef, float(ym - zm @ coef)
+
+    def explain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_sample", ignore_index=True)
+        z = np.vstack(pdf["_z"].to_numpy())
+        y = pdf["_score"].to_numpy(float)
+        if is_class and pdf["prediction"].iloc[0] != 1:
+            y = 1.0 - y
+        distance = np.sqrt((1.0 - z).sum(axis=1))
+        w = np.sqrt(np.exp(-(distance**2) / width**2))
+        weights, _ = ridge(z, y, w)
+        chosen = np.argsort(-np.abs(weights), kind="stable")[:k]
+        weights, intercept = ridge(z[:, chosen], y, w)
+        fitted = z[:, chosen] @ weights + intercept
+        spread = np.average((y - np.average(y, weights=w)) ** 2, weights=w)
+        fit = 1.0 - np.average((y - fitted) ** 2, weights=w) / spread if spread > 0 else 0.0
+        order = np.argsort(-np.abs(weights), kind="stable")
+        own = pdf["_own"].iloc[0]
+        features = [names[chosen[i]] for i in order]
+        return pd.DataFrame(
+            {
+                **{c: pdf[c].iloc[0] for c in keys},
+                "rank": np.arange(1, len(order) + 1),
+                "feature": features,
+                "condition": [
+                    conditions[f][own[chosen[i]]] for f, i in zip(features, order, strict=True)
+                ],
+                "weight": weights[order],
+                "intercept": intercept,
+                "local_prediction": fitted[0],
+                "model_prediction": y[0],
+                "fit_r2": fit,
+            }
+        )
+
+    return explain
 
 
 def local_surrogate(
@@ -330,42 +374,9 @@ def local_surrogate(
         *key, "_sample", "_z", "_own", "prediction", "_score"
     )
     is_class = "probabilityCol" in [p.name for p in getattr(model, "stages", [model])[-1].params]
-    width = math.sqrt(len(names)) * 0.75
     keys = list(key)
-
-    def explain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_sample", ignore_index=True)
-        z = np.vstack(pdf["_z"].to_numpy())
-        y = pdf["_score"].to_numpy(float)
-        if is_class and pdf["prediction"].iloc[0] != 1:
-            y = 1.0 - y
-        distance = np.sqrt((1.0 - z).sum(axis=1))
-        w = np.sqrt(np.exp(-(distance**2) / width**2))
-        coef, _ = _ridge(z, y, w, alpha)
-        chosen = np.argsort(-np.abs(coef), kind="stable")[:k]
-        coef, intercept = _ridge(z[:, chosen], y, w, alpha)
-        fitted = z[:, chosen] @ coef + intercept
-        spread = np.average((y - np.average(y, weights=w)) ** 2, weights=w)
-        fit = 1.0 - np.average((y - fitted) ** 2, weights=w) / spread if spread > 0 else 0.0
-        order = np.argsort(-np.abs(coef), kind="stable")
-        own = pdf["_own"].iloc[0]
-        return pd.DataFrame(
-            {
-                **{c: pdf[c].iloc[0] for c in keys},
-                "rank": np.arange(1, len(order) + 1),
-                "feature": [names[chosen[i]] for i in order],
-                "condition": [
-                    _condition(names[chosen[i]], edges[names[chosen[i]]], own[chosen[i]])
-                    for i in order
-                ],
-                "weight": coef[order],
-                "intercept": intercept,
-                "local_prediction": fitted[0],
-                "model_prediction": y[0],
-                "fit_r2": fit,
-            }
-        )
-
+    conditions = {c: [_condition(c, edges[c], i) for i in range(len(edges[c]) + 1)] for c in names}
+    explain = _solver(keys, names, conditions, k, alpha, is_class)
     key_types = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keys)
     schema = (
         f"{key_types}, rank int, feature string, condition string, weight double,"

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.scalars import zero_if_undefined
-from quillframe.operators.joins import join_small
+from quillframe.operators.joins import join_small, settle
 from quillframe.operators.models import predict
 from quillframe.operators.ordered import running_totals
+from quillframe.sources.artifacts import materialize
 
 # --- numbers ---------------------------------------------------------------------------------
 
@@ -89,7 +90,7 @@ def confusion_matrix(
     Without ``labels`` the classes are those seen; the list is the side of the matrix returned, so
     it is always smaller than the result.
     """
-    counts = _pairs(scored, y, pred)
+    counts = settle(_pairs(scored, y, pred))
     kind = counts.schema["y_true"].dataType
     seen = counts.select(
         F.explode(F.array("y_true", F.col("y_pred").cast(kind))).alias("label")
@@ -141,7 +142,7 @@ def classification_report(scored: DataFrame, y: str, pred: str) -> DataFrame:
 
     One pass makes the (true, predicted) counts; everything else works on that small table.
     """
-    pairs = _pairs(scored, y, pred)
+    pairs = settle(_pairs(scored, y, pred))
     right = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)
     none = F.lit(0).cast("long")
     kind = pairs.schema["y_true"].dataType
@@ -225,15 +226,14 @@ def roc_curve(
     running = running_totals(
         counts.withColumn("_down", -F.col("score")), ["_down"], {"_tp": "pos", "_fp": "neg"}
     )
-    sizes = scored.where(F.col(y).isNotNull() & F.col(prob).isNotNull()).agg(
-        F.count_if(F.col(y) == F.lit(pos_label)).alias("pos"),
-        F.count_if(F.col(y) != F.lit(pos_label)).alias("neg"),
-    )
+    sizes = running.agg(F.max("_tp").alias("pos"), F.max("_fp").alias("neg"))
     share = lambda upto, whole: F.try_divide(
         F.col(upto).cast("double"), sizes.select(F.col(whole).cast("double")).scalar()
     )
     points = running.select(
-        F.col("score").alias("threshold"), share("_fp", "neg").alias("fpr"), share("_tp", "pos").alias("tpr")
+        F.col("score").alias("threshold"),
+        share("_fp", "neg").alias("fpr"),
+        share("_tp", "pos").alias("tpr"),
     )
     start = scored.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -253,8 +253,11 @@ def evaluate_scored(
 def evaluate(
     model: Model, df: DataFrame, name: str, label: str = "label", pos_label: Any = 1
 ) -> dict[str, DataFrame]:
-    """Score a table and return its metrics, class report, confusion matrix and ROC curve."""
-    scored = predict(model, df).select(label, "prediction", "prob")
+    """Score a table and return its metrics, class report, confusion matrix and ROC curve.
+
+    The three columns these read are written out first, so the model runs once.
+    """
+    scored = materialize(predict(model, df).select(label, "prediction", "prob"), "scored")
     return {
         "metrics": evaluate_scored(scored, name, label, "prediction", "prob", pos_label),
         "report": classification_report(scored, label, "prediction"),

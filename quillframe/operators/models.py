@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -14,6 +15,28 @@ from pyspark.sql import functions as F
 from quillframe.operators.ordered import top_k
 
 
+@contextmanager
+def training_rows(df: DataFrame, few: int = 50_000) -> Iterator[tuple[DataFrame, int]]:
+    """Cached rows for an iterative fit, and how many there are.
+
+    An input of few, large partitions would leave most executors idle in every iteration, so it is
+    spread first; one that already has a partition per core stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    rows = df.persist()
+    try:
+        n = rows.count()
+        parts = rows.rdd.getNumPartitions()
+        if parts < cores and n > few:
+            spread = rows.repartition(cores).persist()
+            spread.count()
+            rows.unpersist()
+            rows = spread
+        yield rows, n
+    finally:
+        rows.unpersist()
+
+
 def fit_linear(df: DataFrame, label: str = "label", features: str = "features") -> Model:
     """Least squares with an intercept; the normal equations need one pass."""
     return LinearRegression(
@@ -46,11 +69,8 @@ def logistic_estimator(
 def fit_logistic(
     df: DataFrame, label: str = "label", features: str = "features", c: float = 1.0
 ) -> Model:
-    train = df.select(label, features).persist()
-    try:
-        return logistic_estimator(train.count(), c, label=label, features=features).fit(train)
-    finally:
-        train.unpersist()
+    with training_rows(df.select(label, features)) as (train, n):
+        return logistic_estimator(n, c, label=label, features=features).fit(train)
 
 
 def forest_estimator(
@@ -84,7 +104,8 @@ def fit_forest(
     min_leaf: int = 1,
     seed: int = 42,
 ) -> Model:
-    return forest_estimator(trees, max_depth, min_leaf, seed, label, features).fit(df)
+    with training_rows(df.select(label, features)) as (train, _):
+        return forest_estimator(trees, max_depth, min_leaf, seed, label, features).fit(train)
 
 
 def predict(model: Model, df: DataFrame) -> DataFrame:

@@ -187,12 +187,15 @@ def epoch_summary(
     total: str = "total",
 ) -> DataFrame:
     """Per epoch: steps, plain mean of step losses, accuracy, seconds from first to last step."""
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    # Parts of the interval, which do not depend on the session's time zone.
+    passed = F.max(ts) - F.min(ts)
+    part = lambda unit: F.extract(F.lit(unit), passed).cast("double")
+    seconds = ((part("DAY") * 24 + part("HOUR")) * 60 + part("MINUTE")) * 60 + part("SECOND")
     return log.groupBy(*by).agg(
         F.count("*").alias("steps"),
         F.avg(loss).alias("avg_loss"),
         F.try_divide(F.sum(correct).cast("double"), F.sum(total).cast("double")).alias("accuracy"),
-        ((F.max(micros) - F.min(micros)) / 1e6).alias("seconds"),
+        seconds.alias("seconds"),
     )
 
 

@@ -13,9 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillframe.functions.hashing import hash_hex
+from quillframe.functions.hashing import hash_below, hash_hex
 from quillframe.operators.joins import join_small, settle
+from quillframe.operators.models import training_rows
 from quillframe.operators.sampling import hash_cutoffs
+from quillframe.operators.scaling import scale_and_assemble
 
 
 def _side(is_test: Column) -> Column:
@@ -30,11 +32,9 @@ def split(
     By default one comparison per row, with the share right on average. ``exact=True`` puts
     ``ceil(n * test_size)`` rows in test, for one more pass over the key columns.
     """
-    digest = hash_hex(key, seed, "split")
     if not exact:
-        threshold = f"{int(test_size * (1 << 32)):08x}"
-        return df.withColumn("split", _side(F.substring(digest, 1, 8) < threshold))
-    hashed = df.withColumn("_h", digest)
+        return df.withColumn("split", _side(hash_below(key, test_size, seed, "split")))
+    hashed = df.withColumn("_h", hash_hex(key, seed, "split"))
     targets = df.agg(
         F.lit(0).alias("slot"), F.ceil(F.count("*") * F.lit(test_size)).alias("target")
     )
@@ -112,13 +112,10 @@ def cross_validate(
     sees the training folds only, so nothing leaks from the held-out fold. By default it scales
     and assembles.
     """
-    from quillframe.operators.scaling import scale_and_assemble
-
     prepare = prepare or scale_and_assemble
     columns = dict.fromkeys([*key, *features, label])
-    folded = stratified_kfold(df.select(*columns), k, label, key, seed).persist()
-    try:
-        scored = []
+    scored = []
+    with training_rows(stratified_kfold(df.select(*columns), k, label, key, seed)) as (folded, _):
         for fold in range(k):
             train = folded.where(F.col("fold") != fold)
             ready = prepare(train, features)
@@ -137,8 +134,6 @@ def cross_validate(
                 F.count("*").alias("n"), F.avg(F.col("right").cast("double")).alias("accuracy")
             )
         )
-    finally:
-        folded.unpersist()
     summary = folds.agg(
         F.avg("accuracy").alias("cv_mean"), F.stddev_pop("accuracy").alias("cv_std")
     )

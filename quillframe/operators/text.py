@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quillframe.functions.scalars import map_codes
 from quillframe.operators.joins import join_small
+from quillframe.operators.models import training_rows
 
 WORD = r"[\p{L}\p{N}]+"
 PAD_ID = 0
@@ -92,7 +93,7 @@ def token_length_stats(df: DataFrame, text: str = "text", max_len: int = MAX_LEN
 
 
 def text_classifier(
-    text: str = "text", label: str = "label", features: int = 1 << 16, reg: float = 0.01
+    text: str = "text", label: str = "label", features: int = 1 << 16, reg: float = 0.1
 ) -> Pipeline:
     """Words, hashed counts, inverse document frequency, logistic regression."""
     return Pipeline(
@@ -106,11 +107,8 @@ def text_classifier(
 
 
 def fit_text_classifier(df: DataFrame, text: str = "text", label: str = "label") -> PipelineModel:
-    train = df.select(text, F.col(label).cast("double").alias(label)).persist()
-    try:
+    with training_rows(df.select(text, F.col(label).cast("double").alias(label)), 1000) as (train, _):
         return text_classifier(text, label).fit(train)
-    finally:
-        train.unpersist()
 
 
 def predict_sentiment(

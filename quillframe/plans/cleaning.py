@@ -22,6 +22,7 @@ from quillframe.plans.standins import (
     dirty_lines,
     lines,
 )
+from quillframe.sources.artifacts import materialize
 from quillframe.sources.tables import load_table
 
 
@@ -29,6 +30,11 @@ def _rounded(df):
     return df.withColumn("net", F.round("net", 6))
 
 
+def _distinct(spark, sf_dir):
+    """Distinct dirty rows, written out because the medians read them more than once."""
+    return materialize(ops.drop_duplicates(dirty_lines(spark, sf_dir)), "distinct")
+
+
 _ROW = f"{KEYS_SQL}, {FEATURES_SQL}, round(net, 6) AS net"
 
 
@@ -54,8 +60,7 @@ _KEYS_U = ", ".join(f"u.{c}" for c in LINE_KEY)
     f" SELECT {_KEYS_U}, {_FILLED}, round(u.net, 6) AS net FROM uniq u CROSS JOIN m",
 )
 def impute_median(spark, sf_dir):
-    distinct = ops.drop_duplicates(dirty_lines(spark, sf_dir))
-    return _rounded(ops.impute_median(distinct, FEATURES))
+    return _rounded(ops.impute_median(_distinct(spark, sf_dir), FEATURES))
 
 
 @query(
@@ -68,7 +73,7 @@ def impute_median(spark, sf_dir):
     ),
 )
 def impute_report(spark, sf_dir):
-    return ops.impute_report(ops.drop_duplicates(dirty_lines(spark, sf_dir)), FEATURES)
+    return ops.impute_report(_distinct(spark, sf_dir), FEATURES)
 
 
 @query(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillframe.operators import explain as ops
+from quillframe.operators.joins import settle
 from quillframe.operators.models import fit_forest, predict
 from quillframe.operators.sampling import sample_n
 from quillframe.operators.scaling import assemble
-from quillframe.plans.modelling import FIT_SQL, fitted_classes, fitted_line
+from quillframe.operators.splitting import split
+from quillframe.plans.modelling import FIT_SQL, fitted_line
 from quillframe.plans.registry import query
 from quillframe.plans.standins import (
     FEATURES,
@@ -158,13 +160,16 @@ def sampled_shapley(spark, sf_dir):
     return _round(found, 2, "contribution", "base", "prediction")
 
 
+def _forest(train):
+    return fit_forest(assemble(train, FEATURES), trees=20, max_depth=8, min_leaf=5)
+
+
 @query("sampled_shapley_forest")
 def sampled_shapley_forest(spark, sf_dir):
     table = classed_lines(spark, sf_dir)
-    forest = fit_forest(assemble(table, FEATURES), trees=20, max_depth=8)
     rows = sample_n(table, N_EXPLAINED, LINE_KEY, SEED)
     return ops.sampled_shapley(
-        rows, forest, FEATURES, table, LINE_KEY, LINE_KEY, n_perm=20, seed=SEED
+        rows, _forest(table), FEATURES, table, LINE_KEY, LINE_KEY, n_perm=20, seed=SEED
     )
 
 
@@ -186,12 +191,14 @@ def pick_examples(spark, sf_dir):
 
 @query("local_surrogate")
 def local_surrogate(spark, sf_dir):
-    ready, model = fitted_classes(spark, sf_dir)
-    test = ready.where("split = 'test'")
-    scored = predict(model, test).select(*LINE_KEY, "label", "prediction")
-    picked = ops.pick_examples(scored, "label", "prediction", LINE_KEY)
-    rows = test.join(F.broadcast(picked.select(*LINE_KEY, "example")), LINE_KEY)
-    train = ready.where("split = 'train'")
+    """Explain a right row of each class and a wrong one, as scored by a forest."""
+    parted = split(classed_lines(spark, sf_dir), 0.2, LINE_KEY, SEED)
+    train, test = parted.where("split = 'train'"), parted.where("split = 'test'")
+    model = _forest(train)
+    scored = predict(model, assemble(test, FEATURES)).select(
+        *LINE_KEY, *FEATURES, "label", "prediction"
+    )
+    rows = ops.pick_examples(scored, "label", "prediction", LINE_KEY)
     return ops.local_surrogate(
-        rows.select("example", *FEATURES), model, train, FEATURES, ["example"]
+        settle(rows).select("example", *FEATURES), model, train, FEATURES, ["example"]
     )

@@ -57,7 +57,7 @@ def least_squares_sql(table: str, features: list[str], target: str) -> str:
 
 
 FIT_SQL = f"""{LINES_SQL},
-parted AS (SELECT *, CASE WHEN substr({hash_sql('split')}, 1, 8) < '33333333' THEN 'test'
+parted AS (SELECT *, CASE WHEN substr({hash_sql('split')}, 1, 8) < '33333334' THEN 'test'
                      ELSE 'train' END AS split FROM lines),
 train AS (SELECT * FROM parted WHERE split = 'train'),
 {least_squares_sql('train', FEATURES, 'net')},

@@ -42,7 +42,7 @@ def sample_cutoff(spark, sf_dir):
 
 @query(
     "split",
-    f"SELECT {KEYS_SQL}, CASE WHEN substr({hash_sql('split')}, 1, 8) < '33333333' THEN 'test'"
+    f"SELECT {KEYS_SQL}, CASE WHEN substr({hash_sql('split')}, 1, 8) < '33333334' THEN 'test'"
     " ELSE 'train' END AS split FROM lineitem",
 )
 def split(spark, sf_dir):
@@ -128,7 +128,7 @@ def split_audit(spark, sf_dir):
 
 
 _TRAIN = f"""{LINES_SQL},
-train AS (SELECT * FROM lines WHERE substr({hash_sql('split')}, 1, 8) >= '33333333')"""
+train AS (SELECT * FROM lines WHERE substr({hash_sql('split')}, 1, 8) >= '33333334')"""
 _SCALER = ", ".join(
     f"avg({c}) AS mean_{i}, stddev_pop({c}) AS std_{i}" for i, c in enumerate(FEATURES)
 )
