@@ -193,8 +193,13 @@ def dependence_points(
         *key, F.col("feature").alias("partner"), F.col("value").alias("partner_value")
     )
     pairs = own.join(others, list(key))
+    # corr() fails on a constant column under ANSI rules.
+    correlation = F.try_divide(
+        F.covar_pop("contribution", "partner_value"),
+        F.stddev_pop("contribution") * F.stddev_pop("partner_value"),
+    )
     strength = pairs.groupBy("partner").agg(
-        F.coalesce(F.abs(F.corr("contribution", "partner_value")), F.lit(-1.0)).alias("_strength")
+        F.coalesce(F.abs(correlation), F.lit(-1.0)).alias("_strength")
     )
     best = strength.agg(F.max_by("partner", F.struct("_strength", "partner"))).first()[0]
     return pairs.where(F.col("partner") == F.lit(best)).select(

@@ -33,8 +33,9 @@ steps AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY ts, event_id) -
     "moving_average",
     f"""WITH {_STEPS},
 w AS (SELECT run, step, least(50, n // 5) AS "window",
-             avg(loss) OVER (PARTITION BY run ORDER BY step ROWS BETWEEN 49 PRECEDING AND
-                             CURRENT ROW) AS a FROM steps)
+             avg(loss) OVER (PARTITION BY run ORDER BY step
+                             ROWS BETWEEN least(50, n // 5) - 1 PRECEDING AND CURRENT ROW) AS a
+      FROM steps)
 SELECT run, step, "window", round(a, 6) AS moving_avg FROM w WHERE step >= "window" - 1""",
 )
 def moving_average(spark, sf_dir):

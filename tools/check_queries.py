@@ -61,7 +61,7 @@ def main() -> None:
             if name not in ORACLES:
                 print(f"rows  {name} {got.num_rows} {spent:.1f}s", flush=True)
                 continue
-            want = duck.execute(ORACLES[name]).to_arrow_table()
+            want = duck.sql(ORACLES[name]).to_arrow_table()
             a, b = rows_of(got), rows_of(want)
             same_columns = sorted(got.column_names) == sorted(want.column_names)
             types = {
