@@ -48,13 +48,14 @@ def logistic_estimator(
     n_train: int,
     c: float = 1.0,
     max_iter: int = 10_000,
+    tol: float = 1e-12,
     label: str = "label",
     features: str = "features",
 ) -> LogisticRegression:
     """L2 logistic regression where ``c`` weighs the summed loss against the penalty.
 
     MLlib averages the loss instead, hence ``regParam = 1 / (c * n_train)``. Features are expected
-    to be scaled already.
+    to be scaled already. The fit runs until the loss no longer moves.
     """
     return LogisticRegression(
         labelCol=label,
@@ -63,6 +64,7 @@ def logistic_estimator(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
     )
 
 

@@ -98,7 +98,7 @@ def split_audit(df: DataFrame, label: str) -> DataFrame:
 
 def cross_validate(
     df: DataFrame,
-    estimator: Estimator,
+    estimator: Estimator | Callable[[int], Estimator],
     k: int,
     features: Sequence[str],
     label: str,
@@ -108,6 +108,7 @@ def cross_validate(
 ) -> tuple[DataFrame, DataFrame]:
     """Accuracy per fold, and its mean with population deviation.
 
+    ``estimator`` may be a function of the number of training rows, for settings that depend on it.
     ``prepare(train, features)`` returns a function that readies any frame for the estimator; it
     sees the training folds only, so nothing leaks from the held-out fold. By default it scales
     and assembles.
@@ -116,10 +117,13 @@ def cross_validate(
     columns = dict.fromkeys([*key, *features, label])
     scored = []
     with training_rows(stratified_kfold(df.select(*columns), k, label, key, seed)) as (folded, _):
+        sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
         for fold in range(k):
             train = folded.where(F.col("fold") != fold)
+            n_train = sum(n for f, n in sizes.items() if f != fold)
             ready = prepare(train, features)
-            model = estimator.fit(ready(train).withColumnRenamed(label, "label"))
+            fitter = estimator if isinstance(estimator, Estimator) else estimator(n_train)
+            model = fitter.fit(ready(train).withColumnRenamed(label, "label"))
             held = ready(folded.where(F.col("fold") == fold)).withColumnRenamed(label, "label")
             scored.append(
                 model.transform(held).select(

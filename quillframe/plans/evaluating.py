@@ -99,7 +99,7 @@ def confusion_matrix_labels(spark, sf_dir):
     return ops.confusion_matrix(scored, "l_returnflag", "said", ["A", "N", "R"])
 
 
-def _rates_sql(table: str, by: str = "", pos: int = 1, suffix: str = "") -> str:
+def rates_sql(table: str, by: str = "", pos: int = 1, suffix: str = "") -> str:
     """CTEs ending in ``m<suffix>``: rates per group."""
     lead = f"{by}, " if by else ""
     group = f" GROUP BY {by}" if by else ""
@@ -119,38 +119,40 @@ _RATES = ("accuracy", "precision", "recall", "f1")
 _ROUNDED_RATES = ", ".join(f"round({c}, 6) AS {c}" for c in _RATES)
 
 
-@query("binary_metrics", f"WITH {SCORED_SQL}, {_rates_sql('scored')} SELECT {_ROUNDED_RATES} FROM m")
+@query("binary_metrics", f"WITH {SCORED_SQL}, {rates_sql('scored')} SELECT {_ROUNDED_RATES} FROM m")
 def binary_metrics(spark, sf_dir):
     return _round(ops.binary_metrics(scored_lines(spark, sf_dir), "y", "pred"), 6, *_RATES)
 
 
 @query(
     "binary_metrics_class0",
-    f"WITH {SCORED_SQL}, {_rates_sql('scored', pos=0)} SELECT {_ROUNDED_RATES} FROM m",
+    f"WITH {SCORED_SQL}, {rates_sql('scored', pos=0)} SELECT {_ROUNDED_RATES} FROM m",
 )
 def binary_metrics_class0(spark, sf_dir):
     return _round(ops.binary_metrics(scored_lines(spark, sf_dir), "y", "pred", 0), 6, *_RATES)
 
 
-@query(
-    "classification_report",
-    f"""WITH {SCORED_SQL},
-k AS (SELECT label::VARCHAR AS label, count(*) FILTER (y = label AND pred = label)::DOUBLE AS tp,
+def report_sql(table: str) -> str:
+    """The rest of a query: the class report of two classes."""
+    return f"""per_class AS (SELECT label::VARCHAR AS label,
+             count(*) FILTER (y = label AND pred = label)::DOUBLE AS tp,
              count(*) FILTER (y = label) AS support, count(*) FILTER (pred = label) AS said
-      FROM scored, (VALUES (0), (1)) t(label) GROUP BY 1),
-p AS (SELECT label, coalesce(tp / nullif(said, 0), 0) AS precision,
+      FROM {table}, (VALUES (0), (1)) t(label) GROUP BY 1),
+parts AS (SELECT label, coalesce(tp / nullif(said, 0), 0) AS precision,
              coalesce(tp / nullif(support, 0), 0) AS recall,
-             coalesce(2 * tp / nullif(said + support, 0), 0) AS f1, support, tp FROM k),
-u AS (SELECT label, precision, recall, f1, support FROM p
+             coalesce(2 * tp / nullif(said + support, 0), 0) AS f1, support, tp FROM per_class),
+averaged AS (SELECT label, precision, recall, f1, support FROM parts
 UNION ALL SELECT 'accuracy', sum(tp) / sum(support), sum(tp) / sum(support),
-                 sum(tp) / sum(support), sum(support) FROM p
-UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM p
+                 sum(tp) / sum(support), sum(support) FROM parts
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM parts
 UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
                  sum(recall * support) / sum(support), sum(f1 * support) / sum(support),
-                 sum(support) FROM p)
+                 sum(support) FROM parts)
 SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
-       support::BIGINT AS support FROM u""",
-)
+       support::BIGINT AS support FROM averaged"""
+
+
+@query("classification_report", f"WITH {SCORED_SQL}, {report_sql('scored')}")
 def classification_report(spark, sf_dir):
     report = ops.classification_report(scored_lines(spark, sf_dir), "y", "pred")
     return _round(report, 6, "precision", "recall", "f1")
@@ -159,7 +161,7 @@ def classification_report(spark, sf_dir):
 # --- scores ----------------------------------------------------------------------------------
 
 
-def _auc_sql(score: str, table: str = "scored", suffix: str = "") -> str:
+def auc_sql(score: str, table: str = "scored", suffix: str = "") -> str:
     """CTEs ending in ``auc<suffix>``."""
     return f"""b{suffix} AS (SELECT {score} AS s, count(*) FILTER (y = 1)::DOUBLE AS pos,
   count(*) FILTER (y <> 1)::DOUBLE AS neg FROM {table} GROUP BY 1),
@@ -169,14 +171,14 @@ auc{suffix} AS (SELECT sum(pos * (upto - neg / 2)) / (sum(pos) * sum(neg)) AS ro
       FROM r{suffix})"""
 
 
-@query("roc_auc", f"WITH {SCORED_SQL}, {_auc_sql('prob')} SELECT round(roc_auc, 6) AS roc_auc FROM auc")
+@query("roc_auc", f"WITH {SCORED_SQL}, {auc_sql('prob')} SELECT round(roc_auc, 6) AS roc_auc FROM auc")
 def roc_auc(spark, sf_dir):
     return _round(ops.roc_auc(scored_lines(spark, sf_dir), "y", "prob"), 6, "roc_auc")
 
 
 @query(
     "roc_auc_ties",
-    f"WITH {SCORED_SQL}, {_auc_sql('l_quantity')} SELECT round(roc_auc, 6) AS roc_auc FROM auc",
+    f"WITH {SCORED_SQL}, {auc_sql('l_quantity')} SELECT round(roc_auc, 6) AS roc_auc FROM auc",
 )
 def roc_auc_ties(spark, sf_dir):
     return _round(ops.roc_auc(scored_lines(spark, sf_dir), "y", "l_quantity"), 6, "roc_auc")
@@ -200,9 +202,9 @@ def roc_curve(spark, sf_dir):
     return _round(curve.withColumn("threshold", finite), 6, "fpr", "tpr")
 
 
-_BOARD_SQL = f"""{SCORED_SQL}, {_rates_sql('scored')}, {_auc_sql('prob')},
+_BOARD_SQL = f"""{SCORED_SQL}, {rates_sql('scored')}, {auc_sql('prob')},
 scored_q AS (SELECT y, l_quantity AS prob, (l_quantity > 25)::INT AS pred FROM scored),
-{_rates_sql('scored_q', suffix='2')}, {_auc_sql('prob', 'scored_q', suffix='2')},
+{rates_sql('scored_q', suffix='2')}, {auc_sql('prob', 'scored_q', suffix='2')},
 board AS (
   SELECT 'rule' AS model, accuracy, precision, recall, f1, roc_auc, 0 AS listed FROM m CROSS JOIN auc
   UNION ALL
@@ -278,7 +280,7 @@ _GROUP_METRICS = f"n, {_ROUNDED_RATES}, round(selection_rate, 6) AS selection_ra
 
 @query(
     "group_metrics",
-    f"WITH {_GROUPED_SQL}, {_rates_sql('grouped', 'age_group')}"
+    f"WITH {_GROUPED_SQL}, {rates_sql('grouped', 'age_group')}"
     f" SELECT age_group, {_GROUP_METRICS} FROM m",
 )
 def group_metrics(spark, sf_dir):
@@ -288,7 +290,7 @@ def group_metrics(spark, sf_dir):
 
 @query(
     "group_metrics_lang",
-    f"WITH {REVIEWS_SQL}, {_rates_sql('scored', 'lang')} SELECT lang, {_GROUP_METRICS} FROM m",
+    f"WITH {REVIEWS_SQL}, {rates_sql('scored', 'lang')} SELECT lang, {_GROUP_METRICS} FROM m",
 )
 def group_metrics_lang(spark, sf_dir):
     metrics = fairness.group_metrics(scored_reviews(spark, sf_dir), "lang", "y", "pred")
@@ -297,7 +299,7 @@ def group_metrics_lang(spark, sf_dir):
 
 @query(
     "disparate_impact",
-    f"WITH {REVIEWS_SQL}, {_rates_sql('scored', 'lang')},"
+    f"WITH {REVIEWS_SQL}, {rates_sql('scored', 'lang')},"
     " d AS (SELECT min(selection_rate) AS min_rate, max(selection_rate) AS max_rate FROM m)"
     " SELECT round(min_rate, 6) AS min_rate, round(max_rate, 6) AS max_rate,"
     " round(min_rate / nullif(max_rate, 0), 6) AS ratio,"
@@ -310,7 +312,7 @@ def disparate_impact(spark, sf_dir):
 
 @query(
     "four_fifths_table",
-    f"WITH {REVIEWS_SQL}, {_rates_sql('scored', 'lang')}"
+    f"WITH {REVIEWS_SQL}, {rates_sql('scored', 'lang')}"
     " SELECT lang, n, round(selection_rate, 6) AS selection_rate,"
     " round((SELECT max(selection_rate) FROM m) * 0.8::DOUBLE, 6) AS needed_rate,"
     " selection_rate >= (SELECT max(selection_rate) FROM m) * 0.8::DOUBLE AS passes FROM m",

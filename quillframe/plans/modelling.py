@@ -11,9 +11,12 @@ from quillframe.operators import metrics, models
 from quillframe.operators.joins import settle
 from quillframe.operators.scaling import assemble, scale_and_assemble
 from quillframe.operators.splitting import cross_validate, split, stratified_split
+from quillframe.plans.evaluating import auc_sql, rates_sql, report_sql
 from quillframe.plans.registry import query
 from quillframe.plans.standins import (
+    CLASSED_SQL,
     FEATURES,
+    FEATURES_SQL,
     KEYS_SQL,
     LINE_KEY,
     LINES_SQL,
@@ -21,6 +24,7 @@ from quillframe.plans.standins import (
     classed_lines,
     hash_sql,
     lines,
+    stratified_sql,
     vectors,
 )
 from quillframe.sources import artifacts
@@ -132,6 +136,76 @@ def save_model(spark, sf_dir):
     return _report(models.predict(loaded, parted.where("split = 'test'")))
 
 
+def logistic_sql(rows: str, features: list[str], name: str) -> str:
+    """CTEs ending in ``<name>`` (w0 = intercept, w1.. = weights): L2 logistic regression with
+    C = 1 on the scaled columns of the CTE ``rows``, by Newton steps whose linear systems are
+    solved by elimination, one row at a time."""
+    p = len(features)
+    x = ["1::DOUBLE", *features]
+    js = range(p + 1)
+    ctes = [f"{name}_w0 AS (SELECT {', '.join(f'0::DOUBLE AS w{j}' for j in js)})"]
+    for step in range(1, NEWTON_STEPS + 1):
+        w = f"{name}_w{step - 1}"
+        score = " + ".join(f"w{j} * {x[j]}" for j in js)
+        gram = [
+            f"sum(p * (1 - p) * {x[i]} * {x[j]}){' + 1' if i == j > 0 else ''} AS a{i}_{j}"
+            for i in js
+            for j in js
+            if i <= j
+        ]
+        pull = [
+            f"sum((label - p) * {x[j]}){f' - any_value(w{j})' if j else ''} AS b{j}" for j in js
+        ]
+        at = f"{name}_g{step}"
+        ctes.append(
+            f"{at}_0 AS MATERIALIZED (SELECT {', '.join(gram + pull)} FROM (SELECT *,"
+            f" 1::DOUBLE / (1::DOUBLE + exp(-({score}))) AS p FROM {rows} CROSS JOIN {w}))"
+        )
+        for j in range(p):
+            cells = [
+                f"a{i}_{k} - a{j}_{i} / a{j}_{j} * a{j}_{k} AS a{i}_{k}" if i > j else f"a{i}_{k}"
+                for i in js
+                for k in js
+                if i <= k
+            ]
+            cells += [
+                f"b{i} - a{j}_{i} / a{j}_{j} * b{j} AS b{i}" if i > j else f"b{i}" for i in js
+            ]
+            ctes.append(f"{at}_{j + 1} AS MATERIALIZED (SELECT {', '.join(cells)} FROM {at}_{j})")
+        moves: dict[int, str] = {}
+        last = f"{at}_{p}"
+        for j in reversed(js):
+            known = "".join(f" - a{j}_{k} * d{k}" for k in js if k > j)
+            moves[j] = f"(b{j}{known}) / a{j}_{j} AS d{j}"
+            ctes.append(
+                f"{at}_d{j} AS MATERIALIZED (SELECT *, {moves[j]} FROM {last})"
+            )
+            last = f"{at}_d{j}"
+        ctes.append(
+            f"{name}_w{step} AS MATERIALIZED (SELECT "
+            + ", ".join(f"w{j} + d{j} AS w{j}" for j in js)
+            + f" FROM {w} CROSS JOIN {last})"
+        )
+    ctes.append(f"{name} AS (SELECT * FROM {name}_w{NEWTON_STEPS})")
+    return ",\n".join(ctes)
+
+
+NEWTON_STEPS = 9
+_MEAN_STD = ", ".join(
+    f"avg({c}) AS mean_{i}, stddev_pop({c}) AS std_{i}" for i, c in enumerate(FEATURES)
+)
+_SCALED = ", ".join(f"({c} - mean_{i}) / std_{i} AS {c}" for i, c in enumerate(FEATURES))
+_SCORE = " + ".join(["w0", *[f"w{i + 1} * {c}" for i, c in enumerate(FEATURES)]])
+CLASSES_SQL = f"""{CLASSED_SQL}, {stratified_sql('classed', 'label', KEYS_SQL)},
+scaler AS (SELECT {_MEAN_STD} FROM parted WHERE split = 'train'),
+scaled AS (SELECT {KEYS_SQL}, label, split, {_SCALED} FROM parted CROSS JOIN scaler),
+train AS MATERIALIZED (SELECT * FROM scaled WHERE split = 'train'),
+{logistic_sql('train', FEATURES, 'fit')},
+scored0 AS (SELECT {KEYS_SQL}, label AS y, 1::DOUBLE / (1::DOUBLE + exp(-({_SCORE}))) AS prob
+            FROM scaled CROSS JOIN fit WHERE split = 'test'),
+scored AS MATERIALIZED (SELECT *, (prob > 0.5)::INT AS pred FROM scored0)"""
+
+
 def fitted_classes(spark, sf_dir):
     """Classed lines split by class, scaled by the train side, and a logistic model of them."""
     parted = stratified_split(classed_lines(spark, sf_dir), 0.2, "label", LINE_KEY, SEED)
@@ -139,29 +213,53 @@ def fitted_classes(spark, sf_dir):
     return ready, models.fit_logistic(ready.where("split = 'train'"))
 
 
-@query("fit_logistic")
+@query(
+    "fit_logistic",
+    f"WITH {CLASSES_SQL} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(w{i}, 4) AS weight FROM fit"
+        for i, c in enumerate(["intercept", *FEATURES])
+    ),
+)
 def fit_logistic(spark, sf_dir):
     _, model = fitted_classes(spark, sf_dir)
-    return models.coefficients(spark, model, FEATURES)
+    weights = models.coefficients(spark, model, FEATURES)
+    return weights.withColumn("weight", F.round("weight", 4))
 
 
-@query("predict_classes")
+@query(
+    "predict_classes",
+    f"WITH {CLASSES_SQL} SELECT {KEYS_SQL}, y AS label, pred AS prediction FROM scored",
+)
 def predict_classes(spark, sf_dir):
     ready, model = fitted_classes(spark, sf_dir)
     scored = models.predict(model, ready.where("split = 'test'"))
-    return scored.select(*LINE_KEY, "label", "prediction", "prob")
+    return scored.select(*LINE_KEY, "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+_RATES = ["accuracy", "precision", "recall", "f1"]
+_SHOWN = ", ".join(f"round({c}, 6) AS {c}" for c in _RATES)
 
 
-@query("evaluate")
+@query(
+    "evaluate",
+    f"WITH {CLASSES_SQL}, {rates_sql('scored')}, {auc_sql('prob')}"
+    f" SELECT 'logistic' AS model, {_SHOWN}, round(roc_auc, 6) AS roc_auc FROM m CROSS JOIN auc",
+)
 def evaluate(spark, sf_dir):
     ready, model = fitted_classes(spark, sf_dir)
-    return metrics.evaluate(model, ready.where("split = 'test'"), "logistic")["metrics"]
+    row = metrics.evaluate(model, ready.where("split = 'test'"), "logistic")["metrics"]
+    return row.withColumns({c: F.round(c, 6) for c in [*_RATES, "roc_auc"]})
 
 
-@query("evaluate_report")
+@query(
+    "evaluate_report",
+    f"WITH {CLASSES_SQL}, {report_sql('scored')}",
+)
 def evaluate_report(spark, sf_dir):
     ready, model = fitted_classes(spark, sf_dir)
-    return metrics.evaluate(model, ready.where("split = 'test'"), "logistic")["report"]
+    report = metrics.evaluate(model, ready.where("split = 'test'"), "logistic")["report"]
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
 def _fitted_forest(spark, sf_dir, trees=200):
@@ -182,22 +280,52 @@ def feature_importance(spark, sf_dir):
     return models.feature_importance(spark, model, VECTOR_FEATURES, 15)
 
 
+def _fold_sql(fold: int) -> str:
+    """CTEs ending in ``accuracy<fold>``: scaled and fitted without the fold, scored on it."""
+    return f"""scaler{fold} AS (SELECT {_MEAN_STD} FROM folded WHERE fold <> {fold}),
+scaled{fold} AS MATERIALIZED (SELECT label, fold, {_SCALED} FROM folded CROSS JOIN scaler{fold}),
+train{fold} AS MATERIALIZED (SELECT * FROM scaled{fold} WHERE fold <> {fold}),
+{logistic_sql(f'train{fold}', FEATURES, f'fit{fold}')},
+accuracy{fold} AS (
+  SELECT {fold} AS fold, count(*) AS n, avg((({_SCORE} > 0)::INT = label)::INT) AS accuracy
+  FROM scaled{fold} CROSS JOIN fit{fold} WHERE fold = {fold})"""
+
+
+FOLDS_SQL = f"""{CLASSED_SQL},
+places AS (
+  SELECT *, count(*) OVER (PARTITION BY label) AS n,
+         row_number() OVER (PARTITION BY label ORDER BY {hash_sql('fold')}) AS place
+  FROM classed),
+folded AS MATERIALIZED (
+  SELECT {FEATURES_SQL}, label,
+         ((place > n * 1 // 5)::INT + (place > n * 2 // 5)::INT + (place > n * 3 // 5)::INT
+          + (place > n * 4 // 5)::INT)::INT AS fold
+  FROM places),
+{', '.join(_fold_sql(f) for f in range(5))},
+folds AS ({' UNION ALL '.join(f'SELECT * FROM accuracy{f}' for f in range(5))})"""
+
+
 def _logistic_folds(spark, sf_dir):
     table = classed_lines(spark, sf_dir)
-    estimator = models.logistic_estimator(n_train=table.count() * 4 // 5)
-    return cross_validate(table, estimator, 5, FEATURES, "label", LINE_KEY, SEED)
+    return cross_validate(table, models.logistic_estimator, 5, FEATURES, "label", LINE_KEY, SEED)
 
 
-@query("cross_validate")
+@query(
+    "cross_validate", f"WITH {FOLDS_SQL} SELECT fold, n, round(accuracy, 6) AS accuracy FROM folds"
+)
 def cross_validate_folds(spark, sf_dir):
     folds, _ = _logistic_folds(spark, sf_dir)
-    return folds
+    return folds.withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("cross_validate_summary")
+@query(
+    "cross_validate_summary",
+    f"WITH {FOLDS_SQL} SELECT round(avg(accuracy), 6) AS cv_mean,"
+    " round(stddev_pop(accuracy), 6) AS cv_std FROM folds",
+)
 def cross_validate_summary(spark, sf_dir):
     _, summary = _logistic_folds(spark, sf_dir)
-    return summary
+    return summary.withColumns({c: F.round(c, 6) for c in ("cv_mean", "cv_std")})
 
 
 @query("choose_classifier")
@@ -211,12 +339,12 @@ def choose_classifier(spark, sf_dir):
         train, test = ready.where("split = 'train'"), ready.where("split = 'test'")
         n_train = train.count()
         estimators = {
-            "logistic": models.logistic_estimator(n_train),
-            "forest": models.forest_estimator(),
+            "logistic": models.logistic_estimator,
+            "forest": lambda n: models.forest_estimator(),
         }
         rows = []
         for name, estimator in estimators.items():
-            measured = metrics.evaluate(estimator.fit(train), test, name)["metrics"]
+            measured = metrics.evaluate(estimator(n_train).fit(train), test, name)["metrics"]
             _, summary = cross_validate(table, estimator, 5, VECTOR_FEATURES, "label", ["vec_id"])
             rows.append(
                 measured.withColumns(

@@ -19,6 +19,7 @@ from quillframe.plans.standins import (
     hash_sql,
     lines,
     reviews,
+    stratified_sql,
 )
 from quillframe.sources.tables import load_table
 
@@ -62,28 +63,10 @@ def split_exact(spark, sf_dir):
     return ops.split(table, 0.2, LINE_KEY, SEED, exact=True)
 
 
-def _stratified_sql(table: str, label: str, keys: str) -> str:
-    """CTEs ending in ``parted``: the split by rank inside each class."""
-    return f"""k AS (SELECT {label} AS label, count(*) AS n FROM {table} GROUP BY 1),
-t AS (SELECT *, ceil((SELECT sum(n) FROM k)::DOUBLE * 0.2::DOUBLE) AS wanted,
-             n * ceil((SELECT sum(n) FROM k)::DOUBLE * 0.2::DOUBLE)
-             / (SELECT sum(n) FROM k)::DOUBLE AS share FROM k),
-f AS (SELECT *, floor(share) AS base,
-             row_number() OVER (ORDER BY round(share - floor(share), 9) DESC, label) AS place
-      FROM t),
-a AS (SELECT label, base + (place <= wanted - (SELECT sum(base) FROM f))::INT AS target FROM f),
-ranked AS (SELECT {keys}, {label} AS label,
-                  row_number() OVER (PARTITION BY {label} ORDER BY {hash_sql('split', keys)}) AS place
-           FROM {table}),
-parted AS (SELECT {keys}, ranked.label AS label,
-                  CASE WHEN place <= target THEN 'test' ELSE 'train' END AS split
-           FROM ranked JOIN a USING (label))"""
-
-
 @query(
     "stratified_split",
-    f"WITH {_stratified_sql('lineitem', 'l_returnflag', KEYS_SQL)}"
-    f" SELECT {KEYS_SQL}, label AS l_returnflag, split FROM parted",
+    f"WITH {stratified_sql('lineitem', 'l_returnflag', KEYS_SQL)}"
+    f" SELECT {KEYS_SQL}, l_returnflag, split FROM parted",
 )
 def stratified_split(spark, sf_dir):
     table = load_table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_returnflag")
@@ -92,7 +75,7 @@ def stratified_split(spark, sf_dir):
 
 @query(
     "stratified_split_reviews",
-    f"WITH {REVIEWS_SQL}, {_stratified_sql('reviews', 'label', 'doc_id')}"
+    f"WITH {REVIEWS_SQL}, {stratified_sql('reviews', 'label', 'doc_id')}"
     " SELECT doc_id, label, split FROM parted",
 )
 def stratified_split_reviews(spark, sf_dir):
@@ -118,8 +101,8 @@ def stratified_kfold(spark, sf_dir):
 
 @query(
     "split_audit",
-    f"WITH {_stratified_sql('lineitem', 'l_returnflag', KEYS_SQL)}"
-    " SELECT split, label AS l_returnflag, count(*) AS n FROM parted GROUP BY 1, 2",
+    f"WITH {stratified_sql('lineitem', 'l_returnflag', KEYS_SQL)}"
+    " SELECT split, l_returnflag, count(*) AS n FROM parted GROUP BY 1, 2",
 )
 def split_audit(spark, sf_dir):
     table = load_table(spark, sf_dir, "lineitem").select(*LINE_KEY, "l_returnflag")

@@ -50,9 +50,9 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with a class to learn: is the net price above 45,000?"""
-    table = lines(spark, sf_dir)
-    return table.withColumn("label", (F.col("net") > 45_000).cast("int"))
+    """Order lines with a class to learn: is the net price, blurred by noise, above 45,000?"""
+    noise = (hash_unit(LINE_KEY, SEED, "class") - 0.5) * 30_000
+    return lines(spark, sf_dir).withColumn("label", (F.col("net") + noise > 45_000).cast("int"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +114,27 @@ LINES_SQL = f"""lines AS (
          l_extendedprice * (1 - l_discount) * (1 + l_tax) AS net
   FROM lineitem)"""
 
+CLASSED_SQL = f"""{LINES_SQL},
+classed AS (SELECT *, (net + ({unit_sql('class')} - 0.5::DOUBLE) * 30000::DOUBLE > 45000::DOUBLE)::INT
+                   AS label FROM lines)"""
+
+
+def stratified_sql(table: str, label: str, keys: str) -> str:
+    """CTEs ending in ``parted``: ``table`` with its side by rank inside each class."""
+    return f"""k AS (SELECT {label}, count(*) AS n FROM {table} GROUP BY 1),
+t AS (SELECT *, ceil((SELECT sum(n) FROM k)::DOUBLE * 0.2::DOUBLE) AS wanted,
+             n * ceil((SELECT sum(n) FROM k)::DOUBLE * 0.2::DOUBLE)
+             / (SELECT sum(n) FROM k)::DOUBLE AS share FROM k),
+f AS (SELECT *, floor(share) AS base,
+             row_number() OVER (ORDER BY round(share - floor(share), 9) DESC, {label}) AS place
+      FROM t),
+a AS (SELECT {label}, base + (place <= wanted - (SELECT sum(base) FROM f))::INT AS target FROM f),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY {hash_sql('split', keys)})
+                     AS place FROM {table}),
+parted AS (SELECT ranked.*, CASE WHEN place <= target THEN 'test' ELSE 'train' END AS split
+           FROM ranked JOIN a USING ({label}))"""
+
+
 _BLANKED = ", ".join(
     f"CASE WHEN {unit_sql('null/' + c)} >= {share} THEN {c} END AS {c}"
     for c, share in NULL_SHARES.items()
