@@ -16,7 +16,7 @@ from quillframe.operators.ordered import top_k
 
 
 @contextmanager
-def training_rows(df: DataFrame, few: int = 50_000) -> Iterator[tuple[DataFrame, int]]:
+def training_rows(df: DataFrame, few: int = 1_000) -> Iterator[tuple[DataFrame, int]]:
     """Cached rows for an iterative fit, and how many there are.
 
     An input of few, large partitions would leave most executors idle in every iteration, so it is
@@ -86,6 +86,7 @@ def forest_estimator(
     """A forest grown as deep as MLlib allows (30 levels).
 
     MLlib has no least size for a node to split; the nearest setting is the least size of a leaf.
+    Deep trees are slow to walk for every row at every level, so rows remember their node.
     """
     return RandomForestClassifier(
         labelCol=label,
@@ -94,6 +95,7 @@ def forest_estimator(
         maxDepth=max_depth,
         minInstancesPerNode=min_leaf,
         seed=seed,
+        cacheNodeIds=True,
     )
 
 

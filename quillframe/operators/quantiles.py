@@ -72,8 +72,9 @@ def _narrow(long: DataFrame, brackets: DataFrame, by: list[str], accuracy: int)
         F.percentile_approx(F.when(inside, F.col("value")), grid, accuracy).alias("_grid"),
     )
     both = join_small(brackets, counted, keys)
-    first = F.floor((F.col("rank_lo") - F.col("_below")) / F.col("_inside") * cells) - 1
-    last = F.ceil((F.col("rank_hi") - F.col("_below") + 1) / F.col("_inside") * cells) + 1
+    share = lambda rank: F.try_divide(rank - F.col("_below"), F.col("_inside")) * cells
+    first = F.floor(share(F.col("rank_lo"))) - 1
+    last = F.ceil(share(F.col("rank_hi") + 1)) + 1
     at = lambda i: _cell(F.col("_grid"), F.least(F.greatest(i, F.lit(0)), F.lit(cells)) + 1)
     return both.select(
         *[c for c in brackets.columns if c not in ("lo", "hi")],
@@ -109,7 +110,8 @@ def _select(long: DataFrame, brackets: DataFrame, by: list[str]) -> DataFrame:
     )
     # Linear interpolation between the two neighbouring ranks.
     value = F.col("_v0") + (F.col("place") - F.col("rank_lo")) * (F.col("_v1") - F.col("_v0"))
-    return found.select(*keys, F.when(F.col("_below") <= F.col("rank_lo"), value).alias("value"))
+    held = found.select(*keys, F.when(F.col("_below") <= F.col("rank_lo"), value).alias("value"))
+    return join_small(brackets.select(*keys), held, keys, "left")
 
 
 def quantiles(

@@ -107,7 +107,7 @@ def text_classifier(
 
 
 def fit_text_classifier(df: DataFrame, text: str = "text", label: str = "label") -> PipelineModel:
-    with training_rows(df.select(text, F.col(label).cast("double").alias(label)), 1000) as (train, _):
+    with training_rows(df.select(text, F.col(label).cast("double").alias(label))) as (train, _):
         return text_classifier(text, label).fit(train)
 
 

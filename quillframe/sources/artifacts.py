@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path inside the folder the session names for checkpoints.
 
+    Everything one application writes lies under its own id, so it can be dropped together.
     Only a local session without such a folder gets a temporary one; on a cluster a folder that
     one machine alone can see would lose data with that machine, so it is refused.
     """
@@ -22,7 +23,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="quillframe-")
         context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/quillframe/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/quillframe/{context.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -43,6 +43,23 @@ def test_quantiles_are_exact_for_any_bracket(spark, limits):
         assert row.value == pytest.approx(expected, rel=1e-12)
 
 
+@pytest.mark.parametrize("side", ["lo", "hi"])
+def test_a_bracket_that_misses_is_opened(spark, monkeypatch, side):
+    from quillframe.operators import quantiles as module
+
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    sketch = module._sketch
+    # Brackets wholly above, or wholly below, the wanted rank.
+    off = {"lo": (998.0, 999.0), "hi": (-5.0, -1.0)}[side]
+    monkeypatch.setattr(
+        module,
+        "_sketch",
+        lambda *args: sketch(*args).withColumns({"lo": F.lit(off[0]), "hi": F.lit(off[1])}),
+    )
+    got = {r.prob: r.value for r in quantiles(df, ["x"], [0.25, 0.5]).collect()}
+    assert got == {0.25: 249.75, 0.5: 499.5}
+
+
 def test_quantiles_of_null_group(table):
     df = table([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None)], "g string, x double")
     got = {r.g: r.value for r in quantiles(df, ["x"], [0.5], ["g"]).collect()}
