@@ -8,7 +8,7 @@ by comparing digests, with no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -16,32 +16,46 @@ from pyspark.sql import functions as F
 
 from quillframe.functions.hashing import hash_hex
 from quillframe.operators.joins import join_small, settle
+from quillframe.sources.artifacts import materialize
 
 _PREFIX = 4  # hex digits
 
 
 def hash_cutoffs(
-    hashed: DataFrame, targets: DataFrame, by: Sequence[str] = (), digest: str = "_h"
+    hashed: DataFrame,
+    targets: Callable[[DataFrame], DataFrame],
+    by: Sequence[str] = (),
+    digest: str = "_h",
 ) -> DataFrame:
     """Digest of the row at each wanted rank: (by..., slot, cutoff).
 
-    ``targets`` holds (by..., slot, target) with ``target`` rows wanted at or below the cutoff;
-    a target of 0 gives an empty cutoff, below every digest.
+    ``targets`` turns the group sizes (by..., n) into (by..., slot, target), with ``target`` rows
+    wanted at or below the cutoff; a target of 0 gives an empty cutoff, below every digest. Sizes
+    come from the prefix counts, so the rows are read twice in all.
     """
     by = list(by)
-    wanted = settle(targets)
-    prefixes = hashed.groupBy(*by, F.substring(digest, 1, _PREFIX).alias("_prefix")).agg(
-        F.count("*").alias("_count")
+    counts = materialize(
+        hashed.groupBy(*by, F.substring(digest, 1, _PREFIX).alias("_prefix")).agg(
+            F.count("*").alias("_count")
+        ),
+        "prefixes",
     )
+    sizes = counts.groupBy(*by).agg(F.coalesce(F.sum("_count"), F.lit(0)).alias("n"))
+    wanted = settle(targets(sizes))
+    if wanted.isEmpty():
+        return wanted.select(*by, "slot", F.lit("").alias("cutoff"))
+    # At most 65,536 prefixes per group.
     in_order = W.partitionBy(*by).orderBy("_prefix")
-    upto = prefixes.withColumn(
+    upto = counts.withColumn(
         "_upto", F.sum("_count").over(in_order.rowsBetween(W.unboundedPreceding, 0))
     )
     if by:
         offered = join_small(upto, wanted, by)
     else:
-        slots = [F.struct(F.lit(r["slot"]).alias("slot"), F.lit(r["target"]).alias("target"))
-                 for r in wanted.toLocalIterator()]
+        slots = [
+            F.struct(F.lit(r["slot"]).alias("slot"), F.lit(r["target"]).alias("target"))
+            for r in wanted.toLocalIterator()
+        ]
         offered = upto.select("*", F.inline(F.array(*slots)))
     holds = (F.col("target") > F.col("_upto") - F.col("_count")) & (
         F.col("target") <= F.col("_upto")
@@ -88,13 +102,12 @@ def sample_n(
     hashed = df.withColumn("_h", hash_hex(key, seed, "sample"))
     if n <= sort_rows:
         return hashed.orderBy("_h", *key).limit(n).drop("_h")
-    total = df.count()
-    if total <= n:
-        return df
-    targets = df.sparkSession.range(1).select(
+    below_n = lambda sizes: sizes.where(F.col("n") > n).select(
         F.lit(0).alias("slot"), F.lit(n).cast("long").alias("target")
     )
-    cutoff = hash_cutoffs(hashed, targets).first()["cutoff"]
-    below = hashed.where(F.col("_h") < cutoff)
-    at = hashed.where(F.col("_h") == cutoff).limit(max(n - below.count(), 0))
+    cutoff = hash_cutoffs(hashed, below_n).first()
+    if cutoff is None:
+        return df
+    below = hashed.where(F.col("_h") < cutoff["cutoff"])
+    at = hashed.where(F.col("_h") == cutoff["cutoff"]).limit(max(n - below.count(), 0))
     return below.unionByName(at).drop("_h")

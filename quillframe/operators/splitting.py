@@ -35,8 +35,8 @@ def split(
     if not exact:
         return df.withColumn("split", _side(hash_below(key, test_size, seed, "split")))
     hashed = df.withColumn("_h", hash_hex(key, seed, "split"))
-    targets = df.agg(
-        F.lit(0).alias("slot"), F.ceil(F.count("*") * F.lit(test_size)).alias("target")
+    targets = lambda sizes: sizes.select(
+        F.lit(0).alias("slot"), F.ceil(F.col("n") * F.lit(test_size)).alias("target")
     )
     cutoff = hash_cutoffs(hashed, targets).first()["cutoff"]
     return hashed.withColumn("split", _side(F.col("_h") <= cutoff)).drop("_h")
@@ -65,8 +65,7 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` with the class shares of the whole table on both sides."""
     hashed = df.withColumn("_h", hash_hex(key, seed, "split"))
-    classes = settle(df.groupBy(label).agg(F.count("*").alias("n")))
-    targets = allocate_test_rows(classes, label, test_size).select(
+    targets = lambda classes: allocate_test_rows(settle(classes), label, test_size).select(
         label, F.lit(0).alias("slot"), "target"
     )
     cutoffs = hash_cutoffs(hashed, targets, [label]).select(label, "cutoff")
@@ -80,9 +79,10 @@ def stratified_kfold(
     """Add ``fold`` 0..k-1. A class of n rows gives fold i the random-order ranks from
     ``i*n // k`` up to ``(i+1)*n // k``, so its fold sizes differ by at most one row."""
     hashed = df.withColumn("_h", hash_hex(key, seed, "fold"))
-    classes = df.groupBy(label).agg(F.count("*").alias("n"))
-    targets = classes.select(label, "n", F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("slot"))
-    targets = targets.select(label, "slot", F.floor(F.col("slot") * F.col("n") / k).alias("target"))
+    slots = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("slot")
+    targets = lambda classes: classes.select(label, "n", slots).select(
+        label, "slot", F.floor(F.col("slot") * F.col("n") / k).alias("target")
+    )
     cutoffs = hash_cutoffs(hashed, targets, [label])
     # k - 1 cutoffs per class, in one array.
     per_class = cutoffs.groupBy(label).agg(F.collect_list("cutoff").alias("_cutoffs"))

@@ -93,7 +93,7 @@ def token_length_stats(df: DataFrame, text: str = "text", max_len: int = MAX_LEN
 
 
 def text_classifier(
-    text: str = "text", label: str = "label", features: int = 1 << 16, reg: float = 0.1
+    text: str = "text", label: str = "label", features: int = 1 << 14, reg: float = 0.01
 ) -> Pipeline:
     """Words, hashed counts, inverse document frequency, logistic regression."""
     return Pipeline(

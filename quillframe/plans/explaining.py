@@ -24,6 +24,7 @@ from quillframe.plans.standins import (
     lines,
     scored_lines,
 )
+from quillframe.sources.artifacts import materialize
 
 WEIGHTS = dict(zip(FEATURES, (2.0, 0.95, -38_000.0, 36_000.0), strict=True))
 INTERCEPT = 100.0
@@ -198,6 +199,7 @@ def local_surrogate(spark, sf_dir):
     scored = predict(model, assemble(test, FEATURES)).select(
         *LINE_KEY, *FEATURES, "label", "prediction"
     )
+    scored = materialize(scored, "scored")  # read once per kind of example
     rows = ops.pick_examples(scored, "label", "prediction", LINE_KEY)
     return ops.local_surrogate(
         settle(rows).select("example", *FEATURES), model, train, FEATURES, ["example"]
