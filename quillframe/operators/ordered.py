@@ -7,13 +7,13 @@ earlier partitions hold.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillframe.operators.joins import join_small
+from quillframe.operators.joins import join_small, settle
 from quillframe.sources.artifacts import materialize
 
 # Low bits of monotonically_increasing_id: the position of a row inside its partition.
@@ -116,39 +116,39 @@ def moving_average(
         .withColumn("window", width)
         .where((F.col("window") > 1) & (F.col("window") <= F.col("_n")))
     )
-    chunk = max(chunk, window or LARGEST_WINDOW)
-    home = F.floor(F.col("step") / chunk)
-    at_tail = (F.col("step") % chunk) > F.lit(chunk) - F.col("window")
-    spread = (
-        join_small(indexed, runs, by)
-        .withColumn("step", F.col("_row") - F.col("_first"))
-        .withColumn("_home", home)
-        .withColumn(
-            "_chunk",
-            F.explode(
-                F.when(at_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
-            ),
-        )
-    )
-    frame = W.partitionBy(*by, "_chunk").orderBy("step")
+    runs = settle(runs)
     widest = window or LARGEST_WINDOW
-    mean = F.avg(F.col(col)).over(frame.rowsBetween(1 - widest, 0))
-    if window is None:
-        # A frame has one fixed width, so short runs average the tail of a collected frame.
-        short = F.col("window") < widest
-        seen = F.collect_list(F.when(short, F.struct(F.col(col).alias("v")))).over(
-            frame.rowsBetween(1 - widest, 0)
+    chunk = max(chunk, widest)
+
+    def averaged(runs: DataFrame, mean: Callable[[W], Column]) -> DataFrame:
+        home = F.floor(F.col("step") / chunk)
+        at_tail = (F.col("step") % chunk) > F.lit(chunk) - F.col("window")
+        chunks = F.when(at_tail, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))
+        spread = (
+            join_small(indexed, runs, by)
+            .withColumn("step", F.col("_row") - F.col("_first"))
+            .withColumn("_home", home)
+            .withColumn("_chunk", F.explode(chunks))
         )
+        frame = W.partitionBy(*by, "_chunk").orderBy("step").rowsBetween(1 - widest, 0)
+        means = spread.select(*by, "step", "window", "_chunk", "_home", mean(frame))
+        whole = (F.col("_chunk") == F.col("_home")) & (F.col("step") >= F.col("window") - 1)
+        return means.where(whole).select(*by, "step", "window", "moving_avg")
+
+    def tail_mean(frame: W) -> Column:
+        seen = F.collect_list(F.struct(F.col(col).alias("v"))).over(frame)
         width = F.least(F.col("window").cast("int"), F.size(seen))
         known = F.filter(F.slice(seen, F.size(seen) - width + 1, width), lambda x: x.v.isNotNull())
         total = F.aggregate(known, F.lit(0.0), lambda acc, x: acc + x.v)
-        mean = F.when(short, F.try_divide(total, F.size(known).cast("double"))).otherwise(mean)
-    averaged = spread.select(
-        *by, "step", "window", "_chunk", "_home", mean.alias("moving_avg")
+        return F.try_divide(total, F.size(known).cast("double")).alias("moving_avg")
+
+    # A frame has one fixed width, so runs with a narrower window average the tail of it.
+    full = averaged(
+        runs.where(F.col("window") == widest), lambda frame: F.avg(col).over(frame).alias("moving_avg")
     )
-    return averaged.where(
-        (F.col("_chunk") == F.col("_home")) & (F.col("step") >= F.col("window") - 1)
-    ).select(*by, "step", "window", "moving_avg")
+    if window is not None:
+        return full
+    return full.unionByName(averaged(runs.where(F.col("window") < widest), tail_mean))
 
 
 def running_ratio(
