@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from quillframe.llm.rows import balanced, cut_at_space, flat, identified
 
-SLICE_BYTES = 16 << 20
-CACHED_WORDS = 600_000
-CACHED_PIECES = 700_000
+SLICE_BYTES = 6 << 20
+CACHED_WORDS = 250_000
+CACHED_PIECES = 250_000
 PIECES_AT_ONCE = 20_000
 
 # White space as tokenizers see it, and what text libraries add to it.
