@@ -29,8 +29,9 @@ from quillframe.sources.artifacts import materialize
 PROBES = 4
 BITS_PER_ENTRY = 6  # about PROBES / ln 2: half the bits are set, one false probe in 16
 SEGMENT_BYTES = 8 << 20  # of training text for each segment
-SLICE_BYTES = 8 << 20
-HELD_GRAMS = 3 << 20  # pairs a task counts before it sends them on
+SLICE_BYTES = 2 << 20
+PROBED_AT_ONCE = 1 << 18
+HELD_GRAMS = 1 << 20  # pairs a task counts before it sends them on
 BROADCAST_BYTES = 256 << 20
 MIX = 0.7  # weight of the pair's share in a probability, the rest is the word's own
 
@@ -137,6 +138,11 @@ class Filter:
 
     def probe(self, keys: np.ndarray) -> np.ndarray:
         """Quantised count of each key, 0 if it is not there."""
+        parts = range(0, len(keys), PROBED_AT_ONCE)
+        found = [self._probe(keys[at : at + PROBED_AT_ONCE]) for at in parts]
+        return np.concatenate([np.zeros(0, np.int8), *found])
+
+    def _probe(self, keys: np.ndarray) -> np.ndarray:
         segment = (keys % self.segments).astype(np.int64)
         bits, start = self.bits[segment], self.start[segment]
         out = np.zeros(len(keys), np.int8)
