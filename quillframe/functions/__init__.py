@@ -1,6 +1,7 @@
 from quillframe.functions.hashing import hash_below, hash_hex, hash_normal, hash_unit
 from quillframe.functions.scalars import (
     confidence_bar,
+    known,
     map_codes,
     percent,
     preview,
@@ -17,6 +18,7 @@ __all__ = [
     "hash_hex",
     "hash_normal",
     "hash_unit",
+    "known",
     "map_codes",
     "percent",
     "preview",

@@ -9,6 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def known(col: str | Column) -> Column:
+    """The value, with NaN as NULL: every operator takes both for missing."""
+    value = F.col(col) if isinstance(col, str) else col
+    return F.when(~F.isnan(value), value)
+
+
 def preview(text: Column, n: int) -> Column:
     """The first ``n`` characters, with ``...`` only when something was cut."""
     return F.when(F.length(text) > n, F.concat(F.substring(text, 1, n), F.lit("..."))).otherwise(

@@ -25,6 +25,7 @@ from quillframe.operators.models import predict
 from quillframe.operators.ordered import top_k
 from quillframe.operators.quantiles import quantiles
 from quillframe.operators.sampling import sample_n
+from quillframe.sources.artifacts import materialize
 
 
 def linear_shapley(
@@ -137,9 +138,13 @@ def sampled_shapley(
     return joined.select(*key, "feature", "value", "contribution", "base", "prediction")
 
 
-def shapley_ranking(contributions: DataFrame, k: int = 20) -> DataFrame:
-    """Features by mean absolute contribution: (rank, feature, mean_abs)."""
+def shapley_ranking(contributions: DataFrame, k: int | None = None) -> DataFrame:
+    """Features by mean absolute contribution: (rank, feature, mean_abs); all, or the first ``k``."""
     means = contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs"))
+    if k is None:
+        # One row per feature.
+        rank = F.row_number().over(W.orderBy(F.desc("mean_abs"), "feature"))
+        return means.select(rank.alias("rank"), "feature", "mean_abs")
     return top_k(means, "mean_abs", k, ["feature"])
 
 
@@ -184,15 +189,19 @@ def dependence_points(
     """A feature's value against its contribution, with its strongest partner's value.
 
     The partner is the other feature whose values correlate most with the contributions; a
-    partner that never varies has no correlation and is never chosen while another does.
+    partner that never varies has no correlation and is never chosen while another does. Keys are
+    unique.
     """
-    own = contributions.where(F.col("feature") == feature).select(
-        *key, F.col("value"), "contribution"
-    )
-    others = contributions.where(F.col("feature") != feature).select(
-        *key, F.col("feature").alias("partner"), F.col("value").alias("partner_value")
+    own = lambda c: F.max(F.when(F.col("feature") == feature, F.col(c))).alias(c)
+    other = F.when(F.col("feature") != feature, F.struct("feature", "value"))
+    # One row per key, with its few features side by side; written, as it is read twice.
+    wide = materialize(
+        contributions.groupBy(*key).agg(
+            own("value"), own("contribution"), F.collect_list(other).alias("_others")
+        ),
+        "wide",
     )
-    pairs = own.join(others, list(key))
+    pairs = wide.select("contribution", F.inline("_others").alias("partner", "partner_value"))
     # corr() fails on a constant column under ANSI rules.
     correlation = F.try_divide(
         F.covar_pop("contribution", "partner_value"),
@@ -202,8 +211,13 @@ def dependence_points(
         F.coalesce(F.abs(correlation), F.lit(-1.0)).alias("_strength")
     )
     best = strength.agg(F.max_by("partner", F.struct("_strength", "partner"))).first()[0]
-    return pairs.where(F.col("partner") == F.lit(best)).select(
-        *key, "value", "contribution", "partner", "partner_value"
+    partner = F.filter("_others", lambda x: x["feature"] == F.lit(best))
+    return wide.select(
+        *key,
+        "value",
+        "contribution",
+        F.lit(best).alias("partner"),
+        F.get(partner, 0)["value"].alias("partner_value"),
     )
 
 

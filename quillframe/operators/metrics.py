@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
 from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.functions.scalars import zero_if_undefined
+from quillframe.functions.scalars import known, zero_if_undefined
 from quillframe.operators.joins import join_small, settle
 from quillframe.operators.models import predict
 from quillframe.operators.ordered import running_totals
@@ -20,8 +20,7 @@ from quillframe.sources.artifacts import materialize
 
 def _error_sums(scored: DataFrame, y: str, pred: str) -> DataFrame:
     error = F.col(y) - F.col(pred)
-    known = scored.where(error.isNotNull())
-    sums = known.agg(
+    sums = scored.where(known(error).isNotNull()).agg(
         F.count("*").alias("n"),
         F.avg(F.abs(error)).alias("mae"),
         F.avg(error * error).alias("mse"),
@@ -76,8 +75,9 @@ def actual_vs_predicted(scored: DataFrame, y: str, pred: str) -> DataFrame:
 
 
 def _pairs(scored: DataFrame, y: str, pred: str) -> DataFrame:
-    """(y_true, y_pred, n): all the class metrics need."""
-    return scored.groupBy(F.col(y).alias("y_true"), F.col(pred).alias("y_pred")).agg(
+    """(y_true, y_pred, n): all the class metrics need; rows without either class are left out."""
+    rows = scored.where(F.col(y).isNotNull() & F.col(pred).isNotNull())
+    return rows.groupBy(F.col(y).alias("y_true"), F.col(pred).alias("y_pred")).agg(
         F.count("*").alias("n")
     )
 
@@ -195,8 +195,8 @@ def _by_score(
     scored: DataFrame, y: str, prob: str, pos_label: Any, digits: int | None
 ) -> DataFrame:
     score = F.col(prob) if digits is None else F.round(prob, digits)
-    known = scored.where(F.col(y).isNotNull() & F.col(prob).isNotNull())
-    return known.groupBy(score.alias("score")).agg(
+    rows = scored.where(F.col(y).isNotNull() & known(prob).isNotNull())
+    return rows.groupBy(score.alias("score")).agg(
         F.count_if(F.col(y) == F.lit(pos_label)).alias("pos"),
         F.count_if(F.col(y) != F.lit(pos_label)).alias("neg"),
     )
@@ -250,17 +250,38 @@ def evaluate_scored(
     return metrics.select(F.lit(name).alias("model"), "*", area.alias("roc_auc"))
 
 
+class Evaluation(Mapping):
+    """Parts of an evaluation by name; each is computed when it is asked for, and once."""
+
+    def __init__(self, parts: dict[str, Callable[[], DataFrame]]) -> None:
+        self._parts = parts
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._parts[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._parts)
+
+    def __len__(self) -> int:
+        return len(self._parts)
+
+
 def evaluate(
     model: Model, df: DataFrame, name: str, label: str = "label", pos_label: Any = 1
-) -> dict[str, DataFrame]:
-    """Score a table and return its metrics, class report, confusion matrix and ROC curve.
+) -> Evaluation:
+    """Score a table; its metrics, class report, confusion matrix and ROC curve on request.
 
     The three columns these read are written out first, so the model runs once.
     """
     scored = materialize(predict(model, df).select(label, "prediction", "prob"), "scored")
-    return {
-        "metrics": evaluate_scored(scored, name, label, "prediction", "prob", pos_label),
-        "report": classification_report(scored, label, "prediction"),
-        "confusion": confusion_matrix(scored, label, "prediction"),
-        "roc": roc_curve(scored, label, "prob", pos_label),
-    }
+    return Evaluation(
+        {
+            "metrics": lambda: evaluate_scored(scored, name, label, "prediction", "prob", pos_label),
+            "report": lambda: classification_report(scored, label, "prediction"),
+            "confusion": lambda: confusion_matrix(scored, label, "prediction"),
+            "roc": lambda: roc_curve(scored, label, "prob", pos_label),
+        }
+    )

@@ -9,30 +9,35 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.operators.ordered import top_k
 
 
+# Forests draw their samples per partition, so the number of partitions is part of the model.
+FOREST_PARTITIONS = 64
+
+
 @contextmanager
-def training_rows(df: DataFrame, few: int = 1_000) -> Iterator[tuple[DataFrame, int]]:
+def training_rows(
+    df: DataFrame, layout: Column | None = None, partitions: int = FOREST_PARTITIONS
+) -> Iterator[tuple[DataFrame, int]]:
     """Cached rows for an iterative fit, and how many there are.
 
-    An input of few, large partitions would leave most executors idle in every iteration, so it is
-    spread first; one that already has a partition per core stays as it is.
+    Rows with a ``layout`` digest go to ``partitions`` by it and are sorted by it inside, so that
+    what is drawn per partition depends on the rows alone. Without one, an input of fewer
+    partitions than cores is spread, which changes the speed and not the fit.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    rows = df.persist()
+    if layout is not None:
+        named = df.withColumn("_layout", layout)
+        rows = named.repartition(partitions, "_layout").sortWithinPartitions("_layout").drop("_layout")
+    else:
+        rows = df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    rows = rows.persist()
     try:
-        n = rows.count()
-        parts = rows.rdd.getNumPartitions()
-        if parts < cores and n > few:
-            spread = rows.repartition(cores).persist()
-            spread.count()
-            rows.unpersist()
-            rows = spread
-        yield rows, n
+        yield rows, rows.count()
     finally:
         rows.unpersist()
 
@@ -107,8 +112,11 @@ def fit_forest(
     max_depth: int = 30,
     min_leaf: int = 1,
     seed: int = 42,
+    partitions: int = FOREST_PARTITIONS,
 ) -> Model:
-    with training_rows(df.select(label, features)) as (train, _):
+    """A forest that depends on the rows, the seed and ``partitions``, not on the input's layout."""
+    layout = F.xxhash64(vector_to_array(features), F.col(label))
+    with training_rows(df.select(label, features), layout, partitions) as (train, _):
         return forest_estimator(trees, max_depth, min_leaf, seed, label, features).fit(train)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillframe.functions.scalars import percent
+from quillframe.functions.scalars import known, percent
 from quillframe.operators.joins import join_small
 from quillframe.operators.quantiles import quantile_columns, quantiles
 from quillframe.operators.sampling import sample_n
@@ -20,9 +20,25 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def schema_table(df: DataFrame) -> DataFrame:
-    """(position, column, type); read from the schema, so no job runs."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
+    """(position, column, type, n_known): each column with its number of values, in one pass.
+
+    Pass a table read without a declared schema to see what its files hold. NaN counts as missing.
+    """
+    floating = ("double", "float")
+    fields = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    counts = df.agg(
+        *[F.count(known(c) if t in floating else F.col(c)).alias(f"_{i}") for i, (c, t) in enumerate(fields)]
+    )
+    rows = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(c).alias("column"),
+            F.lit(t).alias("type"),
+            F.col(f"_{i}").alias("n_known"),
+        )
+        for i, (c, t) in enumerate(fields)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -44,13 +60,13 @@ def describe(
     """count, mean, std (n-1), min, quartiles and max per column and group."""
     doubles = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
     long = doubles.unpivot(list(by), list(cols), "feature", "value")
-    known = F.when(~F.isnan("value"), F.col("value"))
+    value = known("value")
     base = long.groupBy(*by, "feature").agg(
-        F.count(known).alias("count"),
-        F.avg(known).alias("mean"),
-        F.stddev_samp(known).alias("std"),
-        F.min(known).alias("min"),
-        F.max(known).alias("max"),
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
     table = quantiles(df, cols, [0.25, 0.5, 0.75], by, exact)
     at = lambda p: F.max(F.when(F.col("prob") == p, F.col("value")))
@@ -65,7 +81,7 @@ def describe(
 
 def group_mean(df: DataFrame, by: str, col: str, headroom: float = 1.2) -> DataFrame:
     """Mean per group in ascending order, with the axis top (largest mean × headroom)."""
-    means = df.groupBy(by).agg(F.avg(col).alias("mean"))
+    means = df.groupBy(by).agg(F.avg(known(col)).alias("mean"))
     top = means.agg(F.max("mean") * headroom).scalar()
     return means.select(by, "mean", top.alias("axis_top")).orderBy("mean", by)
 
@@ -75,7 +91,7 @@ def histogram(df: DataFrame, by: str, col: str, bins: int = 15) -> DataFrame:
 
     Every bin is closed on the left; the last one also on the right.
     """
-    values = df.select(by, col).where(F.col(col).isNotNull())
+    values = df.select(by, col).where(known(col).isNotNull())
     ranges = values.groupBy(by).agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
     # A group with a single value gets a bin range of width 1 around it.
     flat = F.col("lo") == F.col("hi")
@@ -104,7 +120,7 @@ def histogram(df: DataFrame, by: str, col: str, bins: int = 15) -> DataFrame:
 
 def box_stats(df: DataFrame, by: str, col: str, exact: bool = True) -> DataFrame:
     """Quartiles, whisker ends (furthest values within 1.5 IQR of the box) and outliers."""
-    values = df.select(by, col).where(F.col(col).isNotNull())
+    values = df.select(by, col).where(known(col).isNotNull())
     box = quantile_columns(values, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by], exact)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col(col).between(F.col("q1") - reach, F.col("q3") + reach)
@@ -117,8 +133,16 @@ def box_stats(df: DataFrame, by: str, col: str, exact: bool = True) -> DataFrame
 
 
 def scatter_points(
-    df: DataFrame, x: str, y: str, hue: str, n: int, key: Sequence[str], seed: int = 42
+    df: DataFrame,
+    x: str,
+    y: str,
+    hue: str,
+    n: int | None = None,
+    key: Sequence[str] = (),
+    seed: int = 42,
 ) -> DataFrame:
-    """A repeatable sample of ``n`` points for plotting."""
+    """All points of a plot, or with ``n`` a repeatable sample of so many."""
+    if n is None:
+        return df.select(x, y, hue)
     columns = dict.fromkeys([*key, x, y, hue])
     return sample_n(df.select(*columns), n, key, seed).select(x, y, hue)

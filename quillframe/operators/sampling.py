@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -92,16 +92,18 @@ def hash_cutoffs(
     return settle(found.unionByName(none))
 
 
-def sample_n(
-    df: DataFrame, n: int, key: Sequence[str], seed: int = 42, sort_rows: int = 100_000
-) -> DataFrame:
+def row_digest(df: DataFrame, key: Sequence[str], seed: int, tag: str) -> Column:
+    """Digest of the key, then of the whole row: only identical rows have the same."""
+    return F.concat(hash_hex(key, seed, tag), F.hex(F.xxhash64(*df.columns)))
+
+
+def sample_n(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
     """A repeatable random subset of exactly ``n`` rows (all rows when there are fewer).
 
-    Up to ``sort_rows`` it is a top-n, which keeps n rows per task; beyond that a digest cutoff.
+    Rows are chosen by the digest of their key, those that share a key by the digest of the row,
+    so any layout of the same rows gives the same sample.
     """
-    hashed = df.withColumn("_h", hash_hex(key, seed, "sample"))
-    if n <= sort_rows:
-        return hashed.orderBy("_h", *key).limit(n).drop("_h")
+    hashed = df.withColumn("_h", row_digest(df, key, seed, "sample"))
     below_n = lambda sizes: sizes.where(F.col("n") > n).select(
         F.lit(0).alias("slot"), F.lit(n).cast("long").alias("target")
     )
@@ -109,5 +111,6 @@ def sample_n(
     if cutoff is None:
         return df
     below = hashed.where(F.col("_h") < cutoff["cutoff"])
+    # Rows at the cutoff are identical, so it does not matter which of them fill the sample.
     at = hashed.where(F.col("_h") == cutoff["cutoff"]).limit(max(n - below.count(), 0))
     return below.unionByName(at).drop("_h")

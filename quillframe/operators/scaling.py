@@ -8,14 +8,15 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillframe.functions.scalars import known
 from quillframe.operators.joins import settle
 
 
 def fit_scaler(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(feature, mean, std) with the population deviation, in one pass."""
     wide = train.agg(
-        *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(cols)],
-        *[F.stddev_pop(c).alias(f"std_{i}") for i, c in enumerate(cols)],
+        *[F.avg(known(c)).alias(f"mean_{i}") for i, c in enumerate(cols)],
+        *[F.stddev_pop(known(c)).alias(f"std_{i}") for i, c in enumerate(cols)],
     )
     rows = [
         F.struct(
@@ -48,7 +49,7 @@ def scaling_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean and population deviation over all scaled cells together."""
     cells = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     cells = cells.unpivot([], list(cols), "feature", "value")
-    return cells.agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    return cells.agg(F.avg(known("value")).alias("mean"), F.stddev_pop(known("value")).alias("std"))
 
 
 def assemble(df: DataFrame, cols: Sequence[str], output: str = "features") -> DataFrame:

@@ -1,7 +1,7 @@
 """Train/test splits and cross-validation folds, repeatable for a key and a seed.
 
-Rows with the same key always fall on the same side, so copies cannot leak from train to test;
-sizes are exact when keys are unique.
+Rows with the same key fall on the same side, so copies cannot leak from train to test; sizes are
+exact when keys are unique. An exact split divides the one key at its border.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quillframe.functions.hashing import hash_below, hash_hex
 from quillframe.operators.joins import join_small, settle
 from quillframe.operators.models import training_rows
-from quillframe.operators.sampling import hash_cutoffs
+from quillframe.operators.sampling import hash_cutoffs, row_digest
 from quillframe.operators.scaling import scale_and_assemble
 
 
@@ -30,11 +30,12 @@ def split(
     """Add ``split`` = ``train`` / ``test``.
 
     By default one comparison per row, with the share right on average. ``exact=True`` puts
-    ``ceil(n * test_size)`` rows in test, for one more pass over the key columns.
+    ``ceil(n * test_size)`` rows in test, for one more pass: of the rows that share the key at the
+    border, those of lower row digest go to test, so only identical rows can make it inexact.
     """
     if not exact:
         return df.withColumn("split", _side(hash_below(key, test_size, seed, "split")))
-    hashed = df.withColumn("_h", hash_hex(key, seed, "split"))
+    hashed = df.withColumn("_h", row_digest(df, key, seed, "split"))
     targets = lambda sizes: sizes.select(
         F.lit(0).alias("slot"), F.ceil(F.col("n") * F.lit(test_size)).alias("target")
     )

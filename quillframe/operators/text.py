@@ -106,16 +106,27 @@ def text_classifier(
     )
 
 
-def fit_text_classifier(df: DataFrame, text: str = "text", label: str = "label") -> PipelineModel:
-    with training_rows(df.select(text, F.col(label).cast("double").alias(label))) as (train, _):
-        return text_classifier(text, label).fit(train)
+def fit_text_classifier(
+    df: DataFrame,
+    text: str = "text",
+    label: str = "label",
+    features: int = 1 << 14,
+    reg: float = 0.01,
+) -> PipelineModel:
+    """Fit on labelled texts; a NULL text has no words. Words share ``features`` hashed places."""
+    rows = df.select(
+        F.coalesce(text, F.lit("")).alias("_text"), F.col(label).cast("double").alias(label)
+    ).where(F.col(label).isNotNull())
+    with training_rows(rows) as (train, _):
+        return text_classifier("_text", label, features, reg).fit(train)
 
 
 def predict_sentiment(
-    df: DataFrame, model: PipelineModel, names: dict[int, str] = SENTIMENTS
+    df: DataFrame, model: PipelineModel, names: dict[int, str] = SENTIMENTS, text: str = "text"
 ) -> DataFrame:
-    """Add label, confidence, positive_prob and negative_prob to each text."""
-    scored = model.transform(df).withColumn("_p", vector_to_array("probability"))
+    """Add label, confidence, positive_prob and negative_prob to each text; NULL has no words."""
+    readable = df.withColumn("_text", F.coalesce(text, F.lit("")))
+    scored = model.transform(readable).withColumn("_p", vector_to_array("probability"))
     return scored.select(
         *[c for c in df.columns if c != "label"],
         map_codes(F.col("prediction").cast("int"), names).alias("label"),

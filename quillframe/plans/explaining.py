@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from quillframe.operators import explain as ops
 from quillframe.operators.joins import settle
 from quillframe.operators.models import fit_forest, predict
-from quillframe.operators.sampling import sample_n
 from quillframe.operators.scaling import assemble
 from quillframe.operators.splitting import split
 from quillframe.plans.modelling import FIT_SQL, fitted_line
@@ -113,22 +112,27 @@ _PARTNERS = " UNION ALL ".join(
     if c != "l_extendedprice"
 )
 
+_PARTNER_VALUES = " ".join(f"WHEN '{c}' THEN {c}" for c in FEATURES if c != "l_extendedprice")
+
 
 @query(
     "dependence_points",
-    f"""WITH {SHAP_SQL}, partners AS ({_PARTNERS}),
-best AS (SELECT partner FROM partners ORDER BY strength DESC, partner DESC LIMIT 1)
-SELECT {KEYS_SQL}, s.value, round(s.contribution, 2) AS contribution, o.feature AS partner,
-       o.value AS partner_value
-FROM shap s JOIN shap o USING ({KEYS_SQL}) JOIN best ON o.feature = best.partner
-WHERE s.feature = 'l_extendedprice'""",
+    f"""WITH {LINES_SQL}, partners AS ({_PARTNERS}),
+best AS (SELECT partner FROM partners ORDER BY strength DESC, partner DESC LIMIT 1),
+mean AS (SELECT avg(l_extendedprice) AS m FROM lines)
+SELECT {KEYS_SQL}, l_extendedprice AS value,
+       round({WEIGHTS['l_extendedprice']}::DOUBLE * (l_extendedprice - (SELECT m FROM mean)), 2)
+           AS contribution,
+       (SELECT partner FROM best) AS partner,
+       CASE (SELECT partner FROM best) {_PARTNER_VALUES} END AS partner_value
+FROM lines""",
 )
 def dependence_points(spark, sf_dir):
     points = ops.dependence_points(_contributions(spark, sf_dir), "l_extendedprice", LINE_KEY)
     return _round(points, 2, "contribution")
 
 
-N_EXPLAINED, N_BACKGROUND = 20, 20
+N_BACKGROUND = 5
 _LINEAR_PUSHES = " UNION ALL ".join(
     f"SELECT {KEYS_SQL}, '{c}' AS feature, {c} AS value, w{i + 1} * ({c} - g{i}) AS contribution,"
     f" w0 + w1 * g0 + w2 * g1 + w3 * g2 + w4 * g3 AS base, prediction FROM explained"
@@ -141,22 +145,20 @@ _LINEAR_PUSHES = " UNION ALL ".join(
     f"""WITH {FIT_SQL},
 near AS (SELECT * FROM train ORDER BY {hash_sql('sample')}, {KEYS_SQL} LIMIT {N_BACKGROUND}),
 g AS (SELECT {', '.join(f'avg({c}) AS g{i}' for i, c in enumerate(FEATURES))} FROM near),
-picked AS (SELECT * FROM parted WHERE split = 'test'
-           ORDER BY {hash_sql('sample')}, {KEYS_SQL} LIMIT {N_EXPLAINED}),
 explained AS (SELECT *, w0 + w1 * l_quantity + w2 * l_extendedprice + w3 * l_discount + w4 * l_tax
-                     AS prediction FROM picked CROSS JOIN fit CROSS JOIN g),
+                     AS prediction FROM parted CROSS JOIN fit CROSS JOIN g
+              WHERE split = 'test'),
 shap AS ({_LINEAR_PUSHES})
 SELECT {KEYS_SQL}, feature, value, round(contribution, 2) AS contribution, round(base, 2) AS base,
        round(prediction, 2) AS prediction FROM shap""",
 )
 def sampled_shapley(spark, sf_dir):
-    """For a linear model the sampled contributions are exact, so SQL can check them."""
+    """Every test row. A linear model's sampled contributions are exact after one walk."""
     ready, model = fitted_line(spark, sf_dir)
     plain = ready.drop("features")
-    rows = sample_n(plain.where("split = 'test'"), N_EXPLAINED, LINE_KEY, SEED)
     found = ops.sampled_shapley(
-        rows, model, FEATURES, plain.where("split = 'train'"), LINE_KEY, LINE_KEY,
-        n_background=N_BACKGROUND, seed=SEED,
+        plain.where("split = 'test'"), model, FEATURES, plain.where("split = 'train'"), LINE_KEY,
+        LINE_KEY, n_perm=1, n_background=N_BACKGROUND, seed=SEED,
     )
     return _round(found, 2, "contribution", "base", "prediction")
 
@@ -167,10 +169,12 @@ def _forest(train):
 
 @query("sampled_shapley_forest")
 def sampled_shapley_forest(spark, sf_dir):
-    table = classed_lines(spark, sf_dir)
-    rows = sample_n(table, N_EXPLAINED, LINE_KEY, SEED)
+    """Every test row of a forest fitted on the training side."""
+    parted = split(classed_lines(spark, sf_dir), 0.2, LINE_KEY, SEED)
+    train, test = parted.where("split = 'train'"), parted.where("split = 'test'")
     return ops.sampled_shapley(
-        rows, _forest(table), FEATURES, table, LINE_KEY, LINE_KEY, n_perm=20, seed=SEED
+        test, _forest(train), FEATURES, train, LINE_KEY, LINE_KEY, n_perm=2,
+        n_background=N_BACKGROUND, seed=SEED,
     )
 
 

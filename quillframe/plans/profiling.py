@@ -6,25 +6,36 @@ from pyspark.sql import functions as F
 
 from quillframe.operators import profiling as ops
 from quillframe.plans.registry import query
-from quillframe.plans.standins import FEATURES, LINE_KEY, LINES_SQL, SEED, hash_sql, lines
-from quillframe.sources.tables import load_table
+from quillframe.plans.standins import FEATURES, LINES_SQL, lines
+from quillframe.sources.tables import SCHEMAS, load_table
 
 
-@query("shape", "SELECT count(*) AS n_rows, 11::BIGINT AS n_columns FROM lineitem")
+@query("shape", """SELECT count(*) AS n_rows,
+  (SELECT count(*) FROM (DESCRIBE SELECT * FROM lineitem)) AS n_columns FROM lineitem""")
 def shape(spark, sf_dir):
-    return ops.shape(load_table(spark, sf_dir, "lineitem"))
+    """Columns as the files have them."""
+    return ops.shape(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+
+
+_COLUMNS = [c.split()[0] for c in SCHEMAS["lineitem"].split(", ")]
+_KNOWN_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, count({c}) AS n_known FROM lineitem" for c in _COLUMNS
+)
 
 
 @query(
     "schema_table",
-    """SELECT (row_number() OVER () - 1)::INT AS position, column_name AS "column",
+    f"""WITH known AS ({_KNOWN_SQL})
+SELECT (row_number() OVER () - 1)::INT AS position, column_name AS "column",
   CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
        WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
-       WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type
+       WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type,
+  (SELECT n_known FROM known WHERE name = column_name) AS n_known
 FROM (DESCRIBE SELECT * FROM lineitem)""",
 )
 def schema_table(spark, sf_dir):
-    return ops.schema_table(load_table(spark, sf_dir, "lineitem"))
+    """What the files hold, whatever is declared."""
+    return ops.schema_table(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 
 def _value_counts_sql(table: str, col: str) -> str:
@@ -136,11 +147,8 @@ def box_stats(spark, sf_dir):
 
 @query(
     "scatter_points",
-    f"SELECT l_quantity, l_extendedprice, l_returnflag FROM lineitem"
-    f" ORDER BY {hash_sql('sample')}, {', '.join(LINE_KEY)} LIMIT 1000",
+    "SELECT l_quantity, l_extendedprice, l_returnflag FROM lineitem",
 )
 def scatter_points(spark, sf_dir):
     table = load_table(spark, sf_dir, "lineitem")
-    return ops.scatter_points(
-        table, "l_quantity", "l_extendedprice", "l_returnflag", 1000, LINE_KEY, SEED
-    )
+    return ops.scatter_points(table, "l_quantity", "l_extendedprice", "l_returnflag")

@@ -11,9 +11,15 @@ from quillframe.sources import artifacts
 from quillframe.sources.tables import load_table
 
 
-@query("load_table", f"SELECT {KEYS_SQL}, {FEATURES_SQL}, l_returnflag, l_linestatus FROM lineitem")
+@query(
+    "load_table",
+    f"SELECT {KEYS_SQL}, {FEATURES_SQL}, l_returnflag, l_linestatus,"
+    " strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate FROM lineitem",
+)
 def load(spark, sf_dir):
-    return load_table(spark, sf_dir, "lineitem").drop("l_shipdate")
+    """All columns; the time as text, which every engine prints alike."""
+    shown = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")
+    return load_table(spark, sf_dir, "lineitem").withColumn("l_shipdate", shown)
 
 
 @query(

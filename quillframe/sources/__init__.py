@@ -1,4 +1,5 @@
 from quillframe.sources.artifacts import (
+    discard,
     load_model,
     materialize,
     save_model,
@@ -10,6 +11,7 @@ from quillframe.sources.tables import SCHEMAS, load_table
 
 __all__ = [
     "SCHEMAS",
+    "discard",
     "load_model",
     "load_table",
     "materialize",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="quillframe-")
         context.setCheckpointDir(base)
@@ -36,6 +37,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; frames that read them end with it."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if base:
+        path = context._jvm.org.apache.hadoop.fs.Path(
+            f"{base.rstrip('/')}/quillframe/{context.applicationId}"
+        )
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def save_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a result table as parquet."""
     df.write.mode(mode).parquet(path)

@@ -111,7 +111,19 @@ def test_materialized_table_lives_in_the_shared_folder(spark, table):
 
 def test_training_rows_spread_and_release(spark):
     df = spark.range(100, numPartitions=1)
-    with models.training_rows(df, few=10) as (rows, n):
+    with models.training_rows(df) as (rows, n):
         assert n == 100 and rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
         assert rows.storageLevel.useMemory
     assert not rows.storageLevel.useMemory
+
+
+def test_forest_does_not_depend_on_the_layout(spark):
+    rows = spark.range(400).selectExpr(
+        "cast(id % 7 as double) AS a", "cast(id % 11 as double) AS b", "cast(id % 7 > 3 as int) AS label"
+    )
+    found = []
+    for n in (1, 4, 8):
+        ready = assemble(rows.repartition(n), ["a", "b"])
+        forest = models.fit_forest(ready, trees=5, max_depth=3, partitions=6)
+        found.append(forest.featureImportances.toArray().tolist())
+    assert found[0] == found[1] == found[2]

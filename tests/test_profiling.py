@@ -112,7 +112,7 @@ def test_value_counts_and_shape(table):
         ("b", 1, 25.0),
     ]
     assert tuple(ops.shape(df).first()) == (4, 1)
-    assert rows_of(ops.schema_table(df)) == [(0, "v", "string")]
+    assert rows_of(ops.schema_table(df)) == [(0, "v", "string", 3)]
 
 
 def test_group_mean_order_and_headroom(table):
@@ -129,3 +129,32 @@ def test_scatter_points_are_repeatable(spark):
     one = ops.scatter_points(df, *args)
     other = ops.scatter_points(df.repartition(7), *args)
     assert one.count() == 100 and rows_of(one) == rows_of(other)
+
+
+def test_nan_is_missing_everywhere(spark):
+    rows = [("a", 1.0), ("a", 2.0), ("a", float("nan")), ("a", None), ("a", 10.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+    plain = df.where("x is not null and not isnan(x)")
+    from quillframe.operators import metrics, scaling
+
+    for f in (
+        lambda t: ops.histogram(t, "g", "x", 4),
+        lambda t: ops.box_stats(t, "g", "x"),
+        lambda t: ops.group_mean(t, "g", "x"),
+        lambda t: scaling.fit_scaler(t, ["x"]),
+        lambda t: metrics.regression_report(t.withColumn("y", F.lit(1.0)), "y", "x"),
+    ):
+        assert f(df).collect() == f(plain).collect()
+    schema = {r.column: (r.type, r.n_known) for r in ops.schema_table(df).collect()}
+    assert schema == {"g": ("string", 5), "x": ("double", 3)}
+
+
+def test_missing_classes_are_left_out(spark):
+    from quillframe.operators import metrics
+
+    df = spark.createDataFrame([(1, 1), (0, 1), (None, 1), (1, None)], "y int, p int")
+    plain = df.where("y is not null and p is not null")
+    report = lambda t: sorted(map(str, metrics.classification_report(t, "y", "p").collect()))
+    assert report(df) == report(plain)
+    matrix = metrics.confusion_matrix(df, "y", "p")
+    assert sorted(map(tuple, matrix.collect())) == [(0, 0, 0), (0, 1, 1), (1, 0, 0), (1, 1, 1)]

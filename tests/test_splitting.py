@@ -27,19 +27,19 @@ def people(spark):
 
 
 def test_sample_sizes_and_layout(people):
-    for sort_rows in (100_000, 0):
-        one = sample_n(people.repartition(1), 77, KEY, 1, sort_rows)
-        other = sample_n(people.repartition(8), 77, KEY, 1, sort_rows)
+    for parts in (4, 8):
+        one = sample_n(people.repartition(1), 77, KEY, 1)
+        other = sample_n(people.repartition(parts), 77, KEY, 1)
         assert one.count() == 77 and rows_of(one) == rows_of(other)
     assert rows_of(one) == rows_of(sample_n(people, 77, KEY, 1))
-    assert sample_n(people, 5000, KEY, 1, 0).count() == 3000
-    assert sample_n(people, 0, KEY, 1, 0).count() == 0
+    assert sample_n(people, 5000, KEY, 1).count() == 3000
+    assert sample_n(people, 0, KEY, 1).count() == 0
 
 
 def test_sample_is_exact_when_copies_share_a_key(spark):
     hot = spark.range(900).select(F.when(F.col("id") < 600, 0).otherwise(F.col("id")).alias("id"))
     for n in (1, 50, 400, 700):
-        assert sample_n(hot, n, KEY, 3, 0).count() == n
+        assert sample_n(hot, n, KEY, 3).count() == n
 
 
 def test_split_shares(people):
@@ -124,3 +124,12 @@ def test_cross_validation_scales_on_training_folds_only(table):
     ops.cross_validate(df, LogisticRegression(), 4, ["x"], "label", KEY, prepare=prepare)
     assert len(seen) == 4 and all(len(s) == 30 for s in seen)
     assert set.intersection(*seen) == set()
+
+
+def test_rows_that_share_a_key_do_not_depend_on_the_layout(spark):
+    hot = spark.range(10).selectExpr("0 AS k", "id AS x")
+    samples = [rows_of(sample_n(hot.repartition(n), 4, ["k"], 1)) for n in (1, 4, 8)]
+    assert len(samples[0]) == 4 and samples[0] == samples[1] == samples[2]
+    for n in (1, 4, 8):
+        parted = ops.split(hot.repartition(n), 0.2, ["k"], exact=True)
+        assert parted.where("split = 'test'").count() == 2

@@ -65,3 +65,11 @@ def test_classifier_learns_its_texts(spark):
     assert scored.where("confidence < 0.5").isEmpty()
     right = scored.where((F.col("label") == "Positive") == (F.col("y") == 1)).count()
     assert right / df.count() > 0.95
+
+
+def test_a_missing_text_has_no_words(spark):
+    rows = [("good fine", 1), ("bad poor", 0), (None, 1), ("", 0), ("good", None)]
+    df = spark.createDataFrame(rows, "text string, label int").repartition(2)
+    model = ops.fit_text_classifier(df, features=64)
+    scored = {r.text: r.positive_prob for r in ops.predict_sentiment(df, model).collect()}
+    assert scored[None] == scored[""] and scored["good fine"] > scored["bad poor"]

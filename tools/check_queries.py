@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -21,6 +22,7 @@ def session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp())
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
