@@ -28,7 +28,7 @@ DIM = 32
 ONES = 4  # places of an index vector that are not 0
 BUCKETS = 1 << 15  # word vectors kept: 4 MB, whatever the corpus
 SLICES = 8  # parts in which counts of neighbours are added up
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 TRAINING_ROWS = 12_000  # bound of the labelled sample that is fitted on
 HIDDEN = 16
 EPOCHS = 400
@@ -68,7 +68,7 @@ class Tokens:
         return at
 
     def of(self, words: list[str]) -> list[tuple[int, ...]]:
-        if len(self.known) > 300_000:
+        if len(self.known) > 120_000:
             self.__init__()
         for word in words:
             if word not in self.known:

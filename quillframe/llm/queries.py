@@ -15,6 +15,12 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 KEEP_SCORE = 0.3
 TOKEN_LIMIT = 512
 ROOM = 2048
+# Workers give large blocks back to the system when they are done with them.
+WORKER_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
 
 
 def tokenizer_file(name: str) -> str:
@@ -26,7 +32,8 @@ def tokenizer_file(name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Workers import this package; tell them where it lies, in case it is not installed there.
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    for name, value in {"PYTHONPATH": ROOT, **WORKER_MEMORY}.items():
+        spark.sparkContext.environment.setdefault(name, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
