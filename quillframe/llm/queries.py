@@ -32,8 +32,8 @@ def tokenizer_file(name: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Workers import this package; tell them where it lies, in case it is not installed there.
-    for name, value in {"PYTHONPATH": ROOT, **WORKER_MEMORY}.items():
-        spark.sparkContext.environment.setdefault(name, value)
+    for setting, value in {"PYTHONPATH": ROOT, **WORKER_MEMORY}.items():
+        spark.sparkContext.environment.setdefault(setting, value)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
