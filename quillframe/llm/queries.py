@@ -17,8 +17,8 @@ TOKEN_LIMIT = 512
 ROOM = 2048
 # Workers give large blocks back to the system when they are done with them.
 WORKER_MEMORY = {
-    "MALLOC_MMAP_THRESHOLD_": str(1 << 20),
-    "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+    "MALLOC_MMAP_THRESHOLD_": str(8 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(64 << 20),
     "ARROW_DEFAULT_MEMORY_POOL": "system",
 }
 
