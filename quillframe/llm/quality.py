@@ -11,17 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.hashing import hash_hex
-from quillframe.llm.rows import balanced, cut_at_space, identified, words_of
+from quillframe.llm.rows import balanced, cut_at_space, identified
 from quillframe.sources.artifacts import materialize
 
 DIM = 32
@@ -29,66 +26,78 @@ ONES = 4  # places of an index vector that are not 0
 BUCKETS = 1 << 15  # word vectors kept: 4 MB, whatever the corpus
 SLICES = 8  # parts in which counts of neighbours are added up
 SLICE_BYTES = 1 << 20
+STEP = 4096  # tokens pooled at a time
 TRAINING_ROWS = 12_000  # bound of the labelled sample that is fitted on
 HIDDEN = 16
 EPOCHS = 400
 SEED = 42
 
-# Runs of lower-case letters and all that is not ASCII; of capitals; of digits; of anything else.
-_TOKEN = regex.compile(rb"[a-z\x80-\xff]+|[A-Z]+|[0-9]+|[^A-Za-z0-9\x80-\xff]+")
+# Tokens are runs of lower-case letters and all that is not ASCII (0), of capitals (1), of digits
+# (2), and of anything else (3); white space (4) parts them.
 KINDS = 4
-
-
-def _kind(token: bytes) -> int:
-    first = token[0]
-    return 0 if 97 <= first <= 122 or first > 127 else 1 if 65 <= first <= 90 else 2 if 48 <= first <= 57 else 3
-
-
-class Tokens:
-    """Tokens of words, with bucket, kind and index vector of each; kept while a task runs."""
-
-    def __init__(self) -> None:
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.number: dict[bytes, int] = {}
-        self.buckets: list[int] = []
-        self.kinds: list[int] = []
-        self.vectors = np.zeros((1024, DIM), np.int8)
-
-    def _new(self, token: bytes) -> int:
-        at = self.number[token] = len(self.buckets)
-        digest = xxhash.xxh64_intdigest(token, SEED)
-        self.buckets.append(digest % BUCKETS)
-        self.kinds.append(_kind(token))
-        if at == len(self.vectors):
-            self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
-        digest = xxhash.xxh64_intdigest(token, SEED + 1)
-        for _ in range(ONES):
-            self.vectors[at, digest % DIM] += 1 - 2 * (digest // DIM & 1)
-            digest //= 2 * DIM
-        return at
-
-    def of(self, words: list[str]) -> list[tuple[int, ...]]:
-        if len(self.known) > 120_000:
-            self.__init__()
-        for word in words:
-            if word not in self.known:
-                found = _TOKEN.findall(word.encode())
-                self.known[word] = tuple(
-                    [self.number[t] if t in self.number else self._new(t) for t in found]
-                )
-        return [self.known[w] for w in words]
-
-    def sequence(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(row, token number) of every token of ``texts``."""
-        rows, codes, words = words_of(texts)
-        lists = self.of(words)
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        tokens = np.fromiter(chain.from_iterable(lists), np.int64, int(size.sum()))
-        per_word = size[codes]
-        ends = np.cumsum(per_word)
-        first = (np.cumsum(size) - size)[codes]
-        at = np.repeat(first - (ends - per_word), per_word) + np.arange(per_word.sum())
-        return np.repeat(rows, per_word), tokens[at]
+_KIND = np.full(256, 3, np.uint8)
+_KIND[97:123] = _KIND[128:] = 0
+_KIND[65:91] = 1
+_KIND[48:58] = 2
+_KIND[[32, *range(9, 14)]] = 4
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers scrambled, so that any of their bits can be used alone (the splitmix64 steps)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+# What each byte adds to the polynomial that is a token's digest; white space adds nothing.
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_BYTE[_KIND == 4] = 0
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+
+
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, digest, kind) of every token of ``texts``, which hold no nulls, in order."""
+    offsets, sizes = _offsets(texts)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    kinds = _KIND[data]
+    first = np.ones(len(data), bool)
+    first[1:] = kinds[1:] != kinds[:-1]
+    first[offsets[:-1][sizes > 0]] = True
+    starts = np.flatnonzero(first & (kinds != 4))
+    if not len(starts):
+        return starts, starts.astype(np.uint64), starts.astype(np.uint8)
+    rows = np.searchsorted(offsets, starts, "right") - 1
+    # White space after a token goes with it and adds 0.
+    lengths = np.diff(np.append(starts, len(data)))
+    place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
+    powers = np.full(int(lengths.max()), _BASE)
+    np.cumprod(powers, out=powers)
+    terms = powers[place]
+    terms *= _BYTE[data[starts[0] :]]
+    return rows, _mixed(np.add.reduceat(terms, starts - starts[0])), kinds[starts]
+
+
+def _offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    wide = pa.types.is_large_string(texts.type)
+    held = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)
+    offsets = held[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return offsets, np.diff(offsets)
+
+
+def buckets_of(digests: np.ndarray) -> np.ndarray:
+    return (digests % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def index_vectors(digests: np.ndarray) -> np.ndarray:
+    """The index vector of each token: ``ONES`` ones and minus ones at places its digest chooses."""
+    out = np.zeros((len(digests), DIM))
+    bits, each = _mixed(digests ^ np.uint64(SEED)), np.arange(len(digests))
+    for _ in range(ONES):
+        sign = 1.0 - 2.0 * (bits // np.uint64(DIM) & np.uint64(1)).astype(np.float64)
+        out[each, (bits % np.uint64(DIM)).astype(np.int64)] += sign
+        bits = bits // np.uint64(2 * DIM)
+    return out
 
 
 def neighbour_sums(texts: DataFrame) -> np.ndarray:
@@ -101,14 +110,14 @@ def neighbour_sums(texts: DataFrame) -> np.ndarray:
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((BUCKETS, DIM), np.int32)
-        tokens = Tokens()
         for batch in batches:
             for _, part in balanced(batch.column(0), SLICE_BYTES, cut_at_space):
-                rows, found = tokens.sequence(part)
-                buckets = np.array(tokens.buckets)[found]
+                rows, digests, _ = tokens_of(part)
+                known, place = np.unique(digests, return_inverse=True)
+                buckets, index = buckets_of(known)[place], index_vectors(known)
                 pairs = np.flatnonzero(rows[1:] == rows[:-1])
                 for d in range(DIM):
-                    value = tokens.vectors[found, d].astype(np.float64)
+                    value = index[place, d]
                     table[:, d] += (
                         np.bincount(buckets[pairs], value[pairs + 1], BUCKETS)
                         + np.bincount(buckets[pairs + 1], value[pairs], BUCKETS)
@@ -139,37 +148,36 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
 
-def features(tokens: Tokens, table: np.ndarray, texts: pa.Array) -> np.ndarray:
-    """Pooled features of each text, whole; an empty one has zeros."""
+def features(table: np.ndarray, texts: pa.Array) -> np.ndarray:
+    """Pooled features of each text, whole; an empty one has zeros. ``table`` has rows of length 1."""
     n = len(texts)
     sums = np.zeros((n, 3 * DIM + KINDS + 2))
     count = np.zeros(n)
     pairs_of = np.zeros(n)
     for numbers, part in balanced(texts, SLICE_BYTES, cut_at_space):
-        rows, found = tokens.sequence(part)
-        if not len(found):
+        rows, digests, kinds = tokens_of(part)
+        if not len(rows):
             continue
-        known, place = np.unique(found, return_inverse=True)
-        index = tokens.vectors[known].astype(np.float32)
-        vectors = _unit(_unit(table[np.array(tokens.buckets)[known]]) + _unit(index)).astype(np.float32)
-        kinds = np.array(tokens.kinds)[known]
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1])
-        doc = numbers[rows[starts]]
-        count[doc] += np.diff(np.append(starts, len(rows)))
-        same_doc = np.append(rows[1:] == rows[:-1], False)
-        pairs_of[doc] += np.add.reduceat(same_doc.astype(np.int64), starts)
-        after = np.append(place[1:], 0)
-        for d in range(DIM):
-            value, own = vectors[:, d], index[:, d]
-            here = value[place]
-            sums[doc, d] += np.add.reduceat(here, starts, dtype=np.float64)
-            sums[doc, DIM + d] += np.add.reduceat(here * here, starts, dtype=np.float64)
-            both = own[place] * own[after] * same_doc
-            sums[doc, 2 * DIM + d] += np.add.reduceat(both, starts, dtype=np.float64)
-        for k in range(KINDS):
-            sums[doc, 3 * DIM + k] += np.add.reduceat((kinds == k)[place], starts, dtype=np.float64)
-        again = (place == after) & same_doc
-        sums[doc, 3 * DIM + KINDS] += np.add.reduceat(again, starts, dtype=np.float64)
+        known, one, place = np.unique(digests, return_index=True, return_inverse=True)
+        index = index_vectors(known)
+        vectors = _unit(table[buckets_of(known)] + _unit(index))
+        kind = np.eye(KINDS)[kinds[one]]
+        each = np.concatenate([vectors, vectors * vectors, kind, index], axis=1)
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1, [len(rows)]])
+        for start, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+            doc, size = numbers[rows[start]], end - start
+            for at in range(start, end, STEP):
+                # One token more, for the pair that a step's last one makes.
+                codes = place[at : min(at + STEP + 1, end)]
+                own = each[codes]
+                added = own[:STEP, : 2 * DIM + KINDS].sum(axis=0)
+                sums[doc, : 2 * DIM] += added[: 2 * DIM]
+                sums[doc, 3 * DIM : 3 * DIM + KINDS] += added[2 * DIM :]
+                beside = own[:, 2 * DIM + KINDS :]
+                sums[doc, 2 * DIM : 3 * DIM] += (beside[1:] * beside[:-1]).sum(axis=0)
+                sums[doc, 3 * DIM + KINDS] += np.count_nonzero(codes[1:] == codes[:-1])
+            count[doc] += size
+            pairs_of[doc] += size - 1
     out = np.zeros_like(sums)
     out[:, : 2 * DIM] = sums[:, : 2 * DIM] / np.maximum(count, 1)[:, None]
     out[:, 2 * DIM : 3 * DIM] = sums[:, 2 * DIM : 3 * DIM] / np.maximum(pairs_of, 1)[:, None]
@@ -257,9 +265,10 @@ class QualityModel:
         kept = rows.columns[:-1]
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tokens, fitted = Tokens(), model.value
+            fitted = model.value
+            table = _unit(fitted.table)
             for batch in batches:
-                x = features(tokens, fitted.table, batch.column(len(kept)))
+                x = features(table, batch.column(len(kept)))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:-1], pa.array(fitted.network.probabilities(x))],
                     names=[*kept, "score"],
@@ -300,9 +309,9 @@ def fit_quality(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens()
+        table = _unit(shared.value.table)
         for batch in batches:
-            x = features(tokens, shared.value.table, batch.column(2))
+            x = features(table, batch.column(2))
             lists = pa.ListArray.from_arrays(
                 np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel())
             )

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+import regex
 from odd_tables import SF_SMALL, documents, none, odd, texts  # noqa: F401
 from tokenizers import Tokenizer
 
@@ -204,6 +205,20 @@ def test_quality_query_on_held_out_rows(spark, documents):
     assert sum(clean) / len(clean) > 0.97
 
 
+def test_quality_tokens_are_runs_of_one_kind():
+    texts = ["", "Ab12 ab\t12!!", "  ", "\u00e9t\u00e9x,\x0b,A", "no", "", "xx" * 5000 + "9", "Ab12"]
+    runs = regex.compile(rb"[a-z\x80-\xff]+|[A-Z]+|[0-9]+|[^A-Za-z0-9\x80-\xff\x20\x09-\x0D]+")
+    want = [(i, t) for i, x in enumerate(texts) for t in runs.findall(x.encode())]
+    for part in (pa.array(texts), pa.array(["skipped", *texts]).slice(1)):
+        rows, digests, kinds = quality.tokens_of(part)
+        assert rows.tolist() == [i for i, _ in want]
+        named = dict(zip((t for _, t in want), digests.tolist()))
+        assert digests.tolist() == [named[t] for _, t in want]
+        assert len(set(named.values())) == len(named)
+        assert kinds[:4].tolist() == [1, 0, 2, 0]
+    assert len(quality.tokens_of(pa.array(["", " "]))[0]) == 0
+
+
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame(
         [(3, 1), (5, 1), (8, 0), (9, 0), (4, None), (6, 1), (6, 0), (None, 1), (10, 1)],
