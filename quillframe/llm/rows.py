@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from quillframe.sources.artifacts import materialize
 
+DROPPED_ROWS = 1_000_000  # row numbers that are broadcast at most: 8 MB
+
 
 def identified(docs: DataFrame, name: str = "uid") -> DataFrame:
     """``docs`` as (``name``, row): a number for each row, and its columns packed in a struct.
@@ -30,6 +32,18 @@ def identified(docs: DataFrame, name: str = "uid") -> DataFrame:
     )
 
 
+def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``rows`` (uid, ...) whose uid is not among those of ``dropped``.
+
+    Up to ``DROPPED_ROWS`` uids, counted before, are broadcast, so that texts stay where they are;
+    beyond that rows and uids meet by shuffle, with the same result.
+    """
+    dropped = materialize(dropped.select(F.col("uid").alias("_dropped")), "dropped")
+    if dropped.count() <= DROPPED_ROWS:
+        dropped = F.broadcast(dropped)
+    return rows.join(dropped, F.col("uid") == F.col("_dropped"), "left_anti")
+
+
 def hash_below_mod(key: Column, mod: int) -> Column:
     """``crc32(key as text) mod m``; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % mod

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.llm.graph import components, forest
-from quillframe.llm.rows import identified
+from quillframe.llm.rows import identified, without
 from quillframe.sources.artifacts import materialize
 
 SEED = 42
@@ -236,6 +236,4 @@ def fingerprint_text(fp: Column) -> Column:
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of ``near_groups``: that of the least key."""
     groups = near_groups(docs, **options)
-    kept = groups.where(F.col("uid") == F.col("first")).select(F.col("uid").alias("_kept"))
-    rows = identified(docs)
-    return rows.join(kept, F.col("uid") == F.col("_kept"), "left_semi").select("row.*")
+    return without(identified(docs), groups.where(F.col("uid") != F.col("first"))).select("row.*")
