@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from odd_tables import SF_SMALL, documents, none, odd, texts  # noqa: F401
 
-from quillframe.llm import exact, graph, queries, simhash
+from quillframe.llm import exact, graph, queries, rows, simhash
 
 
 def slow_fingerprint(text):
@@ -42,6 +42,15 @@ def slow_groups(prints, bits):
     return [find(i) for i in range(len(prints))]
 
 
+@pytest.mark.parametrize("most", [0, 2, 5])
+def test_rows_left_are_the_same_by_broadcast_and_by_shuffle(spark, monkeypatch, most):
+    monkeypatch.setattr(rows, "DROPPED_ROWS", most)
+    left = rows.without(spark.range(10).toDF("uid"), spark.range(3, 6).toDF("uid"))
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (most >= 3)
+    assert sorted(r.uid for r in left.collect()) == [0, 1, 2, 6, 7, 8, 9]
+
+
 def test_simhash_query(spark, texts):
     got = {r.doc_id: r for r in queries.op1_simhash(spark, SF_SMALL).collect()}
     texts = sorted(texts)
