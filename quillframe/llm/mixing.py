@@ -103,9 +103,9 @@ def mix(
         word_count(row[text]).alias("size"),
     )
     rows = rows.withColumn("_order", hash_hex([F.coalesce(F.col("key").cast("string"), F.lit(""))], seed))
-    placed = running_sums(rows, ["_order", "uid"], "size", by="source")
-    placed = materialize(placed.drop("_order"), "placed")
-    sizes = placed.groupBy("source").agg(F.sum("size").alias("size"))
+    rows = materialize(rows, "sizes")  # words are counted once
+    placed = running_sums(rows, ["_order", "uid"], "size", by="source").drop("_order")
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("size"))
     goals = targets(sizes, weights, share, most).select(
         F.col("source").alias("_source"), F.col("size").alias("source_size"), "rank", "target"
     )
