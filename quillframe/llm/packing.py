@@ -5,7 +5,8 @@ parent into another, removes the bins of the other that hold the same items, and
 held besides by best fit. Items are dealt into shards of a bounded size; each shard is evolved by a
 few islands of small populations, whose elites move to the next island after every epoch. The bins
 of a shard that are far from full are opened again and packed in a later level, where items of many
-shards meet, until all that is left fits one shard.
+shards meet, until all that is left fits one shard. A shard has many sequences' worth of items, so
+that every level closes most of what it packs, however short the items are.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from quillframe.llm.token_files import crc32s, with_end
 from quillframe.llm.tokens import encode_batch
 from quillframe.sources.artifacts import materialize
 
-ITEMS = 2_000  # mean items of a shard
+ITEMS = 2_000  # mean items of a shard, more where they fill fewer than SEQUENCES
+SEQUENCES = 32  # least mean total length of a shard, in sequences
 ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 4
@@ -143,9 +145,19 @@ def _evolved(state: DataFrame, room: int, epoch: int) -> DataFrame:
     return state.mapInPandas(run, state.schema)
 
 
-def _level(items: DataFrame, n: int, room: int, level: int, last: bool, path: str) -> DataFrame:
-    """Pack one level: (item, length, bin, offset), with a null bin for what is to be packed again."""
-    shards = max(1, math.ceil(n / ITEMS))
+def shards_of(n: int, total: int, room: int) -> int:
+    """Shards for ``n`` items of ``total`` length: of ``ITEMS`` items, but ``SEQUENCES`` at least."""
+    return max(1, min(math.ceil(n / ITEMS), total // (SEQUENCES * room)))
+
+
+def _level(items: DataFrame, shards: int, room: int, level: int, path: str) -> DataFrame:
+    """Pack one level: (item, length, bin, offset), with a null bin for what is to be packed again.
+
+    A single shard closes all its bins. Of several, each opens its emptiest bins again: at most half
+    of its length if it has two bins or more, and at most one sequence if it has one. So no more
+    than 1 / 2 + 1 / ``SEQUENCES`` of the length is left, and levels stay far below 63.
+    """
+    last = shards == 1
     dealt = items.withColumn("shard", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(shards)))
 
     def gather(group: pa.Table) -> pa.Table:
@@ -216,9 +228,8 @@ def pack(items: DataFrame, room: int) -> DataFrame:
     left = materialize(items.where(F.col("length") < room).select("item", "length"), "items")
     packed = whole
     level = 0
-    while n := left.count():
-        last = n <= ITEMS
-        done = _level(left, n, room, level, last, f"level{level}")
+    while (sizes := left.agg(F.count("*"), F.sum("length")).first())[0]:
+        done = _level(left, shards_of(*sizes, room), room, level, f"level{level}")
         packed = packed.unionByName(done.where("bin is not null").select("item", "bin", "offset"))
         left = done.where("bin is null").select("item", "length")
         level += 1

@@ -117,6 +117,45 @@ def test_packing_over_levels(spark, monkeypatch):
     assert len(fill) <= 1.02 * sum(lengths) / ROOM + 2
 
 
+@pytest.mark.parametrize(("n", "length"), [(3_000, 1), (100_000, 1), (4_500, 3)])
+def test_packing_of_many_short_items_ends(spark, monkeypatch, n, length):
+    levels = []
+    level = packing._level
+
+    def counted(*args):
+        levels.append(args)
+        assert len(levels) < 8, "levels do not shrink"
+        return level(*args)
+
+    monkeypatch.setattr(packing, "_level", counted)
+    items = spark.range(n).select(F.col("id").alias("item"), F.lit(length).cast("long").alias("length"))
+    bins = defaultdict(list)
+    for r in packing.pack(items, ROOM).collect():
+        bins[r.bin].append(r.offset)
+    assert sum(map(len, bins.values())) == n
+    assert len(bins) == -(-n // (ROOM // length))
+    for offsets in bins.values():
+        assert sorted(offsets) == list(range(0, length * len(offsets), length))
+
+
+def test_packing_of_empty_texts(spark):
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    found = packing.pack_documents(docs, path, ROOM).withColumnRenamed("key", "doc_id").collect()
+    n, _ = check_packing(found, [(i, "") for i in range(3_000)])
+    assert n == 2
+
+
+def test_shards_of_several_levels_shrink(spark, monkeypatch):
+    """Short items in several shards of a few sequences each, and over several levels."""
+    monkeypatch.setattr(packing, "ITEMS", 100)
+    monkeypatch.setattr(packing, "SEQUENCES", 4)
+    assert packing.shards_of(3_000, 3_000, 64) == 11
+    items = spark.range(3_000).select(F.col("id").alias("item"), F.lit(1).cast("long").alias("length"))
+    sizes = [r["count"] for r in packing.pack(items, 64).groupBy("bin").count().collect()]
+    assert sum(sizes) == 3_000 and max(sizes) <= 64 and len(sizes) <= 50
+
+
 def test_crossover_keeps_every_item():
     rng = np.random.default_rng(3)
     size = rng.integers(1, 1500, 300)
