@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillframe.llm.rows import identified, without
+from quillframe.llm.rows import at_rest, identified, without
 from quillframe.sources.artifacts import materialize, shared_path
 
 # Fixed value: the characters that do not count, ASCII white space.
@@ -133,4 +133,5 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the kept row of each group of equal texts."""
+    docs = at_rest(docs)
     return without(identified(docs), exact_groups(docs, text, key).where("NOT kept")).select("row.*")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.hashing import hash_hex
-from quillframe.llm.rows import identified, running_sums
+from quillframe.llm.rows import at_rest, identified, running_sums
 from quillframe.operators.ordered import add_row_index
 from quillframe.sources.artifacts import materialize
 
@@ -147,6 +147,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A pass that reads at least half of a document gives the whole of it, any other gives none, so
     that no text is cut.
     """
+    docs = at_rest(docs)
     plan = mix(docs, **options).where(F.col("words") * 2 >= F.col("size")).where("words > 0")
     plan = plan.select(F.col("uid").alias("_uid"), F.col("position").alias("_position"))
     rows = identified(docs).join(plan, F.col("uid") == F.col("_uid"))

@@ -352,12 +352,12 @@ def _field(rows: DataFrame) -> str:
     return f"`{rows.columns[0]}` {rows.schema[0].dataType.simpleString()}"
 
 
-def _score_by_shuffle(rows: DataFrame, model: LanguageModel) -> DataFrame:
-    """(key, ...) for rows (key, text): n-grams are brought to the segments that hold them."""
+def _score_by_shuffle(named: DataFrame, key: str, model: LanguageModel) -> DataFrame:
+    """(``key``, ...) for rows (uid, key, text): n-grams are brought to the segments that hold them.
+
+    Rows are read twice and must have the same uid each time.
+    """
     segments, floor = model.segments, float(model.total + model.distinct + 1)
-    named = rows.select(
-        F.monotonically_increasing_id().alias("uid"), F.col(rows.columns[0]).alias("key"), rows.columns[1]
-    )
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -423,7 +423,7 @@ def _score_by_shuffle(rows: DataFrame, model: LanguageModel) -> DataFrame:
         F.sum(F.col("times") * F.log10(likely)).alias("score"),
     )
     return named.join(sums, F.col("uid") == F.col("_uid")).select(
-        F.col("key").alias(rows.columns[0]), "n_tokens", "n_known", "base_score", "score"
+        F.col("key").alias(key), "n_tokens", "n_known", "base_score", "score"
     )
 
 
@@ -443,7 +443,8 @@ def score(
     """
     row = F.col("row")
     rows = identified(docs).select(
-        row[key].alias(key), F.coalesce(row[text], F.lit("")).alias("_text")
+        "uid", row[key].alias("key"), F.coalesce(row[text], F.lit("")).alias("_text")
     )
-    by = _score_by_broadcast if model.bytes <= most else _score_by_shuffle
-    return by(rows, model)
+    if model.bytes > most:
+        return _score_by_shuffle(rows, key, model)
+    return _score_by_broadcast(rows.select(F.col("key").alias(key), "_text"), model)

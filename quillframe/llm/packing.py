@@ -262,8 +262,9 @@ def pieces(
             )
 
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long"
-    written = materialize(rows.mapInArrow(cut, schema), "pieces")
-    return written.select(F.monotonically_increasing_id().alias("item"), "*")
+    # Numbers are written with the pieces: another scan could be split in another way.
+    numbered = rows.mapInArrow(cut, schema).select(F.monotonically_increasing_id().alias("item"), "*")
+    return materialize(numbered, "pieces")
 
 
 def pack_documents(

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.llm.graph import components, forest
-from quillframe.llm.rows import identified, without
+from quillframe.llm.rows import at_rest, identified, without
 from quillframe.sources.artifacts import materialize
 
 SEED = 42
@@ -235,5 +235,6 @@ def fingerprint_text(fp: Column) -> Column:
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of ``near_groups``: that of the least key."""
+    docs = at_rest(docs)
     groups = near_groups(docs, **options)
     return without(identified(docs), groups.where(F.col("uid") != F.col("first"))).select("row.*")

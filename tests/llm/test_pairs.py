@@ -11,8 +11,9 @@ import numpy as np
 import pytest
 import xxhash
 from odd_tables import SF_SMALL, documents, none, odd, texts  # noqa: F401
+from pyspark.sql import functions as F
 
-from quillframe.llm import exact, graph, queries, rows, simhash
+from quillframe.llm import exact, graph, mixing, ngrams, packing, queries, rows, simhash
 
 
 def slow_fingerprint(text):
@@ -171,3 +172,72 @@ def test_query_equals_sql(spark, name):
     assert got.schema.types == want.schema.types
     rows = lambda t: sorted(zip(*[c.to_pylist() for c in t.columns], strict=True))
     assert rows(got) == rows(want)
+
+
+@pytest.fixture
+def scattered(spark, tmp_path):
+    """Documents in twelve files, some of them equal or near; read in one split or in twelve."""
+    base = "the quick brown fox jumps over the lazy dog again and again"
+    texts = [f"{base} {i % 20}" if i % 3 else f"text {i} {base[i:]} {i * i}" for i in range(96)]
+    data = [(i, t, f"s{i % 2}") for i, t in enumerate(texts)]
+    path = str(tmp_path / "twelve files, 100%")
+    spark.createDataFrame(data, "doc_id long, text string, source string").repartition(12).write.parquet(path)
+
+    def splits(n):
+        spark.conf.set("spark.sql.files.minPartitionNum", n)
+        return spark.read.parquet(path)
+
+    yield splits
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_row_numbers_do_not_depend_on_splits(scattered):
+    found = []
+    for n in (1, 12):
+        docs = scattered(n)
+        assert docs.rdd.getNumPartitions() == n
+        numbered = rows.identified(docs.where("doc_id <> 5"))
+        found.append({r.uid: r.row.doc_id for r in numbered.collect()})
+    assert found[0] == found[1] and sorted(found[0].values()) == [i for i in range(96) if i != 5]
+
+
+def test_rows_that_a_scan_does_not_number_are_written(spark, scattered):
+    docs = scattered(12)
+    for frame in (
+        docs.union(docs),
+        docs.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")),
+        docs.where(F.rand(1) < 2).unionAll(docs),
+        docs.repartition(5).union(docs),
+    ):
+        uids = [r.uid for r in rows.identified(frame).collect()]
+        assert len(uids) == len(set(uids)) == 192
+
+
+@pytest.mark.parametrize("name", ["exact", "mixed", "packed", "scored"])
+def test_rows_meet_their_numbers_in_other_splits(scattered, spark, name):
+    """The later scans of a query are planned in other splits than its first."""
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    run = {
+        "exact": exact.drop_exact_duplicates,
+        "mixed": mixing.mixed_documents,
+        "packed": lambda docs: packing.pack_documents(docs, path, 64).drop("sequence_id", "offset"),
+        "scored": lambda docs: ngrams.score(docs, ngrams.train(docs), most=0).select(
+            "doc_id", "n_tokens", "n_known"
+        ),
+    }[name]
+    found = []
+    for first, later in ((12, 12), (12, 1)):
+        frame = run(scattered(first))
+        scattered(later)
+        found.append(sorted(map(tuple, frame.collect()), key=repr))
+    assert found[0] == found[1] and found[0]
+    if name == "packed":
+        scattered(12)
+        frame = packing.pack_documents(scattered(12), path, 64)
+        scattered(1)
+        sequences = {}
+        for r in frame.collect():
+            sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        for parts in sequences.values():
+            ends = [o + n for o, n in sorted(parts)]
+            assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 64
