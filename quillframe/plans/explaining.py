@@ -133,6 +133,7 @@ def dependence_points(spark, sf_dir):
 
 
 N_BACKGROUND = 5
+FOREST_BACKGROUND = 20
 _LINEAR_PUSHES = " UNION ALL ".join(
     f"SELECT {KEYS_SQL}, '{c}' AS feature, {c} AS value, w{i + 1} * ({c} - g{i}) AS contribution,"
     f" w0 + w1 * g0 + w2 * g1 + w3 * g2 + w4 * g3 AS base, prediction FROM explained"
@@ -169,12 +170,12 @@ def _forest(train):
 
 @query("sampled_shapley_forest")
 def sampled_shapley_forest(spark, sf_dir):
-    """Every test row of a forest fitted on the training side."""
+    """Every test row of a forest fitted on the training side, over all orders of the features."""
     parted = split(classed_lines(spark, sf_dir), 0.2, LINE_KEY, SEED)
     train, test = parted.where("split = 'train'"), parted.where("split = 'test'")
-    return ops.sampled_shapley(
-        test, _forest(train), FEATURES, train, LINE_KEY, LINE_KEY, n_perm=2,
-        n_background=N_BACKGROUND, seed=SEED,
+    return ops.exact_shapley(
+        test, _forest(train), FEATURES, train, LINE_KEY, LINE_KEY, n_background=FOREST_BACKGROUND,
+        seed=SEED,
     )
 
 

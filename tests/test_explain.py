@@ -127,3 +127,40 @@ def test_examples_with_and_without_errors(table):
     got = {r.example: r.id for r in ops.pick_examples(right, "y", "pred", KEY).collect()}
     assert got == {"correct_0": 1, "correct_1": 2, "correct_1_second": 5}
     assert ops.pick_examples(df.where("id = 3"), "y", "pred", KEY).first().example == "wrong"
+
+
+def test_exact_contributions_are_the_definition(data, forest):
+    """Against all 3! orders, by brute force, with 20 background rows."""
+    rows, background = data.where("id < 3"), data.where("id >= 380")
+    got = ops.exact_shapley(rows, forest, FEATURES, background, KEY, KEY).toPandas()
+    xs, bs = rows.toPandas(), background.toPandas()
+    subsets = [frozenset(s) for k in range(4) for s in itertools.combinations(range(3), k)]
+    mixes = [
+        (int(x.id), n, *[float((x if i in own else b)[c]) for i, c in enumerate(FEATURES)])
+        for _, x in xs.iterrows() for _, b in bs.iterrows() for n, own in enumerate(subsets)
+    ]
+    frame = data.sparkSession.createDataFrame(mixes, "id int, n int, a double, b double, c double")
+    scores = predict(forest, assemble(frame, FEATURES)).groupBy("id", "n").agg(F.avg("prob")).collect()
+    value = {(r[0], subsets[r[1]]): r[2] for r in scores}
+    assert len(got) == 9 and len(bs) == 20
+    for r in got.itertuples():
+        i = FEATURES.index(r.feature)
+        orders = list(itertools.permutations(range(3)))
+        before = [frozenset(o[: o.index(i)]) for o in orders]
+        want = np.mean([value[r.id, s | {i}] - value[r.id, s] for s in before])
+        assert r.contribution == pytest.approx(want, abs=1e-9)
+        assert r.base == pytest.approx(value[r.id, frozenset()], abs=1e-9)
+        assert r.prediction == pytest.approx(value[r.id, frozenset(range(3))], abs=1e-9)
+        assert r.value == xs.set_index("id").loc[r.id, r.feature]
+
+
+def test_forest_query_takes_twenty_background_rows_and_all_orders(monkeypatch):
+    from quillframe.plans import explaining
+
+    monkeypatch.setattr(explaining, "split", lambda rows, *_: rows)
+    monkeypatch.setattr(explaining, "_forest", lambda train: None)
+    monkeypatch.setattr(explaining, "classed_lines", lambda *_: type("T", (), {"where": lambda s, _: s})())
+    seen = {}
+    monkeypatch.setattr(ops, "exact_shapley", lambda *_, **options: seen.update(options))
+    explaining.sampled_shapley_forest(None, "")
+    assert seen["n_background"] == 20
