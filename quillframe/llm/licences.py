@@ -132,6 +132,29 @@ def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> Expression:
     return Expression(output[0][0], output[0][1], True)
 
 
+def leading(text: str) -> str:
+    """The expression ``text`` begins with: what follows a whole one and cannot continue it is prose.
+
+    A whole expression ends before a second operand or a surplus parenthesis. One that is still open
+    there, or at the end of the text, is left as it is: what it asks for besides is not known.
+    """
+    depth, whole, end = 0, False, 0
+    for token in _TOKEN.finditer(text):
+        word = token[0]
+        if word in BINDING:
+            whole = False
+        elif whole and (depth == 0 or word != ")"):
+            return text if depth else text[:end]
+        elif word == ")":
+            depth -= 1
+        elif word == "(":
+            depth += 1
+        else:
+            whole = True
+        end = token.end()
+    return text
+
+
 class Scanner:
     """The automata of one set of phrases; built once in each task."""
 
@@ -179,7 +202,7 @@ class Scanner:
         if b":" in raw:
             lower = raw.lower().decode()
             for end, _ in self.tags.iter(lower):
-                tail = _TAIL.match(lower, end + 1)[1].strip()
+                tail = leading(_TAIL.match(lower, end + 1)[1].strip())
                 found = evaluate(tail, self.allowed)
                 expressions.append(tail)
                 permissive = found.allowed and permissive is not False
@@ -221,7 +244,8 @@ def scan_licences(
     ``last_word`` are the word numbers of the first and last of them. ``labels`` adds what notices
     and tagged expressions name. ``score`` is how sure it is that the text states a licence: one
     minus the product of the doubts each distinct finding leaves. ``permissive`` tells whether
-    allowed identifiers satisfy every tagged expression (null without a tag). A null or empty text
+    allowed identifiers satisfy every tagged expression (null without a tag); an expression ends
+    where prose on the same line begins. A null or empty text
     has no words and no finds; repeated rows give repeated results; texts are read whole.
     """
     rows = identified(docs).select(F.col("row")[key].alias(key), F.col("row")[text].alias("_text"))

@@ -79,6 +79,24 @@ def test_expressions(text, names, allowed):
     assert found.identifiers == (names or set()) and found.allowed == bool(allowed)
 
 
+@pytest.mark.parametrize(
+    ("tail", "expression", "labels", "permissive"),
+    [
+        ("MIT This file is part of X", "mit", "mit", True),
+        ("MIT OR (GPL-2.0 WITH x) the rest and more", "mit or (gpl-2.0 with x)", "gpl-2.0,mit", True),
+        ("(GPL-2.0 AND MIT) (see below)", "(gpl-2.0 and mit)", "gpl-2.0,mit", False),
+        ("Apache-2.0) in a comment", "apache-2.0", "apache-2.0", True),
+        ("MIT AND", "mit and", "", False),
+        ("(MIT this is open) or", "(mit this is open) or", "", False),
+    ],
+)
+def test_licence_expression_ends_where_prose_begins(tail, expression, labels, permissive):
+    found = licences.Scanner().scan(f"/* SPDX-License-Identifier: {tail}")
+    assert found["expressions"] == [expression]
+    assert found["labels"] == labels and found["permissive"] is permissive
+    assert found["score"] == pytest.approx(1 - 0.1 ** len(labels.split(",")) if labels else 0.0)
+
+
 def test_licence_odd_rows(odd, none):
     rows = licences.scan_licences(odd).collect()
     assert len(rows) == odd.count()
