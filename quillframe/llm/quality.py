@@ -1,7 +1,7 @@
 """A quality classifier over random-indexing word vectors.
 
 Every token has an index vector: a few ones and minus ones at places its hash chooses. A token's
-word vector is its own index vector plus what stands beside it in the training texts, added up and
+word vector is its own index vector plus what stands beside it in all texts of the corpus, added up and
 scaled to length 1. A document is pooled to the mean of its word vectors, the mean of their squares,
 the mean product of the index vectors of neighbours (high where tokens repeat), and the spread of its
 token kinds; a two-layer network on those gives a probability, calibrated by a temperature.
@@ -23,8 +23,8 @@ from quillframe.sources.artifacts import materialize
 
 DIM = 32
 ONES = 4  # places of an index vector that are not 0
-BUCKETS = 1 << 15  # word vectors kept: 4 MB, whatever the corpus
-SLICES = 8  # parts in which counts of neighbours are added up
+BUCKETS = 1 << 15  # word vectors kept unless asked for more: 8 MB, whatever the corpus
+SLICES = 256  # parts in which counts of neighbours are added up, small for many tasks' sake
 SLICE_BYTES = 1 << 20
 STEP = 4096  # tokens pooled at a time
 TRAINING_ROWS = 12_000  # bound of the labelled sample that is fitted on
@@ -85,8 +85,8 @@ def _offsets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.diff(offsets)
 
 
-def buckets_of(digests: np.ndarray) -> np.ndarray:
-    return (digests % np.uint64(BUCKETS)).astype(np.int64)
+def buckets_of(digests: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    return (digests % np.uint64(buckets)).astype(np.int64)
 
 
 def index_vectors(digests: np.ndarray) -> np.ndarray:
@@ -100,27 +100,27 @@ def index_vectors(digests: np.ndarray) -> np.ndarray:
     return out
 
 
-def neighbour_sums(texts: DataFrame) -> np.ndarray:
+def neighbour_sums(texts: DataFrame, n_buckets: int = BUCKETS) -> np.ndarray:
     """Index vectors of the tokens beside each bucket's tokens, added up over ``texts`` (text).
 
     Each task adds up its texts and sends a few slices of the table, which are added up again;
-    the driver gets the one table of ``BUCKETS`` rows.
+    the driver gets the one table of ``n_buckets`` rows.
     """
-    width = BUCKETS // SLICES
+    width = -(-n_buckets // SLICES)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((BUCKETS, DIM), np.int32)
+        table = np.zeros((width * SLICES, DIM), np.int32)
         for batch in batches:
             for _, part in balanced(batch.column(0), SLICE_BYTES, cut_at_space):
                 rows, digests, _ = tokens_of(part)
                 known, place = np.unique(digests, return_inverse=True)
-                buckets, index = buckets_of(known)[place], index_vectors(known)
+                buckets, index = buckets_of(known, n_buckets)[place], index_vectors(known)
                 pairs = np.flatnonzero(rows[1:] == rows[:-1])
                 for d in range(DIM):
                     value = index[place, d]
                     table[:, d] += (
-                        np.bincount(buckets[pairs], value[pairs + 1], BUCKETS)
-                        + np.bincount(buckets[pairs + 1], value[pairs], BUCKETS)
+                        np.bincount(buckets[pairs], value[pairs + 1], len(table))
+                        + np.bincount(buckets[pairs + 1], value[pairs], len(table))
                     ).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [
@@ -141,7 +141,7 @@ def neighbour_sums(texts: DataFrame) -> np.ndarray:
     out = np.zeros((SLICES, width * DIM), np.int64)
     for row in rows:
         out[row["slice"]] = np.frombuffer(row["sums"], np.int64)
-    return out.reshape(BUCKETS, DIM)
+    return out.reshape(-1, DIM)[:n_buckets]
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -160,7 +160,7 @@ def features(table: np.ndarray, texts: pa.Array) -> np.ndarray:
             continue
         known, one, place = np.unique(digests, return_index=True, return_inverse=True)
         index = index_vectors(known)
-        vectors = _unit(table[buckets_of(known)] + _unit(index))
+        vectors = _unit(table[buckets_of(known, len(table))] + _unit(index))
         kind = np.eye(KINDS)[kinds[one]]
         each = np.concatenate([vectors, vectors * vectors, kind, index], axis=1)
         starts = np.concatenate([[0], np.flatnonzero(np.diff(rows)) + 1, [len(rows)]])
@@ -283,13 +283,15 @@ def fit_quality(
     label: str = "quality",
     usable: Column | None = None,
     rows: int = TRAINING_ROWS,
+    n_buckets: int = BUCKETS,
     text: str = "text",
     key: str = "doc_id",
 ) -> QualityModel:
     """Fit on at most ``rows`` labelled rows, those of least digest of their key.
 
-    ``usable`` is a condition on ``key`` that rows must meet. Word vectors come from the same rows;
-    a fifth of them sets the temperature. Only labels 0 and 1 count; a key with both, or an
+    Word vectors come from all texts of ``docs``, labelled or not; tokens share ``n_buckets`` of them
+    (256 bytes each), more of which tell more words apart. ``usable`` is a condition on ``key`` that
+    the labelled rows must meet; a fifth of them sets the temperature. Only labels 0 and 1 count; a key with both, or an
     unlabelled one, is not used. Without usable rows every score is one half.
     """
     clear = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
@@ -304,7 +306,7 @@ def fit_quality(
     # At most ``rows`` keys of a few bytes; of rows with one key, a single text.
     sample = texts.join(F.broadcast(chosen), "_key").groupBy("_key", "_digest", "_label")
     sample = materialize(sample.agg(F.min("_text").alias("_text")), "sample")
-    table = neighbour_sums(sample.select("_text"))
+    table = neighbour_sums(texts.select("_text"), n_buckets)
     model = QualityModel(table, fit_network(np.zeros((0, 3 * DIM + KINDS + 2)), np.zeros(0), np.zeros(0, bool)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -237,6 +237,21 @@ def test_quality_tokens_are_runs_of_one_kind():
     assert len(quality.tokens_of(pa.array(["", " "]))[0]) == 0
 
 
+def test_quality_word_vectors_come_from_all_texts(spark):
+    docs = [(0, "one two"), (1, "two three"), (2, "three four four"), (3, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    for n in (quality.BUCKETS, 1000, 70_000):
+        model = quality.fit_quality(frame, labels, n_buckets=n)
+        want = np.zeros((n, quality.DIM))
+        for _, text in docs[:3]:
+            _, digests, _ = quality.tokens_of(pa.array([text]))
+            vectors, at = quality.index_vectors(digests), quality.buckets_of(digests, n)
+            np.add.at(want, at[:-1], vectors[1:])
+            np.add.at(want, at[1:], vectors[:-1])
+        assert model.table.shape == want.shape and (model.table == want).all()
+
+
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame(
         [(3, 1), (5, 1), (8, 0), (9, 0), (4, None), (6, 1), (6, 0), (None, 1), (10, 1)],
