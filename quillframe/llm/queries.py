@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillframe.llm import exact, licences, mixing, ngrams, packing, quality, simhash, token_files, tokens, topk
+from quillframe.llm import (
+    dialogue,
+    exact,
+    licences,
+    mixing,
+    ngrams,
+    packing,
+    quality,
+    sentencepieces,
+    simhash,
+    token_files,
+    tokens,
+    topk,
+    whitening,
+)
 from quillframe.llm.rows import hash_below_mod
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -119,6 +133,22 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    digests = sentencepieces.piece_digests(docs, tokenizer_file("piece_bpe_32k.model"))
+    return digests.withColumnRenamed("key", "doc_id")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitening.whitened_components(whitened).withColumnRenamed("key", "vec_id")
+
+
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    repaired = dialogue.repair(table(spark, sf_dir, "conversations"), hurt=True)
+    return repaired.withColumnRenamed("conv", "conv_id")
+
+
 OP4_SQL = """
 WITH v AS (
   SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS ints
@@ -165,6 +195,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_mixing,
         op10_lm_score,
+        op11_pieces,
+        op12_whitening,
+        op13_dialogue,
     )
 }
 
