@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillframe.llm.rows import at_rest, identified, without
+from quillframe.llm.rows import identified, numbered, without
 from quillframe.sources.artifacts import materialize, shared_path
 
 # Fixed value: the characters that do not count, ASCII white space.
@@ -64,9 +64,9 @@ class DigestIndex:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def _digests(docs: DataFrame, text: str, key: str) -> DataFrame:
+def _digests(rows: DataFrame, text: str, key: str) -> DataFrame:
     row = F.col("row")
-    return identified(docs).select(
+    return rows.select(
         "uid",
         row[key].alias("key"),
         F.unhex(F.sha2(normalised(row[text]).cast("binary"), 256)).alias("digest"),
@@ -82,11 +82,16 @@ def deduplicate(
     Returns (uid, key, digest, keep_id, first, group_size, kept) for every row. Texts are equal when
     they are the same without ASCII white space; null and empty texts are equal. Of the batch's
     equal texts the one with most code points is kept, then of least key (null keys last), then the
-    earliest row; ``first`` is its uid. If the index holds the digest already, no row is kept,
+    least row number; ``first`` is its uid. If the index holds the digest already, no row is kept,
     ``keep_id`` is the key the index has, and ``first`` is null. ``group_size`` counts the batch.
     An empty batch gives an empty result and appends nothing.
     """
-    rows = materialize(_digests(docs, text, key), "digests")
+    return _deduplicate(identified(docs), index, text, key)
+
+
+def _deduplicate(rows: DataFrame, index: DigestIndex, text: str, key: str) -> DataFrame:
+    """``deduplicate`` for rows (uid, row)."""
+    rows = materialize(_digests(rows, text, key), "digests")
     best = F.min(F.struct((-F.col("points")).alias("points"), F.col("key").isNull(), "key", "uid"))
     batch = materialize(
         rows.groupBy("digest").agg(best.alias("best"), F.count("*").alias("group_size")), "batch"
@@ -123,15 +128,24 @@ def new_index(docs: DataFrame, key: str = "doc_id") -> DigestIndex:
     return DigestIndex(spark, shared_path(spark, "index"), key_type=kind)
 
 
-def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``deduplicate`` against an index of its own: the groups of equal texts in ``docs``."""
+def _groups(rows: DataFrame, docs: DataFrame, text: str, key: str) -> DataFrame:
     index = new_index(docs, key)
-    found = deduplicate(docs, index, text, key)
+    found = _deduplicate(rows, index, text, key)
     index.close()
     return found
 
 
+def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``deduplicate`` against an index of its own: the groups of equal texts in ``docs``."""
+    return _groups(identified(docs), docs, text, key)
+
+
 def drop_exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with the kept row of each group of equal texts."""
-    docs = at_rest(docs)
-    return without(identified(docs), exact_groups(docs, text, key).where("NOT kept")).select("row.*")
+    """``docs`` with the kept row of each group of equal texts, as ``deduplicate`` chooses it.
+
+    Null and empty texts are one group. Rows are written once with their numbers, so that the second
+    reading drops the rows that the first chose, whatever ``docs`` is read from. An empty table
+    gives an empty one; column names of ``docs`` may be any.
+    """
+    rows = numbered(docs)
+    return without(rows, _groups(rows, docs, text, key).where("NOT kept")).select("row.*")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.functions.hashing import hash_hex
-from quillframe.llm.rows import at_rest, identified, running_sums
+from quillframe.llm.rows import identified, numbered, running_sums
 from quillframe.operators.ordered import add_row_index
 from quillframe.sources.artifacts import materialize
 
@@ -95,8 +95,23 @@ def mix(
     null texts. A null source is a source of its own. Any layout of the same rows gives the same
     plan, up to which of rows with equal keys comes first. An empty table gives an empty plan.
     """
+    return _plan(identified(docs), weights, share, most, ramp, seed, text, key, source)
+
+
+def _plan(
+    rows: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST_PASSES,
+    ramp: tuple[float, float] = RAMP,
+    seed: int = 42,
+    text: str = "text",
+    key: str = "doc_id",
+    source: str = "source",
+) -> DataFrame:
+    """``mix`` for rows (uid, row)."""
     row = F.col("row")
-    rows = identified(docs).select(
+    rows = rows.select(
         "uid",
         row[key].alias("key"),
         row[source].alias("source"),
@@ -145,11 +160,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix reads them, in training order: a row for each pass over a document.
 
     A pass that reads at least half of a document gives the whole of it, any other gives none, so
-    that no text is cut.
+    that no text is cut. Empty and null texts are in no pass; an empty table gives an empty mix;
+    column names of ``docs`` may be any. Rows are written once with their numbers, so that the plan
+    meets the rows it was made for.
     """
-    docs = at_rest(docs)
-    plan = mix(docs, **options).where(F.col("words") * 2 >= F.col("size")).where("words > 0")
+    rows = numbered(docs)
+    plan = _plan(rows, **options).where(F.col("words") * 2 >= F.col("size")).where("words > 0")
     plan = plan.select(F.col("uid").alias("_uid"), F.col("position").alias("_position"))
-    rows = identified(docs).join(plan, F.col("uid") == F.col("_uid"))
+    rows = rows.join(plan, F.col("uid") == F.col("_uid"))
     ordered = rows.repartitionByRange("_position", "uid").sortWithinPartitions("_position", "uid")
     return ordered.select("row.*")

@@ -446,5 +446,6 @@ def score(
         "uid", row[key].alias("key"), F.coalesce(row[text], F.lit("")).alias("_text")
     )
     if model.bytes > most:
-        return _score_by_shuffle(rows, key, model)
+        # Read again, and to meet the same numbers then.
+        return _score_by_shuffle(materialize(rows, "numbered"), key, model)
     return _score_by_broadcast(rows.select(F.col("key").alias(key), "_text"), model)

@@ -345,6 +345,9 @@ def score_quality(
 
 
 def keep_quality(docs: DataFrame, model: QualityModel, least: float, text: str = "text") -> DataFrame:
-    """``docs`` whose score is ``least`` or more."""
+    """``docs`` whose score is ``least`` or more: scored as by ``score_quality``, row by row.
+
+    Repeated rows stay or go together; column names of ``docs`` may be any.
+    """
     rows = identified(docs).select("row", F.col("row")[text].alias("_text"))
     return model.score(rows, "_text").where(F.col("score") >= least).select("row.*")

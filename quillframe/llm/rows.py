@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from hashlib import md5
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -18,61 +16,20 @@ from pyspark.sql import types as T
 from quillframe.sources.artifacts import materialize
 
 DROPPED_ROWS = 1_000_000  # row numbers that are broadcast at most: 8 MB
-ROW_BITS = 31  # bits of a row number that count the rows of one file
-FILES = 100_000  # files of a table whose digests are tried for distinct ones
-
-
-def _files(docs: DataFrame) -> list[str] | None:
-    """Paths of the files ``docs`` reads, or None unless it is columns of one parquet scan's rows."""
-    execution = docs._jdf.queryExecution()
-    node = execution.optimizedPlan()
-    if not execution.analyzed().deterministic():
-        return None
-    while node.nodeName() in ("Project", "Filter"):
-        node = node.child()
-    if node.nodeName() != "LogicalRelation":
-        return None
-    relation = node.relation()
-    if relation.getClass().getSimpleName() != "HadoopFsRelation":
-        return None
-    if relation.fileFormat().getClass().getSimpleName() != "ParquetFileFormat":
-        return None
-    jvm = docs.sparkSession._jvm
-    paths = [
-        jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(x)).toString()
-        for x in relation.location().inputFiles()
-    ]
-    return paths if len(set(paths)) == len(paths) <= FILES else None
-
-
-def at_rest(docs: DataFrame) -> DataFrame:
-    """``docs`` if it is a scan of parquet files, else written to such: rows that keep their place.
-
-    An operator that numbers the same rows in two jobs brings them to rest before the first.
-    """
-    return materialize(docs, "rows") if _files(docs) is None else docs
-
-
-def _salt(paths: list[str]) -> int:
-    """The first number that gives each path a 32-bit digest of its own."""
-    short = lambda path, salt: md5(f"{path}|{salt}".encode()).hexdigest()[:8]
-    return next(s for s in count() if len({short(p, s) for p in paths}) == len(paths))
 
 
 def identified(docs: DataFrame, name: str = "uid") -> DataFrame:
     """``docs`` as (``name``, row): a number for each row, and its columns packed in a struct.
 
-    Packing keeps column names of the caller apart from those the operators add. The number is a
-    digest of the file's path, one that no other file of the table has, and the row's index in the
-    file: the same each time files are read, in whatever splits. Rows that are not those of parquet
-    files are written first.
+    Packing keeps column names of the caller apart from those the operators add. The numbers hold
+    for one reading of ``docs``; what is to meet them in a later job is written with them.
     """
-    docs = at_rest(docs)
-    place = docs.metadataColumn("_metadata")
-    salted = F.concat_ws("|", place["file_path"], F.lit(str(_salt(_files(docs) or []))))
-    file = F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("long")
-    number = F.shiftleft(file, ROW_BITS) + place["row_index"]
-    return docs.select(number.alias(name), F.struct(F.col("*")).alias("row"))
+    return docs.select(F.monotonically_increasing_id().alias(name), F.struct(F.col("*")).alias("row"))
+
+
+def numbered(docs: DataFrame, name: str = "uid") -> DataFrame:
+    """``identified`` rows, written once: each reading finds the same row under a number."""
+    return materialize(identified(docs, name), "numbered")
 
 
 def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillframe.llm.graph import components, forest
-from quillframe.llm.rows import at_rest, identified, without
+from quillframe.llm.rows import identified, numbered, without
 from quillframe.sources.artifacts import materialize
 
 SEED = 42
@@ -60,7 +60,12 @@ def simhash(text: bytes, shingle: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(uid, key, fp long) for each row; a null text counts as empty."""
-    rows = identified(docs).select("uid", F.col("row")[key].alias("key"), F.col("row")[text].alias("text"))
+    return _fingerprints(identified(docs), shingle, text, key)
+
+
+def _fingerprints(rows: DataFrame, shingle: int, text: str, key: str) -> DataFrame:
+    """``fingerprints`` of rows (uid, row)."""
+    rows = rows.select("uid", F.col("row")[key].alias("key"), F.col("row")[text].alias("text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,10 +214,17 @@ def near_groups(
 
     Rows whose fingerprints differ in at most ``bits`` bits are linked, and so are rows reachable
     over such links. ``component`` is the least key of the group (null if all its keys are null),
-    ``first`` the uid of the row of that key (the earliest of equal ones). A null or empty text has
+    ``first`` the uid of the row of that key (the least of equal ones). A null or empty text has
     fingerprint 0, linked like any other; an empty table gives an empty one.
     """
-    prints = materialize(fingerprints(docs, shingle, text, key), "fingerprints")
+    return _groups(identified(docs), shingle, bits, blocks, text, key)
+
+
+def _groups(
+    rows: DataFrame, shingle: int = 4, bits: int = 4, blocks: int = 3, text: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """``near_groups`` for rows (uid, row)."""
+    prints = materialize(_fingerprints(rows, shingle, text, key), "fingerprints")
     lowest = F.min(F.struct(F.col("key").isNull(), "key", "uid"))
     distinct = materialize(prints.groupBy("fp").agg(lowest.alias("low")), "distinct")
     roots = components(links(distinct, bits, blocks))
@@ -234,7 +246,12 @@ def fingerprint_text(fp: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each group of ``near_groups``: that of the least key."""
-    docs = at_rest(docs)
-    groups = near_groups(docs, **options)
-    return without(identified(docs), groups.where(F.col("uid") != F.col("first"))).select("row.*")
+    """``docs`` with one row of each group of ``near_groups``: that of the least key.
+
+    Null and empty texts are one group, linked like any other; of rows with equal keys one stays. An
+    empty table gives an empty one; column names of ``docs`` may be any. Rows are written once with
+    their numbers, so that the second reading drops the rows that the first chose.
+    """
+    rows = numbered(docs)
+    groups = _groups(rows, **options)
+    return without(rows, groups.where(F.col("uid") != F.col("first"))).select("row.*")

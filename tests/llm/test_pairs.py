@@ -191,26 +191,44 @@ def scattered(spark, tmp_path):
     spark.conf.unset("spark.sql.files.minPartitionNum")
 
 
-def test_row_numbers_do_not_depend_on_splits(scattered):
-    found = []
-    for n in (1, 12):
-        docs = scattered(n)
-        assert docs.rdd.getNumPartitions() == n
-        numbered = rows.identified(docs.where("doc_id <> 5"))
-        found.append({r.uid: r.row.doc_id for r in numbered.collect()})
-    assert found[0] == found[1] and sorted(found[0].values()) == [i for i in range(96) if i != 5]
-
-
-def test_rows_that_a_scan_does_not_number_are_written(spark, scattered):
+def test_numbered_rows_are_the_same_each_time(spark, scattered):
     docs = scattered(12)
-    for frame in (
+    frames = [
         docs.union(docs),
         docs.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")),
-        docs.where(F.rand(1) < 2).unionAll(docs),
+        docs.where(F.rand() < 2).unionAll(docs),
         docs.repartition(5).union(docs),
-    ):
-        uids = [r.uid for r in rows.identified(frame).collect()]
-        assert len(uids) == len(set(uids)) == 192
+        docs.join(docs.select("doc_id", F.lit(1).alias("uid")), "doc_id").union(docs.withColumn("uid", F.lit(2))),
+    ]
+    for frame in frames:
+        written = rows.numbered(frame)
+        spark.conf.set("spark.sql.files.minPartitionNum", 1)
+        one = {r.uid: r.row.doc_id for r in written.collect()}
+        spark.conf.set("spark.sql.files.minPartitionNum", 40)
+        assert one == {r.uid: r.row.doc_id for r in written.collect()} and len(one) == 192
+
+
+@pytest.mark.parametrize("files", [1, 200])
+def test_dropped_and_mixed_rows_whatever_they_are_read_from(spark, tmp_path, files):
+    """Tables of one file, of very many, and rows that come from no file."""
+    base = "the quick brown fox jumps over the lazy dog again and again"
+    texts = [f"{base} {i % 40}" for i in range(80)] + [f"{i} apart {base[i:]} {i * i} {i}" for i in range(20)]
+    data = [(i, t, f"s{i % 2}") for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string")
+    path = str(tmp_path / "table")
+    frame.repartition(files).write.option("maxRecordsPerFile", 100 if files == 1 else 1).parquet(path)
+    want = {min(i for i, u in enumerate(texts) if u == t) for t in texts}
+    near = None
+    for docs in (spark.read.parquet(path), frame, spark.read.parquet(path).where(F.rand() < 2)):
+        assert {r.doc_id for r in exact.drop_exact_duplicates(docs).collect()} == want
+        kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+        groups = simhash.near_groups(docs).select("key", "component").distinct().collect()
+        assert kept == {r.component for r in groups} <= want
+        assert near in (None, kept)
+        near = kept
+        plan = mixing.mix(docs).where("words * 2 >= size AND words > 0").groupBy("key").count().collect()
+        mixed = mixing.mixed_documents(docs).groupBy("doc_id").count().collect()
+        assert {(r[0], r[1]) for r in mixed} == {(r[0], r[1]) for r in plan} and mixed
 
 
 @pytest.mark.parametrize("name", ["exact", "mixed", "packed", "scored"])
