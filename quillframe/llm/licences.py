@@ -3,7 +3,7 @@ shunting-yard parser evaluates the and/or/with expressions that follow a tag."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -53,6 +53,24 @@ PERMISSIVE = frozenset(
     "0bsd apache-2.0 bsd-2-clause bsd-3-clause bsl-1.0 cc-by-4.0 cc0-1.0 isc mit unlicense zlib".split()
 )
 
+# Identifiers of the published list that expressions may hold, besides references of
+# one's own, which begin with "licenseref-". Those of the GNU licences may end in "-only",
+# "-or-later" or "+".
+IDENTIFIERS = PERMISSIVE | frozenset(
+    """
+    afl-3.0 agpl-1.0 agpl-3.0 apache-1.0 apache-1.1 apsl-2.0 artistic-1.0 artistic-2.0 beerware
+    blueoak-1.0.0 bsd-1-clause bsd-3-clause-clear bsd-4-clause bzip2-1.0.6 cc-by-1.0 cc-by-2.0
+    cc-by-2.5 cc-by-3.0 cc-by-nc-2.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0
+    cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nd-3.0 cc-by-nd-4.0 cc-by-sa-2.0 cc-by-sa-2.5 cc-by-sa-3.0
+    cc-by-sa-4.0 cddl-1.0 cddl-1.1 cecill-2.1 cpl-1.0 curl ecl-2.0 efl-2.0 epl-1.0 epl-2.0 eupl-1.1
+    eupl-1.2 ftl gfdl-1.1 gfdl-1.2 gfdl-1.3 gpl-1.0 gpl-2.0 gpl-3.0 hpnd icu ijg imagemagick ipl-1.0
+    json lgpl-2.0 lgpl-2.1 lgpl-3.0 libpng libtiff lppl-1.3c mit-0 mpl-1.0 mpl-1.1 mpl-2.0 ms-pl ms-rl
+    mulanpsl-2.0 ncsa none noassertion odbl-1.0 ofl-1.0 ofl-1.1 openssl osl-3.0 php-3.0 php-3.01
+    postgresql psf-2.0 python-2.0 qpl-1.0 ruby sissl sleepycat sspl-1.0 tcl unicode-dfs-2016 upl-1.0
+    vim w3c wtfpl x11 xnet zend-2.0 zpl-2.1
+    """.split()
+)
+
 # How sure each kind of evidence is.
 WEIGHTS = {"tag": 0.9, "notice": 0.8, "phrase": 0.5}
 
@@ -64,7 +82,9 @@ _WORDS = bytes(
     for c in range(256)
 )
 _TOKEN = regex.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
-_TAIL = regex.compile(r"[ \t]*([a-z0-9.+:() \t-]*)")
+# The next token of the line; a slash between identifiers is an old way to write "or".
+_NEXT = regex.compile(r"[ \t]*([()/]|[a-z0-9][a-z0-9.+:-]*)")
+_GNU = regex.compile(r"([al]?gpl-[0-9.]+|gfdl-[0-9.]+)(?:-only|-or-later|\+)")
 
 
 @dataclass
@@ -76,7 +96,9 @@ class Expression:
     valid: bool = False
 
 
-def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> Expression:
+def evaluate(
+    text: str | Sequence[str], allowed: frozenset[str] = PERMISSIVE
+) -> Expression:
     """Shunting-yard over identifiers, parentheses, and ``with`` before ``and`` before ``or``.
 
     ``or`` is satisfied by either side, ``and`` by both, ``x with y`` by ``x`` (an exception only
@@ -96,7 +118,7 @@ def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> Expression:
         return True
 
     bad = Expression()
-    for token in _TOKEN.findall(text.lower()):
+    for token in _TOKEN.findall(text.lower()) if isinstance(text, str) else text:
         if token == "(":
             if not wants_operand:
                 return bad
@@ -132,27 +154,49 @@ def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> Expression:
     return Expression(output[0][0], output[0][1], True)
 
 
-def leading(text: str) -> str:
-    """The expression ``text`` begins with: what follows a whole one and cannot continue it is prose.
+def known(name: str) -> bool:
+    """Whether a word names a licence: an identifier of the list, or a reference of one's own."""
+    if name.startswith("licenseref-"):
+        return True
+    gnu = _GNU.fullmatch(name)
+    return (gnu[1] if gnu else name) in IDENTIFIERS
+
+
+def leading(text: str, at: int = 0) -> tuple[list[str], str]:
+    """Tokens and text of the longest valid expression that begins at a place of lower-case text.
 
-    A whole expression ends before a second operand or a surplus parenthesis. One that is still open
-    there, or at the end of the text, is left as it is: what it asks for besides is not known.
+    Tokens are read one after the other and reading ends with the first that cannot continue an
+    expression: a word that names no licence, an operator or parenthesis out of place, or the end
+    of the line. So the work is that of the expression, not of its line.
     """
-    depth, whole, end = 0, False, 0
-    for token in _TOKEN.finditer(text):
-        word = token[0]
+    tokens: list[str] = []
+    depth, whole, end, pos = 0, 0, at, at
+    wants_operand = True
+    while found := _NEXT.match(text, pos):
+        word = "or" if found[1] == "/" else found[1]
         if word in BINDING:
-            whole = False
-        elif whole and (depth == 0 or word != ")"):
-            return text if depth else text[:end]
-        elif word == ")":
-            depth -= 1
+            if wants_operand:
+                break
+            wants_operand = True
         elif word == "(":
+            if not wants_operand:
+                break
             depth += 1
+        elif word == ")":
+            if wants_operand or not depth:
+                break
+            depth -= 1
         else:
-            whole = True
-        end = token.end()
-    return text
+            word = word.rstrip(".:")
+            exception = bool(tokens) and tokens[-1] == "with"  # which only adds rights: any word
+            if not wants_operand or not (exception or known(word)):
+                break
+            wants_operand = False
+        tokens.append(word)
+        pos = found.end()
+        if not wants_operand and not depth:
+            whole, end = len(tokens), pos
+    return tokens[:whole], text[at:end].strip()
 
 
 class Scanner:
@@ -202,8 +246,8 @@ class Scanner:
         if b":" in raw:
             lower = raw.lower().decode()
             for end, _ in self.tags.iter(lower):
-                tail = leading(_TAIL.match(lower, end + 1)[1].strip())
-                found = evaluate(tail, self.allowed)
+                tokens, tail = leading(lower, end + 1)
+                found = evaluate(tokens, self.allowed)
                 expressions.append(tail)
                 permissive = found.allowed and permissive is not False
                 own |= found.identifiers
@@ -244,8 +288,9 @@ def scan_licences(
     ``last_word`` are the word numbers of the first and last of them. ``labels`` adds what notices
     and tagged expressions name. ``score`` is how sure it is that the text states a licence: one
     minus the product of the doubts each distinct finding leaves. ``permissive`` tells whether
-    allowed identifiers satisfy every tagged expression (null without a tag); an expression ends
-    where prose on the same line begins. A null or empty text
+    allowed identifiers satisfy every tagged expression (null without a tag). The expression of a tag
+    is the longest valid one that follows it (``leading``); where none does, it is empty, names
+    nothing and satisfies nothing. A null or empty text
     has no words and no finds; repeated rows give repeated results; texts are read whole.
     """
     rows = identified(docs).select(F.col("row")[key].alias(key), F.col("row")[text].alias("_text"))
