@@ -22,64 +22,90 @@ from pyspark.sql import functions as F
 from quillframe.sources.artifacts import materialize
 
 BLOCK_ROWS = 8192
+ROW_BLOCKS = 4  # mean blocks of rows that meet in a task
+QUERY_BLOCKS = 16  # mean blocks of queries there: an index block is sent once for so many
 QUERY_ROWS = 512
 SLICES = 7  # bits kept of a row's component
 QUERY_BITS = 6  # bits kept of a query's component, besides its sign
-LARGEST = 1 << 24  # of a component, so that scores are exact in 64 bits
+LARGEST = 1 << 24  # of a component of a sliced vector, so that scores are exact in 64 bits
+WHOLE = float(1 << 52)  # doubles beyond are whole numbers
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, ints): components times 256, rounded down; rows with unusable vectors left out."""
+    """(key, ints): components times 256, rounded down, as doubles, which hold them exactly; rows
+    with unusable vectors left out."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     value = F.col(vector)
     return vectors.where(value.isNotNull() & F.forall(value, finite)).select(
         F.col(key).alias("key"),
-        F.transform(value, lambda x: F.floor(x.cast("double") * 256)).alias("ints"),
+        F.transform(value, lambda x: _floor(x.cast("double") * 256)).alias("ints"),
     )
 
 
-def _matrix(lists: pa.ListArray) -> np.ndarray:
-    """Rows of equal length, as 64-bit integers."""
+def _floor(value: Column) -> Column:
+    return F.when(F.abs(value) < WHOLE, F.floor(value).cast("double")).otherwise(value)
+
+
+def _alike(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, bool], pa.RecordBatch]]:
+    """Rows by (number of components, whether one is too large to be sliced)."""
+    lists = batch.column(1)
     widths = np.diff(lists.offsets.to_numpy())
-    if len(set(widths.tolist())) > 1:
-        raise ValueError("vectors differ in length")
-    values = lists.flatten().to_numpy(zero_copy_only=False)
-    if len(values) and np.abs(values).max() >= LARGEST:
-        raise ValueError(f"a component times 256 is {LARGEST} or more")
-    return values.reshape(len(lists), -1)
+    row = np.repeat(np.arange(len(lists)), widths)
+    large = np.zeros(len(lists), bool)
+    np.logical_or.at(large, row, np.abs(lists.flatten().to_numpy(zero_copy_only=False)) >= LARGEST)
+    for width, big in sorted(set(zip(widths.tolist(), large.tolist()))):
+        yield (width, big), batch.take(pa.array(np.flatnonzero((widths == width) & (large == big))))
 
 
 def _blocks(rows: DataFrame, most: int) -> DataFrame:
-    """(block, keys, ints) with at most ``most`` rows each, in the order of the scan."""
+    """(block, width, large, keys, ints) with at most ``most`` rows each, alike in width and size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 32
-        held: list[pa.RecordBatch] = []
+        held: dict[tuple[int, bool], list[pa.RecordBatch]] = {}
 
-        def block(table: pa.Table) -> pa.RecordBatch:
+        def block(kind: tuple[int, bool], table: pa.Table) -> pa.RecordBatch:
             nonlocal made
-            table = table.combine_chunks()
-            ints = _matrix(table["ints"].combine_chunks())
             made += 1
+            width, large = kind
+            ints = table["ints"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            stored = ints if large else ints.astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([made - 1]),
+                    pa.array([width], pa.int32()),
+                    pa.array([large]),
                     pa.array([table["key"].to_numpy().astype(np.int64).tobytes()], pa.binary()),
-                    pa.array([ints.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([stored.tobytes()], pa.binary()),
                 ],
-                names=["block", "keys", "ints"],
+                names=["block", "width", "large", "keys", "ints"],
             )
 
         for batch in batches:
-            held.append(batch)
-            while sum(b.num_rows for b in held) >= most:
-                table = pa.Table.from_batches(held)
-                yield block(table.slice(0, most))
-                held = table.slice(most).to_batches()
-        if any(b.num_rows for b in held):
-            yield block(pa.Table.from_batches(held))
+            for kind, some in _alike(batch):
+                parts = held.setdefault(kind, [])
+                parts.append(some)
+                while sum(b.num_rows for b in parts) >= most:
+                    table = pa.Table.from_batches(parts)
+                    yield block(kind, table.slice(0, most))
+                    parts[:] = table.slice(most).to_batches()
+        for kind, parts in held.items():
+            if any(b.num_rows for b in parts):
+                yield block(kind, pa.Table.from_batches(parts))
+
+    return rows.mapInArrow(run, f"{BLOCK}, keys binary, ints binary")
+
+
+BLOCK = "block long, width int, large boolean"
+
 
-    return rows.mapInArrow(run, "block long, keys binary, ints binary")
+def _numbers(block: dict) -> np.ndarray:
+    """The matrix of a block: 64-bit integers, or Python's where components are large."""
+    if block["large"]:
+        values = np.array([int(v) for v in np.frombuffer(block["ints"], np.float64)], object)
+    else:
+        values = np.frombuffer(block["ints"], np.int32)
+    return values.reshape(len(block["keys"]) // 8, block["width"])
 
 
 def slices_of(ints: np.ndarray) -> tuple[np.ndarray, int]:
@@ -103,27 +129,27 @@ def slices_of(ints: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def build_index(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Write the bit-sliced index of all usable rows: (block, keys, ints, maps, drop)."""
+    """Write the bit-sliced index of all usable rows: (block, width, large, keys, ints, maps, drop).
+
+    Vectors of one length share blocks; those with a component of ``LARGEST`` or more are kept
+    apart and not sliced.
+    """
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                keys, ints = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-                values = np.frombuffer(ints, np.int32).reshape(len(keys) // 8, -1)
-                maps, drop = slices_of(values)
+            for i, block in enumerate(batch.to_pylist()):
+                maps, drop = (b"", 0) if block["large"] else slices_of(_numbers(block))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(i, 1),
-                        batch.column(1).slice(i, 1),
-                        batch.column(2).slice(i, 1),
-                        pa.array([maps.tobytes()], pa.binary()),
+                        *batch.slice(i, 1).columns,
+                        pa.array([bytes(maps)], pa.binary()),
                         pa.array([drop], pa.int32()),
                     ],
-                    names=["block", "keys", "ints", "maps", "drop"],
+                    names=[*batch.schema.names, "maps", "drop"],
                 )
 
     blocks = _blocks(usable(vectors, key, vector), BLOCK_ROWS)
-    schema = "block long, keys binary, ints binary, maps binary, drop int"
+    schema = f"{BLOCK}, keys binary, ints binary, maps binary, drop int"
     return materialize(blocks.mapInArrow(sliced, schema), "slices")
 
 
@@ -243,14 +269,28 @@ def block_top_k(
     return keys[rows][best], scores[best]
 
 
+def plain_top_k(
+    keys: np.ndarray, ints: np.ndarray, own: int, query: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """``block_top_k`` by scoring every row, where components are too large for slices."""
+    scores = ints.astype(object).dot(query.astype(object))
+    scores = np.array([min(max(int(s), -(1 << 63)), (1 << 63) - 1) for s in scores], np.int64)
+    rows = np.flatnonzero(keys != own)
+    best = rows[sorted(range(len(rows)), key=lambda i: (-int(scores[rows[i]]), keys[rows[i]]))[:k]]
+    return keys[best], scores[best]
+
+
 def top_k(
     vectors: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """(query_id, rank, key, score): the k best rows of each query, ties to the smaller key.
 
-    ``queries`` is a condition on ``vectors``; its rows are held against all rows, block by block.
+    ``queries`` is a condition on ``vectors``; its rows are held against all rows, block by block:
+    both sides are dealt into groups of a few blocks, and each group of rows meets each of queries.
     Vectors that are null or hold a null or non-finite component take no part, on either side, and
-    neither do rows without a key. Keys are integers. Rows with a query's key are its own and no
+    neither do rows without a key. Only vectors of one length meet; empty ones score 0 with each
+    other. Components of any size are scored exactly; a score beyond 64 bits counts as the nearest
+    that they hold. Keys are integers. Rows with a query's key are its own and no
     candidates of it; of repeated query rows the one of least vector asks. Fewer than k candidates
     are all returned; no rows give none.
     """
@@ -259,28 +299,31 @@ def top_k(
     asked = vectors.where(queries).select(F.col(key).alias(key), F.col(vector).alias(vector))
     single = usable(asked, key, vector).groupBy("key").agg(F.min("ints").alias("ints"))
     asked = materialize(_blocks(single, QUERY_ROWS), "queries")
-    # One number for each block of thousands of rows.
-    rows = [r[0] for r in index.select("block").toLocalIterator()]
-    groups = [r[0] for r in asked.select("block").toLocalIterator()]
-    each = lambda ids: F.explode(F.array(*[F.lit(i) for i in ids]).cast("array<bigint>"))
-    left = index.withColumn("asked", each(groups)).withColumnRenamed("block", "rows")
-    right = asked.withColumn("rows", each(rows)).withColumnRenamed("block", "asked")
+    n, m = max(1, -(-index.count() // ROW_BLOCKS)), max(1, -(-asked.count() // QUERY_BLOCKS))
+    dealt = lambda among: F.pmod(F.xxhash64("block"), F.lit(among))
+    every = lambda among: F.explode(F.sequence(F.lit(0), F.lit(among - 1)))
+    left = index.withColumns({"rows": dealt(n), "asked": every(m)})
+    right = asked.withColumns({"asked": dealt(m), "rows": every(n)})
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query_id": [], "key": [], "score": []}
+        asking = [(np.frombuffer(a["keys"], np.int64), _numbers(a), a) for a in right.to_pylist()]
         for row in left.to_pylist():
-            keys = np.frombuffer(row["keys"], np.int64)
-            ints = np.frombuffer(row["ints"], np.int32).reshape(len(keys), -1)
-            maps = np.frombuffer(row["maps"], np.uint64).reshape(ints.shape[1], SLICES, -1)
-            kept = (ints >> row["drop"]).astype(np.float64)
-            norm = math.sqrt(float((kept * kept).sum(axis=1).max(initial=0.0)))
-            for ask in right.to_pylist():
-                own = np.frombuffer(ask["keys"], np.int64)
-                asked = np.frombuffer(ask["ints"], np.int32).reshape(len(own), -1)
-                for mine, query in zip(own, asked.astype(np.int64)):
-                    found, scores = block_top_k(
-                        keys, ints, maps, row["drop"], norm, mine, query, k
-                    )
+            keys, ints = np.frombuffer(row["keys"], np.int64), _numbers(row)
+            if not row["large"]:
+                maps = np.frombuffer(row["maps"], np.uint64).reshape(row["width"], SLICES, -(-len(keys) // 64))
+                kept = (ints >> row["drop"]).astype(np.float64)
+                norm = math.sqrt(float((kept * kept).sum(axis=1).max(initial=0.0)))
+            for own, queries, ask in asking:
+                if ask["width"] != row["width"]:
+                    continue
+                for mine, query in zip(own, queries):
+                    if row["large"] or ask["large"]:
+                        found, scores = plain_top_k(keys, ints, mine, query, k)
+                    else:
+                        found, scores = block_top_k(
+                            keys, ints, maps, row["drop"], norm, mine, query.astype(np.int64), k
+                        )
                     out["query_id"].append(np.full(len(found), mine))
                     out["key"].append(found)
                     out["score"].append(scores)

@@ -69,6 +69,32 @@ def test_top_k_against_all_scores(spark, monkeypatch, scale):
     assert topk.top_k(frame.limit(0), F.col("vec_id") == 0, 5).count() == 0
 
 
+def test_top_k_of_odd_vectors(spark, monkeypatch):
+    """Empty and unequal vectors, and components and scores beyond the integers that slices hold."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 2)
+    rng = random.Random(3)
+    data = [(i, [rng.uniform(-2, 2) for _ in range(rng.choice([0, 1, 3, 3, 5]))]) for i in range(60)]
+    data += [(100 + i, [rng.choice([1.0, -7e4, 1e12, -3.5]) for _ in range(3)]) for i in range(12)]
+    data += [(200, [1e300, 1.0, 1.0]), (201, [-1e300, 0.5, 0.5]), (150, []), (250, [70_000.25])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    got = defaultdict(list)
+    for r in topk.top_k(frame, F.col("vec_id") % 50 == 0, 5).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    floor = lambda v: int(v * 256 // 1)
+    for query, mine in data:
+        if query % 50:
+            continue
+        scores = []
+        for key, other in data:
+            if key != query and len(other) == len(mine):
+                score = sum(floor(a) * floor(b) for a, b in zip(mine, other))
+                scores.append((-min(max(score, -(2**63)), 2**63 - 1), key))
+        want = [(n + 1, key, -score) for n, (score, key) in enumerate(sorted(scores)[:5])]
+        assert sorted(got.pop(query, [])) == want
+    assert not got
+
+
 def check_packing(found, texts):
     """Every piece once, no gaps, no sequence too long; returns the number of sequences."""
     by = defaultdict(list)
