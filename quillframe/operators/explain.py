@@ -14,13 +14,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Model
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillframe.functions.hashing import hash_hex, hash_normal, hash_unit
 from quillframe.functions.scalars import signed_direction
-from quillframe.operators.joins import join_small, settle
+from quillframe.operators.joins import join_small
 from quillframe.operators.models import predict
 from quillframe.operators.ordered import top_k
 from quillframe.operators.quantiles import quantiles
@@ -28,17 +29,17 @@ from quillframe.operators.sampling import sample_n
 from quillframe.sources.artifacts import materialize
 
 
-def linear_shapley(
+def linear_pushes(
     df: DataFrame,
     weights: Mapping[str, float],
     intercept: float,
     key: Sequence[str],
     background: DataFrame | None = None,
 ) -> DataFrame:
-    """Exact contributions ``w * (x - mean)`` of a linear model with independent features.
+    """``linear_shapley`` with a row for each row: (key, pushes, base, prediction).
 
-    For a logistic model they are in log-odds. Means are those of ``background`` (default: the
-    table itself).
+    ``pushes`` has (feature, value, contribution) for each feature, so rows that share a key stay
+    apart, and what compares features of a row needs no shuffle.
     """
     features = list(weights)
     means = (df if background is None else background).agg(*[F.avg(c).alias(c) for c in features])
@@ -51,10 +52,31 @@ def linear_shapley(
     ]
     total = sum((pushes[c] for c in features), F.lit(base))
     return df.select(
-        *key, F.inline(F.array(*rows)), F.lit(base).alias("base"), total.alias("prediction")
+        *key, F.array(*rows).alias("pushes"), F.lit(base).alias("base"), total.alias("prediction")
     )
 
 
+def spread(pushes: DataFrame) -> DataFrame:
+    """The long table of contributions from one with a row for each row."""
+    others = [c for c in pushes.columns if c not in ("pushes", "base", "prediction")]
+    return pushes.select(*others, F.inline("pushes"), "base", "prediction")
+
+
+def linear_shapley(
+    df: DataFrame,
+    weights: Mapping[str, float],
+    intercept: float,
+    key: Sequence[str],
+    background: DataFrame | None = None,
+) -> DataFrame:
+    """Exact contributions ``w * (x - mean)`` of a linear model with independent features.
+
+    For a logistic model they are in log-odds. Means are those of ``background`` (default: the
+    table itself).
+    """
+    return spread(linear_pushes(df, weights, intercept, key, background))
+
+
 def model_scores(model: Model) -> Callable[[DataFrame], DataFrame]:
     """Adds ``_score``: P(class 1) of a classifier, the prediction of a regressor."""
 
@@ -80,8 +102,15 @@ def sampled_shapley(
 
     Every row is walked toward from each of ``n_background`` sampled rows, along ``n_perm`` random
     feature orders and their reverses; a feature earns the change in score at its step. Work is
-    ``rows * n_background * 2 n_perm * (features + 1)`` scores, so pass only the rows to explain.
+    ``rows * n_background * 2 n_perm * (features + 1)`` scores, so pass only the rows to explain. All
+    walks of a linear model gain the same at a feature, so one projection has their mean. Rows that
+    share a key stay apart.
     """
+    if isinstance(model, LinearRegressionModel):
+        weights = dict(zip(features, map(float, model.coefficients), strict=True))
+        near = sample_n(background, n_background, background_key, seed)
+        plain = rows.withColumns({c: F.col(c).cast("double") for c in features})
+        return linear_shapley(plain, weights, float(model.intercept), key, near)
     d = len(features)
     vector = F.array(*[F.col(c).cast("double") for c in features])
     # At most n_background short arrays.
@@ -117,25 +146,33 @@ def sampled_shapley(
     base = F.when(F.col("_step") == 0, entry(F.lit(-1), score))
     end = F.when(F.col("_step") == d, entry(F.lit(-2), score))
     parts = scored.select(
-        *key, F.inline(F.filter(F.array(gained, lost, base, end), lambda e: e.isNotNull()))
-    )
-    walked = F.count("*") / F.when(F.col("_i") >= 0, 2).otherwise(1)
-    sums = settle(parts.groupBy(*key, "_i").agg((F.sum("_part") / walked).alias("_mean")))
-    ends = sums.groupBy(*key).agg(
-        F.max(F.when(F.col("_i") == -1, F.col("_mean"))).alias("base"),
-        F.max(F.when(F.col("_i") == -2, F.col("_mean"))).alias("prediction"),
-    )
-    names = F.array(*[F.lit(c) for c in features])
-    pushes = sums.where(F.col("_i") >= 0).select(
-        *key,
-        F.get(names, F.col("_i")).alias("feature"),
-        F.col("_mean").alias("contribution"),
+        *key, "_x", F.inline(F.filter(F.array(gained, lost, base, end), lambda e: e.isNotNull()))
     )
-    values = rows.select(*key, *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
-        list(key), list(features), "feature", "value"
+    mean = lambda i: F.avg(F.when(F.col("_i") == i, F.col("_part")))
+    sums = parts.groupBy(*key, "_x").agg(
+        F.count_if(F.col("_i") == -1).alias("_times"),
+        # A step has two parts, so their mean is half of what the feature earns.
+        *[(mean(i) * 2).alias(f"_push{i}") for i in range(d)],
+        mean(-1).alias("base"),
+        mean(-2).alias("prediction"),
     )
-    joined = join_small(join_small(values, pushes, [*key, "feature"]), ends, key)
-    return joined.select(*key, "feature", "value", "contribution", "base", "prediction")
+    return _explained(sums, F.size(starts) * 2 * n_perm, features, key)
+
+
+def _explained(sums: DataFrame, walks: Column, features: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """Contributions from one row for each key and vector ``_x``, as often as such rows came:
+    ``_times`` over ``walks``."""
+    entries = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.get("_x", F.lit(i)).alias("value"),
+            F.col(f"_push{i}").alias("contribution"),
+        )
+        for i, c in enumerate(features)
+    ]
+    copies = F.sequence(F.lit(1), (F.col("_times") / walks).cast("int"))
+    wide = sums.withColumn("_copy", F.explode(copies))
+    return wide.select(*key, F.inline(F.array(*entries)), "base", "prediction")
 
 
 def exact_shapley(
@@ -153,7 +190,7 @@ def exact_shapley(
     Every row is mixed with each of ``n_background`` sampled rows, once for each subset of features
     that are its own; a feature earns what it adds to the subsets without it, weighted by the share
     of orders in which they come before it. Work is ``rows * n_background * 2 ** features`` scores,
-    so there are 12 features at most. Keys are unique.
+    so there are 12 features at most. Rows that share a key stay apart.
     """
     d = len(features)
     if d > 12:
@@ -191,21 +228,13 @@ def exact_shapley(
         weights = F.array(*[F.lit(weight(i, own)) for own in range(2**d)])
         return (F.avg(score * F.get(weights, F.col("_own"))) * 2**d).alias(f"_push{i}")
 
-    sums = scored.groupBy(*key).agg(
-        F.any_value("_x").alias("_x"),
+    sums = scored.groupBy(*key, "_x").agg(
+        F.count_if(F.col("_own") == 0).alias("_times"),
         *[push(i) for i in range(d)],
         F.avg(F.when(F.col("_own") == 0, score)).alias("base"),
         F.avg(F.when(F.col("_own") == 2**d - 1, score)).alias("prediction"),
     )
-    entries = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.get("_x", F.lit(i)).alias("value"),
-            F.col(f"_push{i}").alias("contribution"),
-        )
-        for i, c in enumerate(features)
-    ]
-    return sums.select(*key, F.inline(F.array(*entries)), "base", "prediction")
+    return _explained(sums, F.size(starts), features, key)
 
 
 def shapley_ranking(contributions: DataFrame, k: int | None = None) -> DataFrame:
@@ -259,18 +288,28 @@ def dependence_points(
     """A feature's value against its contribution, with its strongest partner's value.
 
     The partner is the other feature whose values correlate most with the contributions; a
-    partner that never varies has no correlation and is never chosen while another does. Keys are
-    unique.
+    partner that never varies has no correlation and is never chosen while another does.
+    ``contributions`` has a row for each row (``linear_pushes``), or is the long table, in which keys
+    must be unique.
     """
-    own = lambda c: F.max(F.when(F.col("feature") == feature, F.col(c))).alias(c)
-    other = F.when(F.col("feature") != feature, F.struct("feature", "value"))
-    # One row per key, with its few features side by side; written, as it is read twice.
-    wide = materialize(
-        contributions.groupBy(*key).agg(
+    if "pushes" in contributions.columns:
+        own = F.get(F.filter("pushes", lambda p: p["feature"] == F.lit(feature)), 0)
+        others = F.filter("pushes", lambda p: p["feature"] != F.lit(feature))
+        rows = contributions.select(
+            *key,
+            own["value"].alias("value"),
+            own["contribution"].alias("contribution"),
+            F.transform(others, lambda p: F.struct(p["feature"].alias("feature"), p["value"].alias("value"))).alias(
+                "_others"
+            ),
+        )
+    else:
+        own = lambda c: F.max(F.when(F.col("feature") == feature, F.col(c))).alias(c)
+        other = F.when(F.col("feature") != feature, F.struct("feature", "value"))
+        rows = contributions.groupBy(*key).agg(
             own("value"), own("contribution"), F.collect_list(other).alias("_others")
-        ),
-        "wide",
-    )
+        )
+    wide = materialize(rows, "wide")  # read twice
     pairs = wide.select("contribution", F.inline("_others").alias("partner", "partner_value"))
     # corr() fails on a constant column under ANSI rules.
     correlation = F.try_divide(

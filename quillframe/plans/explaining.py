@@ -128,12 +128,12 @@ SELECT {KEYS_SQL}, l_extendedprice AS value,
 FROM lines""",
 )
 def dependence_points(spark, sf_dir):
-    points = ops.dependence_points(_contributions(spark, sf_dir), "l_extendedprice", LINE_KEY)
+    pushes = ops.linear_pushes(lines(spark, sf_dir), WEIGHTS, INTERCEPT, LINE_KEY)
+    points = ops.dependence_points(pushes, "l_extendedprice", LINE_KEY)
     return _round(points, 2, "contribution")
 
 
-N_BACKGROUND = 5
-FOREST_BACKGROUND = 20
+N_BACKGROUND = 20
 _LINEAR_PUSHES = " UNION ALL ".join(
     f"SELECT {KEYS_SQL}, '{c}' AS feature, {c} AS value, w{i + 1} * ({c} - g{i}) AS contribution,"
     f" w0 + w1 * g0 + w2 * g1 + w3 * g2 + w4 * g3 AS base, prediction FROM explained"
@@ -154,12 +154,12 @@ SELECT {KEYS_SQL}, feature, value, round(contribution, 2) AS contribution, round
        round(prediction, 2) AS prediction FROM shap""",
 )
 def sampled_shapley(spark, sf_dir):
-    """Every test row. A linear model's sampled contributions are exact after one walk."""
+    """Every test row; a linear model's sampled contributions need no walks."""
     ready, model = fitted_line(spark, sf_dir)
     plain = ready.drop("features")
     found = ops.sampled_shapley(
         plain.where("split = 'test'"), model, FEATURES, plain.where("split = 'train'"), LINE_KEY,
-        LINE_KEY, n_perm=1, n_background=N_BACKGROUND, seed=SEED,
+        LINE_KEY, n_background=N_BACKGROUND, seed=SEED,
     )
     return _round(found, 2, "contribution", "base", "prediction")
 
@@ -174,7 +174,7 @@ def sampled_shapley_forest(spark, sf_dir):
     parted = split(classed_lines(spark, sf_dir), 0.2, LINE_KEY, SEED)
     train, test = parted.where("split = 'train'"), parted.where("split = 'test'")
     return ops.exact_shapley(
-        test, _forest(train), FEATURES, train, LINE_KEY, LINE_KEY, n_background=FOREST_BACKGROUND,
+        test, _forest(train), FEATURES, train, LINE_KEY, LINE_KEY, n_background=N_BACKGROUND,
         seed=SEED,
     )
 

@@ -77,6 +77,29 @@ def test_sampled_contributions_approach_the_definition(data, forest):
         assert r.contribution == pytest.approx(exact, abs=0.01)
 
 
+def test_rows_that_share_a_key_stay_apart(spark, data, forest):
+    rows = data.where("id < 3").unionByName(data.where("id in (7, 8)").withColumn("id", F.lit(1).cast("long")))
+    rows = rows.unionByName(data.where("id = 2"))  # and one that comes twice
+    background = data.where("id >= 395")
+    want = sorted(zip(*[rows.toPandas()[c] for c in FEATURES]))
+    found = [
+        ops.exact_shapley(rows, forest, FEATURES, background, KEY, KEY),
+        ops.sampled_shapley(rows, forest, FEATURES, background, KEY, KEY, n_perm=3),
+    ]
+    line = fit_linear(assemble(data.withColumn("y", F.col("a") * 2), FEATURES), "y")
+    found.append(ops.sampled_shapley(rows, line, FEATURES, background, KEY, KEY))
+    for long in found:
+        pdf = long.toPandas()
+        assert len(pdf) == 3 * 6 and (pdf.groupby("id").size() == [3, 9, 6]).all()
+        for c in FEATURES:
+            assert sorted(pdf[pdf.feature == c].value) == sorted(v[FEATURES.index(c)] for v in want)
+        sums = pdf.groupby("id")["contribution"].sum()
+        ends = (pdf.groupby("id")["prediction"].sum() - pdf.groupby("id")["base"].sum()) / 3
+        assert np.allclose(sums, ends, atol=1e-9)
+    points = ops.dependence_points(ops.linear_pushes(rows, {"a": 1.0, "b": 2.0}, 0.0, KEY), "a", KEY)
+    assert sorted(r.value for r in points.collect()) == sorted(v[0] for v in want)
+
+
 def test_ranking_summary_and_breakdown(data):
     long = ops.linear_shapley(data, {"a": 0.0, "b": -3.0, "c": 0.5}, 1.0, KEY)
     ranked = ops.shapley_ranking(long, 2).collect()
