@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillframe.functions.hashing import hash_unit
+from quillframe.operators.joins import join_small
 from quillframe.operators.metrics import class_counts, rates
 from quillframe.operators.profiling import value_counts
 
@@ -29,6 +31,39 @@ def assign_group(
     return df.withColumn(output, F.element_at(F.array(*[F.lit(g) for g in groups]), place))
 
 
+def balance_weights(df: DataFrame, by: str, label: str, output: str = "weight") -> DataFrame:
+    """Add weights under which group and class are independent.
+
+    A row counts with the rows that its group and class would share if they were, over those that
+    they do share: ``n(group) * n(class) / (n * n(group, class))``. Weights add up to the number of
+    rows; a NULL group or class is one of its own.
+    """
+    cells = df.groupBy(by, label).agg(F.count("*").alias("_n"))
+    # One row for each group and class.
+    of = lambda c: F.sum("_n").over(W.partitionBy(c)).cast("double")
+    whole = F.sum("_n").over(W.partitionBy())
+    weights = cells.select(by, label, (of(by) * of(label) / (whole * F.col("_n"))).alias(output))
+    return join_small(df, weights, [by, label])
+
+
+def oversample(
+    df: DataFrame, by: str, key: Sequence[str], seed: int = 42, output: str = "copy"
+) -> DataFrame:
+    """Repeat rows until every group is about as large as the largest; ``copy`` numbers them from 0.
+
+    With the largest group r times as large as a row's, the row comes floor(r) times, and once more
+    if a digest of its key says so, with the chance that is left. No row is lost, and a row's copies
+    depend on its key and the sizes alone. A NULL group is one of its own.
+    """
+    sizes = df.groupBy(by).agg(F.count("*").alias("_n"))
+    largest = F.max("_n").over(W.partitionBy()).cast("double")  # one row for each group
+    rates = sizes.select(by, (largest / F.col("_n")).alias("_rate"))
+    more = hash_unit(key, seed, "copy") < F.col("_rate") - F.floor("_rate")
+    last = F.floor("_rate") + more.cast("long") - 1
+    joined = join_small(df, rates, [by])
+    return joined.withColumn(output, F.explode(F.sequence(F.lit(0).cast("long"), last))).drop("_rate")
+
+
 def group_counts(df: DataFrame, by: str) -> DataFrame:
     return value_counts(df, by)
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillframe.operators.ordered import top_k
@@ -74,10 +75,19 @@ def logistic_estimator(
 
 
 def fit_logistic(
-    df: DataFrame, label: str = "label", features: str = "features", c: float = 1.0
+    df: DataFrame,
+    label: str = "label",
+    features: str = "features",
+    c: float = 1.0,
+    weight: str | None = None,
 ) -> Model:
-    with training_rows(df.select(label, features)) as (train, n):
-        return logistic_estimator(n, c, label=label, features=features).fit(train)
+    """``weight`` names a column of how often a row counts; a whole number is as that many rows."""
+    if weight is None:
+        with training_rows(df.select(label, features)) as (train, n):
+            return logistic_estimator(n, c, label=label, features=features).fit(train)
+    with training_rows(df.select(label, features, weight)) as (train, _):
+        total = train.agg(F.sum(weight)).first()[0]
+        return logistic_estimator(total, c, label=label, features=features).setWeightCol(weight).fit(train)
 
 
 def forest_estimator(
@@ -120,6 +130,76 @@ def fit_forest(
         return forest_estimator(trees, max_depth, min_leaf, seed, label, features).fit(train)
 
 
+def fit_boosted(
+    df: DataFrame,
+    label: str = "label",
+    features: str = "features",
+    rounds: int = 100,
+    max_depth: int = 3,
+    step: float = 0.1,
+    max_bins: int = 64,
+    validation: str | None = None,
+    tol: float = 0.01,
+    seed: int = 42,
+    partitions: int = FOREST_PARTITIONS,
+) -> Model:
+    """Boosted trees for classes 0 and 1: each tree fits what the earlier ones leave of the loss.
+
+    ``validation`` names a boolean column: its rows are held out, and growing ends when a further
+    tree lowers their loss by less than ``tol`` of it; the trees up to the best are kept. The model
+    depends on the rows, the seed and ``partitions``, not on the input's layout.
+    """
+    held = [] if validation is None else [validation]
+    layout = F.xxhash64(vector_to_array(features), F.col(label), *held)
+    estimator = GBTClassifier(
+        labelCol=label,
+        featuresCol=features,
+        maxIter=rounds,
+        maxDepth=max_depth,
+        stepSize=step,
+        maxBins=max_bins,
+        seed=seed,
+        validationTol=tol,
+        cacheNodeIds=True,
+    )
+    if validation is not None:
+        estimator = estimator.setValidationIndicatorCol(validation)
+    with training_rows(df.select(label, features, *held), layout, partitions) as (train, _):
+        return estimator.fit(train)
+
+
+_RULE = re.compile(r"( *)(If|Else) \(feature (\d+) (<=|>) (\S+)\)|( *)Predict: (\S+)|\s*Tree (\d+) \(weight (\S+)\):")
+
+
+def tree_rules(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:
+    """The leaves of a fitted ensemble of trees over continuous features: (tree, weight, leaf,
+    conditions, prediction), trees and leaves numbered from 0.
+
+    ``conditions`` has (feature, op, threshold) on the way from the root. The table is of the size of
+    the model.
+    """
+    rows, way = [], []
+    tree, weight, leaf, lead = 0, 1.0, 0, None
+    for line in _final(model).toDebugString.splitlines():
+        found = _RULE.match(line)
+        if found is None:
+            continue
+        if found[8] is not None:
+            tree, weight, leaf, way, lead = int(found[8]), float(found[9]), 0, [], None
+        elif found[2] is not None:
+            lead = len(found[1]) if lead is None else lead
+            way = way[: len(found[1]) - lead]
+            way.append((names[int(found[3])], found[4], float(found[5])))
+        else:
+            rows.append((tree, weight, leaf, list(way), float(found[7])))
+            leaf += 1
+    return spark.createDataFrame(
+        rows,
+        "tree int, weight double, leaf int,"
+        " conditions array<struct<feature:string,op:string,threshold:double>>, prediction double",
+    )
+
+
 def predict(model: Model, df: DataFrame) -> DataFrame:
     """Add ``prediction`` and, for a classifier, ``prob`` = P(class 1) as plain columns."""
     scored = model.transform(df)

@@ -6,7 +6,10 @@ exact when keys are unique. An exact split divides the one key at its border.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from itertools import product
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
 from pyspark.ml import Estimator
 from pyspark.sql import Column, DataFrame
@@ -92,11 +95,79 @@ def stratified_kfold(
     return joined.withColumn("fold", passed.cast("int")).drop("_h", "_cutoffs")
 
 
+def split_validation(
+    df: DataFrame, test_size: float, validation_size: float, key: Sequence[str], seed: int = 42
+) -> DataFrame:
+    """Add ``split`` = ``train`` / ``validation`` / ``test``: the test side is that of ``split``, and
+    the validation side a share of the rest, chosen by a digest of its own."""
+    test = hash_below(key, test_size, seed, "split")
+    held = hash_below(key, validation_size / (1 - test_size), seed, "validation")
+    side = F.when(test, "test").when(held, "validation").otherwise("train")
+    return df.withColumn("split", side)
+
+
 def split_audit(df: DataFrame, label: str) -> DataFrame:
     """Rows per side and class."""
     return df.groupBy("split", label).agg(F.count("*").alias("n"))
 
 
+def grid_search(
+    df: DataFrame,
+    estimator: Callable[..., Estimator],
+    grid: Mapping[str, Sequence[Any]],
+    k: int,
+    features: Sequence[str],
+    label: str,
+    key: Sequence[str],
+    seed: int = 42,
+    prepare: Callable | None = None,
+    at_once: int = 4,
+) -> tuple[DataFrame, DataFrame]:
+    """Accuracy of every setting of ``grid`` on every fold, and the settings from best to worst.
+
+    ``estimator(n_train, **setting)`` makes what is fitted. Folds and ``prepare`` are those of
+    :func:`cross_validate`; a fold is readied and cached once, and ``at_once`` settings are fitted on
+    it at a time. The first table has (setting, its values, fold, n, accuracy); the second
+    (rank, setting, its values, cv_mean, cv_std), the highest mean first, then the lowest spread
+    over folds, then the setting listed first.
+    """
+    prepare = prepare or scale_and_assemble
+    names = list(grid)
+    settings = [dict(zip(names, values)) for values in product(*grid.values())]
+    columns = dict.fromkeys([*key, *features, label])
+    rows = []
+    with training_rows(stratified_kfold(df.select(*columns), k, label, key, seed)) as (folded, _):
+        sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+        for fold in range(k):
+            n_train = sum(n for f, n in sizes.items() if f != fold)
+            ready = prepare(folded.where(F.col("fold") != fold), features)
+            whole = ready(folded).withColumnRenamed(label, "label")
+            whole = whole.select("fold", "label", "features").persist()
+            train, held = whole.where(F.col("fold") != fold), whole.where(F.col("fold") == fold)
+
+            def right(setting: dict[str, Any]) -> tuple[int, float]:
+                model = estimator(n_train, **setting).fit(train)
+                hit = (F.col("prediction") == F.col("label")).cast("double")
+                return tuple(model.transform(held).agg(F.count("*"), F.avg(hit)).first())
+
+            try:
+                with ThreadPool(min(at_once, len(settings))) as pool:
+                    for i, found in enumerate(pool.map(right, settings)):
+                        rows.append((i, *settings[i].values(), fold, *found))
+            finally:
+                whole.unpersist()
+    kinds = {float: "double", int: "long", str: "string", bool: "boolean"}
+    own = "".join(f"`{n}` {kinds[type(grid[n][0])]}, " for n in names)
+    folds = df.sparkSession.createDataFrame(rows, f"setting int, {own}fold int, n long, accuracy double")
+    summary = folds.groupBy("setting", *names).agg(
+        F.avg("accuracy").alias("cv_mean"), F.stddev_pop("accuracy").alias("cv_std")
+    )
+    # One row for each setting.
+    best = W.orderBy(F.desc(F.round("cv_mean", 12)), F.round("cv_std", 12), "setting")
+    ranked = summary.select(F.row_number().over(best).alias("rank"), "setting", *names, "cv_mean", "cv_std")
+    return folds, ranked
+
+
 def cross_validate(
     df: DataFrame,
     estimator: Estimator | Callable[[int], Estimator],

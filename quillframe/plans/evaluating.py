@@ -250,29 +250,30 @@ def best_model(spark, sf_dir):
 # --- fairness --------------------------------------------------------------------------------
 
 _GROUP = (
-    "CASE floor(" + unit_sql("group") + " * 3)::INT WHEN 0 THEN 'Young (<40)'"
-    " WHEN 1 THEN 'Middle (40-60)' ELSE 'Senior (>60)' END"
+    f"CASE floor({unit_sql('group')} * {len(fairness.AGE_GROUPS)})::INT "
+    + " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(fairness.AGE_GROUPS))
+    + " END"
 )
-_GROUPED_SQL = f"{SCORED_SQL}, grouped AS (SELECT *, {_GROUP} AS age_group FROM scored)"
+GROUPED_SQL = f"{SCORED_SQL}, grouped AS (SELECT *, {_GROUP} AS age_group FROM scored)"
 
 
-def _grouped(spark, sf_dir):
+def grouped_lines(spark, sf_dir):
     return fairness.assign_group(scored_lines(spark, sf_dir), LINE_KEY, seed=SEED)
 
 
-@query("assign_group", f"WITH {_GROUPED_SQL} SELECT {KEYS_SQL}, age_group FROM grouped")
+@query("assign_group", f"WITH {GROUPED_SQL} SELECT {KEYS_SQL}, age_group FROM grouped")
 def assign_group(spark, sf_dir):
-    return _grouped(spark, sf_dir).select(*LINE_KEY, "age_group")
+    return grouped_lines(spark, sf_dir).select(*LINE_KEY, "age_group")
 
 
 @query(
     "group_counts",
-    f"WITH {_GROUPED_SQL} SELECT age_group AS value, count(*) AS n,"
+    f"WITH {GROUPED_SQL} SELECT age_group AS value, count(*) AS n,"
     " round(count(*) * 100::DOUBLE / (SELECT count(*) FROM grouped), 6) AS percent"
     " FROM grouped GROUP BY 1",
 )
 def group_counts(spark, sf_dir):
-    return _round(fairness.group_counts(_grouped(spark, sf_dir), "age_group"), 6, "percent")
+    return _round(fairness.group_counts(grouped_lines(spark, sf_dir), "age_group"), 6, "percent")
 
 
 _GROUP_METRICS = f"n, {_ROUNDED_RATES}, round(selection_rate, 6) AS selection_rate"
@@ -280,11 +281,11 @@ _GROUP_METRICS = f"n, {_ROUNDED_RATES}, round(selection_rate, 6) AS selection_ra
 
 @query(
     "group_metrics",
-    f"WITH {_GROUPED_SQL}, {rates_sql('grouped', 'age_group')}"
+    f"WITH {GROUPED_SQL}, {rates_sql('grouped', 'age_group')}"
     f" SELECT age_group, {_GROUP_METRICS} FROM m",
 )
 def group_metrics(spark, sf_dir):
-    metrics = fairness.group_metrics(_grouped(spark, sf_dir), "age_group", "y", "pred")
+    metrics = fairness.group_metrics(grouped_lines(spark, sf_dir), "age_group", "y", "pred")
     return _round(metrics, 6, *_RATES, "selection_rate")
 
 

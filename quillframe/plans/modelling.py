@@ -7,10 +7,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from quillframe.operators import metrics, models
+from quillframe.operators import fairness, metrics, models
 from quillframe.operators.joins import settle
 from quillframe.operators.scaling import assemble, scale_and_assemble
-from quillframe.operators.splitting import cross_validate, split, stratified_split
+from quillframe.operators.splitting import cross_validate, grid_search, split, stratified_split
 from quillframe.plans.evaluating import auc_sql, rates_sql, report_sql
 from quillframe.plans.registry import query
 from quillframe.plans.standins import (
@@ -25,6 +25,7 @@ from quillframe.plans.standins import (
     hash_sql,
     lines,
     stratified_sql,
+    unit_sql,
     vectors,
 )
 from quillframe.sources import artifacts
@@ -136,25 +137,29 @@ def save_model(spark, sf_dir):
     return _report(models.predict(loaded, parted.where("split = 'test'")))
 
 
-def logistic_sql(rows: str, features: list[str], name: str) -> str:
+def logistic_sql(
+    rows: str, features: list[str], name: str, c: float = 1.0, weight: str = "1"
+) -> str:
     """CTEs ending in ``<name>`` (w0 = intercept, w1.. = weights): L2 logistic regression with
-    C = 1 on the scaled columns of the CTE ``rows``, by Newton steps whose linear systems are
+    C = ``c``, rows counting ``weight`` times, on the scaled columns of the CTE ``rows``, by Newton steps whose linear systems are
     solved by elimination, one row at a time."""
     p = len(features)
     x = ["1::DOUBLE", *features]
     js = range(p + 1)
+    penalty = f" + 1::DOUBLE / {c}::DOUBLE"
     ctes = [f"{name}_w0 AS (SELECT {', '.join(f'0::DOUBLE AS w{j}' for j in js)})"]
     for step in range(1, NEWTON_STEPS + 1):
         w = f"{name}_w{step - 1}"
         score = " + ".join(f"w{j} * {x[j]}" for j in js)
         gram = [
-            f"sum(p * (1 - p) * {x[i]} * {x[j]}){' + 1' if i == j > 0 else ''} AS a{i}_{j}"
+            f"sum({weight} * p * (1 - p) * {x[i]} * {x[j]}){penalty if i == j > 0 else ''} AS a{i}_{j}"
             for i in js
             for j in js
             if i <= j
         ]
         pull = [
-            f"sum((label - p) * {x[j]}){f' - any_value(w{j})' if j else ''} AS b{j}" for j in js
+            f"sum({weight} * (label - p) * {x[j]}){f' - any_value(w{j}) / {c}::DOUBLE' if j else ''} AS b{j}"
+            for j in js
         ]
         at = f"{name}_g{step}"
         ctes.append(
@@ -282,25 +287,34 @@ def feature_importance(spark, sf_dir):
 
 def _fold_sql(fold: int) -> str:
     """CTEs ending in ``accuracy<fold>``: scaled and fitted without the fold, scored on it."""
+    return f"""{_fold_rows_sql(fold)},
+{_fold_fit_sql(fold)}"""
+
+
+def _fold_rows_sql(fold: int) -> str:
     return f"""scaler{fold} AS (SELECT {_MEAN_STD} FROM folded WHERE fold <> {fold}),
 scaled{fold} AS MATERIALIZED (SELECT label, fold, {_SCALED} FROM folded CROSS JOIN scaler{fold}),
-train{fold} AS MATERIALIZED (SELECT * FROM scaled{fold} WHERE fold <> {fold}),
-{logistic_sql(f'train{fold}', FEATURES, f'fit{fold}')},
-accuracy{fold} AS (
+train{fold} AS MATERIALIZED (SELECT * FROM scaled{fold} WHERE fold <> {fold})"""
+
+
+def _fold_fit_sql(fold: int, c: float = 1.0, tag: str = "") -> str:
+    return f"""{logistic_sql(f'train{fold}', FEATURES, f'fit{fold}{tag}', c)},
+accuracy{fold}{tag} AS (
   SELECT {fold} AS fold, count(*) AS n, avg((({_SCORE} > 0)::INT = label)::INT) AS accuracy
-  FROM scaled{fold} CROSS JOIN fit{fold} WHERE fold = {fold})"""
+  FROM scaled{fold} CROSS JOIN fit{fold}{tag} WHERE fold = {fold})"""
 
 
-FOLDS_SQL = f"""{CLASSED_SQL},
+def _folded_sql(k: int) -> str:
+    cuts = " + ".join(f"(place > n * {i} // {k})::INT" for i in range(1, k))
+    return f"""{CLASSED_SQL},
 places AS (
   SELECT *, count(*) OVER (PARTITION BY label) AS n,
          row_number() OVER (PARTITION BY label ORDER BY {hash_sql('fold')}) AS place
   FROM classed),
-folded AS MATERIALIZED (
-  SELECT {FEATURES_SQL}, label,
-         ((place > n * 1 // 5)::INT + (place > n * 2 // 5)::INT + (place > n * 3 // 5)::INT
-          + (place > n * 4 // 5)::INT)::INT AS fold
-  FROM places),
+folded AS MATERIALIZED (SELECT {FEATURES_SQL}, label, ({cuts})::INT AS fold FROM places)"""
+
+
+FOLDS_SQL = f"""{_folded_sql(5)},
 {', '.join(_fold_sql(f) for f in range(5))},
 folds AS ({' UNION ALL '.join(f'SELECT * FROM accuracy{f}' for f in range(5))})"""
 
@@ -328,6 +342,88 @@ def cross_validate_summary(spark, sf_dir):
     return summary.withColumns({c: F.round(c, 6) for c in ("cv_mean", "cv_std")})
 
 
+GRID = [0.0001, 1.0]
+_GRID_SQL = f"""{_folded_sql(2)},
+{', '.join(_fold_rows_sql(f) for f in range(2))},
+{', '.join(_fold_fit_sql(f, c, f's{i}') for i, c in enumerate(GRID) for f in range(2))},
+folds AS ({' UNION ALL '.join(f'SELECT {i} AS setting, {c}::DOUBLE AS c, * FROM accuracy{f}s{i}'
+                              for i, c in enumerate(GRID) for f in range(2))}),
+means AS (SELECT setting, c, avg(accuracy) AS cv_mean, stddev_pop(accuracy) AS cv_std FROM folds GROUP BY 1, 2)"""
+
+
+@query(
+    "grid_search",
+    f"""WITH {_GRID_SQL} SELECT (row_number() OVER (ORDER BY round(cv_mean, 12) DESC, round(cv_std, 12), setting))::INT
+  AS rank, setting, c, round(cv_mean, 6) AS cv_mean, round(cv_std, 6) AS cv_std FROM means""",
+)
+def grid_search_settings(spark, sf_dir):
+    _, ranked = grid_search(
+        classed_lines(spark, sf_dir), models.logistic_estimator, {"c": GRID}, 2, FEATURES, "label",
+        LINE_KEY, SEED,
+    )
+    return ranked.withColumns({c: F.round(c, 6) for c in ("cv_mean", "cv_std")})
+
+
+_WEIGHTED_SQL = f"""{CLASSED_SQL},
+cells AS (SELECT l_returnflag, label, count(*) AS cell FROM lines0 GROUP BY 1, 2),
+sizes AS (SELECT *, sum(cell) OVER (PARTITION BY l_returnflag) AS of_group,
+                 sum(cell) OVER (PARTITION BY label) AS of_class, sum(cell) OVER () AS whole FROM cells),
+weighted AS MATERIALIZED (SELECT {FEATURES_SQL}, label, of_group::DOUBLE * of_class / (whole * cell) AS weight
+  FROM lines0 JOIN sizes USING (l_returnflag, label))""".replace("lines0", "classed")
+
+
+def _weighted(spark, sf_dir):
+    rows = classed_lines(spark, sf_dir, "l_returnflag")
+    return fairness.balance_weights(rows, "l_returnflag", "label")
+
+
+@query(
+    "balance_weights",
+    f"WITH {_WEIGHTED_SQL} SELECT label, count(*) AS n, round(sum(weight), 4) AS weight,"
+    " round(min(weight), 6) AS least, round(max(weight), 6) AS most FROM weighted GROUP BY 1",
+)
+def balance_weights(spark, sf_dir):
+    found = _weighted(spark, sf_dir).groupBy("label").agg(
+        F.count("*").alias("n"),
+        F.round(F.sum("weight"), 4).alias("weight"),
+        F.round(F.min("weight"), 6).alias("least"),
+        F.round(F.max("weight"), 6).alias("most"),
+    )
+    return found
+
+
+@query(
+    "fit_weighted",
+    f"""WITH {_WEIGHTED_SQL},
+scaler AS (SELECT {_MEAN_STD} FROM weighted),
+train AS MATERIALIZED (SELECT label, weight, {_SCALED} FROM weighted CROSS JOIN scaler),
+{logistic_sql('train', FEATURES, 'fit', weight='weight')} """
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(w{i}, 4) AS weight FROM fit"
+        for i, c in enumerate(["intercept", *FEATURES])
+    ),
+)
+def fit_weighted(spark, sf_dir):
+    rows = _weighted(spark, sf_dir)
+    ready = scale_and_assemble(rows, FEATURES)(rows)
+    model = models.fit_logistic(ready, weight="weight")
+    return models.coefficients(spark, model, FEATURES).withColumn("weight", F.round("weight", 4))
+
+
+@query(
+    "oversample",
+    f"""WITH {CLASSED_SQL},
+n AS (SELECT label, count(*) AS n FROM classed GROUP BY 1),
+r AS (SELECT label, max(n) OVER ()::DOUBLE / n AS rate FROM n),
+t AS (SELECT {KEYS_SQL}, label, (floor(rate) + ({unit_sql('copy')} < rate - floor(rate))::INT)::BIGINT AS times
+      FROM classed JOIN r USING (label))
+SELECT {KEYS_SQL}, label, unnest(range(times)) AS copy FROM t""",
+)
+def oversample(spark, sf_dir):
+    copies = fairness.oversample(classed_lines(spark, sf_dir), "label", LINE_KEY, SEED)
+    return copies.select(*LINE_KEY, "label", "copy")
+
+
 @query("choose_classifier")
 def choose_classifier(spark, sf_dir):
     """Split, scale, fit two classifiers, measure, cross-validate, and keep the better one."""

@@ -9,6 +9,7 @@ from quillframe.functions.hashing import hash_unit
 from quillframe.operators.cleaning import inject_duplicates, inject_nulls
 from quillframe.sources.tables import load_table
 
+# The seed, the shares of values lost, and the rows repeated.
 SEED = 42
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -49,10 +50,10 @@ def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).select(*LINE_KEY, "net", guess.alias("guess"))
 
 
-def classed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def classed_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """Order lines with a class to learn: is the net price, blurred by noise, above 45,000?"""
     noise = (hash_unit(LINE_KEY, SEED, "class") - 0.5) * 30_000
-    return lines(spark, sf_dir).withColumn("label", (F.col("net") + noise > 45_000).cast("int"))
+    return lines(spark, sf_dir, *more).withColumn("label", (F.col("net") + noise > 45_000).cast("int"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
