@@ -233,6 +233,8 @@ def _groups(
     )
     rooted = materialize(rooted, "rooted")
     groups = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("low").alias("_low"))
+    # Written, so that the join has nothing but exchanges below it and splits a hot group.
+    groups = materialize(groups, "groups")
     named = rooted.join(groups, F.col("root") == F.col("_root")).select(
         F.col("fp").alias("_fp"),
         F.col("_low.key").alias("component"),

@@ -443,3 +443,42 @@ def test_long_text_is_one_text(monkeypatch):
     assert len(cut) > 10
     for i in range(3):
         assert np.concatenate([x[i] for x in cut]).tolist() == np.concatenate([x[i] for x in whole]).tolist()
+
+
+def test_slices_of_many_lanes_add_up(spark, monkeypatch, documents):
+    texts = documents.select("text").repartition(7)
+    whole = quality.neighbour_sums(texts, 500)
+    monkeypatch.setattr(quality, "LANE", 2)
+    assert (quality.neighbour_sums(texts, 500) == whole).all() and whole.any()
+
+
+def test_temperature_calibrates_rows_it_has_not_seen():
+    """Noisy classes: an overconfident network is cooled, and probabilities are shares on new rows."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 30))
+    chance = 1 / (1 + np.exp(-1.5 * x[:, 0] - x[:, 1]))
+    y = (rng.random(3000) < chance).astype(int)
+    seen, held = np.arange(3000) < 1200, np.arange(1200) % 4 == 0
+    net = quality.fit_network(x[seen], y[seen], held)
+    assert 1 <= net.temperature < np.exp(3)
+    p, t = net.probabilities(x[~seen]), y[~seen]
+    bins = np.minimum((p * 10).astype(int), 9)
+    error = sum(abs(p[bins == b].mean() - t[bins == b].mean()) * (bins == b).mean() for b in set(bins))
+    assert error < 0.08
+    apart = quality.fit_network(x[seen], (x[seen][:, 0] > 0).astype(int), held)
+    assert apart.temperature >= 1
+    sure = apart.probabilities(x[~seen])
+    assert 1e-9 < sure.min() < 0.02 and 0.98 < sure.max() < 1 - 1e-9
+
+
+def test_network_probabilities_against_plain_sums():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 5))
+    net = quality.fit_network(x, (x[:, 0] > 0).astype(int), np.arange(60) % 5 == 0)
+    for row, got in zip(x, net.probabilities(x)):
+        hidden = [
+            np.tanh(sum((row[i] - net.mean[i]) / net.scale[i] * net.w1[i, h] for i in range(5)) + net.b1[h])
+            for h in range(len(net.b1))
+        ]
+        z = sum(a * b for a, b in zip(hidden, net.w2)) + net.b2
+        assert got == pytest.approx(1 / (1 + np.exp(-z / net.temperature)))
