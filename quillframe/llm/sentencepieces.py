@@ -30,7 +30,7 @@ from quillframe.llm.rows import balanced, flat
 
 SPACE = "▁"
 SLICE_BYTES = 4 << 20
-CACHED_UNITS = 300_000
+CACHED_UNITS = 600_000
 CACHED_LENGTH = 64  # characters of a unit that is kept
 PLACE_BITS = 32  # of an agenda's entry
 _PLACES = (1 << PLACE_BITS) - 1
@@ -126,26 +126,28 @@ class PieceModel:
             self.is_byte[i] = True
         self.silent = np.array([not x for x in self.said])
         self.units: dict[str, bytes] = {}
-        self.stretches: dict[str, list[int]] = {}
+        self.stretches: dict[str, bytes] = {}
 
-    def _stretch(self, text: str) -> list[int]:
-        out: list[int] = []
+    def _stretch(self, text: str) -> bytes:
+        out = array("i")
         for symbol in merge(text, self.rank):
             found = self.ids.get(symbol)
             if found is None:
-                out += [self.byte_ids[b] for b in symbol.encode()]
+                out.extend([self.byte_ids[b] for b in symbol.encode()])
             else:
                 out.append(found)
+        ids = out.tobytes()
         if len(text) <= CACHED_LENGTH:
-            self.stretches[text] = out
-        return out
+            self.stretches[text] = ids
+        return ids
 
-    def encode_unit(self, unit: str) -> list[int]:
+    def encode_unit(self, unit: str) -> bytes:
         """Ids of a text that is given with its spaces as ``▁``, by the agenda."""
+        known, new = self.stretches, self._stretch
         parts = self.borders.split(unit) if self.borders else [unit]
         if len(parts) == 1:
-            return self.stretches.get(unit) or self._stretch(unit)
-        return [i for part in parts for i in self.stretches.get(part) or self._stretch(part)]
+            return known.get(unit) or new(unit)
+        return b"".join([known.get(part) or new(part) for part in parts])
 
     def of(self, units: list[str]) -> list[bytes]:
         """Ids of each unit as little-endian 32-bit integers; new ones are checked by the library."""
@@ -153,18 +155,19 @@ class PieceModel:
             self.units.clear()
         if len(self.stretches) > CACHED_UNITS:
             self.stretches.clear()
-        known = self.units
+        known, encode = self.units, self.encode_unit
         new = [u for u in dict.fromkeys(units) if u not in known]
-        fresh: dict[str, bytes] = {}
+        long: dict[str, bytes] = {}
         if new:
             plain = [u[1:].replace(SPACE, " ") for u in new]
             for unit, want in zip(new, self.library.encode(plain, num_threads=1), strict=True):
-                ids = self.encode_unit(unit)
-                if ids != want and unit != SPACE:  # the library leaves an empty text without prefix
+                ids = encode(unit)
+                if ids != array("i", want).tobytes() and unit != SPACE:  # an empty text has no prefix
                     raise ValueError(f"ids differ from those of the library: {unit[:80]!r}")
-                fresh[unit] = array("i", ids).tobytes()
-            known.update((u, ids) for u, ids in fresh.items() if len(u) <= CACHED_LENGTH)
-        return [known[u] if u in known else fresh[u] for u in units]
+                (known if len(unit) <= CACHED_LENGTH else long)[unit] = ids
+        if long:
+            return [long[u] if u in long else known[u] for u in units]
+        return list(map(known.__getitem__, units))
 
 
 @lru_cache(maxsize=4)
@@ -185,14 +188,16 @@ def encode_texts(model: PieceModel, texts: pa.Array) -> tuple[np.ndarray, np.nda
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     counts = np.zeros(len(texts), np.int64)
     counts[full & ~odd] = np.diff(offsets)
-    at = np.cumsum(counts) - counts
     numbers = {u: i for i, u in enumerate(units)}
-    for i in np.flatnonzero(odd):
-        found = _UNITS.findall(SPACE + texts[int(i)].as_py().replace(" ", SPACE))
-        own = [numbers.setdefault(u, len(numbers)) for u in found]
-        codes = np.insert(codes, at[i], own) if own else codes
-        at[i + 1 :] += len(own)
-        counts[i] = len(own)
+    own: list[int] = []
+    for i in np.flatnonzero(odd).tolist():
+        found = _UNITS.findall(SPACE + texts[i].as_py().replace(" ", SPACE))
+        own += [numbers.setdefault(u, len(numbers)) for u in found]
+        counts[i] = len(found)
+    if own:
+        of_odd = np.repeat(odd, counts)
+        plain, codes = codes, np.empty(len(of_odd), np.int64)
+        codes[of_odd], codes[~of_odd] = own, plain
     ids = model.of(list(numbers))
     size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
     pool = np.frombuffer(b"".join(ids), "<i4")
