@@ -140,12 +140,15 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
     return _groups(identified(docs), docs, text, key)
 
 
-def drop_exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def drop_exact_duplicates(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", at_rest: bool = False
+) -> DataFrame:
     """``docs`` with the kept row of each group of equal texts, as ``deduplicate`` chooses it.
 
     Null and empty texts are one group. Rows are written once with their numbers, so that the second
-    reading drops the rows that the first chose, whatever ``docs`` is read from. An empty table
-    gives an empty one; column names of ``docs`` may be any.
+    reading drops the rows that the first chose, whatever ``docs`` is read from; not if they are
+    ``at_rest`` (``rows.numbered``). An empty table gives an empty one; column names of ``docs`` may
+    be any.
     """
-    rows = numbered(docs)
+    rows = numbered(docs, at_rest=at_rest)
     return without(rows, _groups(rows, docs, text, key).where("NOT kept")).select("row.*")

@@ -156,15 +156,15 @@ def taken_words(plan: DataFrame) -> DataFrame:
     return plan.groupBy(*columns).agg(F.sum("words").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, at_rest: bool = False, **options) -> DataFrame:
     """``docs`` as the mix reads them, in training order: a row for each pass over a document.
 
     A pass that reads at least half of a document gives the whole of it, any other gives none, so
     that no text is cut. Empty and null texts are in no pass; an empty table gives an empty mix;
     column names of ``docs`` may be any. Rows are written once with their numbers, so that the plan
-    meets the rows it was made for.
+    meets the rows it was made for; not if they are ``at_rest`` (``rows.numbered``).
     """
-    rows = numbered(docs)
+    rows = numbered(docs, at_rest=at_rest)
     plan = _plan(rows, **options).where(F.col("words") * 2 >= F.col("size")).where("words > 0")
     plan = plan.select(F.col("uid").alias("_uid"), F.col("position").alias("_position"))
     rows = rows.join(plan, F.col("uid") == F.col("_uid"))

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,8 +28,23 @@ def identified(docs: DataFrame, name: str = "uid") -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias(name), F.struct(F.col("*")).alias("row"))
 
 
-def numbered(docs: DataFrame, name: str = "uid") -> DataFrame:
-    """``identified`` rows, written once: each reading finds the same row under a number."""
+def numbered(docs: DataFrame, name: str = "uid", at_rest: bool = False) -> DataFrame:
+    """``identified`` rows that each reading finds under the same number: they are written once.
+
+    ``at_rest`` says that ``docs`` is a scan of parquet files which stay as they are, so that nothing
+    has to be written: a row is known by its file, as 64 bits of a digest of the path (a million
+    files share one with a chance below one in ten million), and its place in the file, whatever
+    splits the files are read in. Frames that no file's rows are seen in are written all the same.
+    """
+    if at_rest:
+        try:
+            place = docs.metadataColumn("_metadata")
+            known = F.struct(
+                F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("place")
+            )
+            return docs.select(known.alias(name), F.struct(F.col("*")).alias("row"))
+        except AnalysisException:
+            pass
     return materialize(identified(docs, name), "numbered")
 
 

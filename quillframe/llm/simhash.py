@@ -77,7 +77,8 @@ def _fingerprints(rows: DataFrame, shingle: int, text: str, key: str) -> DataFra
             )
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(hashed, f"uid long, key {kind}, fp long")
+    number = rows.schema["uid"].dataType.simpleString()
+    return rows.mapInArrow(hashed, f"uid {number}, key {kind}, fp long")
 
 
 def _blocks(m: int) -> list[tuple[int, int]]:
@@ -247,13 +248,14 @@ def fingerprint_text(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, at_rest: bool = False, **options) -> DataFrame:
     """``docs`` with one row of each group of ``near_groups``: that of the least key.
 
     Null and empty texts are one group, linked like any other; of rows with equal keys one stays. An
     empty table gives an empty one; column names of ``docs`` may be any. Rows are written once with
-    their numbers, so that the second reading drops the rows that the first chose.
+    their numbers, so that the second reading drops the rows that the first chose; not if they are
+    ``at_rest`` (``rows.numbered``).
     """
-    rows = numbered(docs)
+    rows = numbered(docs, at_rest=at_rest)
     groups = _groups(rows, **options)
     return without(rows, groups.where(F.col("uid") != F.col("first"))).select("row.*")

@@ -219,18 +219,31 @@ def test_dropped_and_mixed_rows_whatever_they_are_read_from(spark, tmp_path, fil
     frame.repartition(files).write.option("maxRecordsPerFile", 100 if files == 1 else 1).parquet(path)
     want = {min(i for i, u in enumerate(texts) if u == t) for t in texts}
     near = None
-    for docs in (spark.read.parquet(path), frame, spark.read.parquet(path).where(F.rand() < 2)):
-        assert {r.doc_id for r in exact.drop_exact_duplicates(docs).collect()} == want
-        kept = {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()}
+    scan = spark.read.parquet(path)
+    for docs, still in ((scan, False), (scan, True), (frame, True), (scan.where(F.rand() < 2), False)):
+        # Lines are drawn in other splits than they were numbered in.
+        dropped = exact.drop_exact_duplicates(docs, at_rest=still)
+        spark.conf.set("spark.sql.files.minPartitionNum", 3)
+        assert {r.doc_id for r in dropped.collect()} == want
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        kept = {r.doc_id for r in simhash.drop_near_duplicates(docs, at_rest=still).collect()}
         groups = simhash.near_groups(docs).select("key", "component").distinct().collect()
         assert kept == {r.component for r in groups} <= want
         assert near in (None, kept)
         near = kept
         plan = mixing.mix(docs).where("words * 2 >= size AND words > 0").groupBy("key").count().collect()
-        mixed = mixing.mixed_documents(docs).groupBy("doc_id").count().collect()
+        mixed = mixing.mixed_documents(docs, at_rest=still).groupBy("doc_id").count().collect()
         assert {(r[0], r[1]) for r in mixed} == {(r[0], r[1]) for r in plan} and mixed
 
 
+def test_rows_at_rest_keep_their_numbers(spark, scattered):
+    found = []
+    for n in (1, 12):
+        docs = rows.numbered(scattered(n).where("doc_id <> 5"), at_rest=True)
+        found.append({tuple(r.uid): r.row.doc_id for r in docs.collect()})
+    assert found[0] == found[1] and sorted(found[0].values()) == [i for i in range(96) if i != 5]
+
+
 @pytest.mark.parametrize("name", ["exact", "mixed", "packed", "scored"])
 def test_rows_meet_their_numbers_in_other_splits(scattered, spark, name):
     """The later scans of a query are planned in other splits than its first."""
