@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from quillframe.sources.artifacts import materialize
 
 BLOCK_ROWS = 8192
-ROW_BLOCKS = 4  # mean blocks of rows that meet in a task
-QUERY_BLOCKS = 16  # mean blocks of queries there: an index block is sent once for so many
+ROW_BLOCKS = 1  # mean blocks of rows in a group
+QUERY_BLOCKS = 16  # mean blocks of queries that meet them: an index block is sent once for so many
 QUERY_ROWS = 512
+MOST_TASKS = 100_000  # that groups are spread over
 SLICES = 7  # bits kept of a row's component
 QUERY_BITS = 6  # bits kept of a query's component, besides its sign
 LARGEST = 1 << 24  # of a component of a sliced vector, so that scores are exact in 64 bits
@@ -300,10 +301,13 @@ def top_k(
     single = usable(asked, key, vector).groupBy("key").agg(F.min("ints").alias("ints"))
     asked = materialize(_blocks(single, QUERY_ROWS), "queries")
     n, m = max(1, -(-index.count() // ROW_BLOCKS)), max(1, -(-asked.count() // QUERY_BLOCKS))
-    dealt = lambda among: F.pmod(F.xxhash64("block"), F.lit(among))
-    every = lambda among: F.explode(F.sequence(F.lit(0), F.lit(among - 1)))
-    left = index.withColumns({"rows": dealt(n), "asked": every(m)})
-    right = asked.withColumns({"asked": dealt(m), "rows": every(n)})
+    # Of one type, as both sides are dealt out by the digest of their numbers.
+    dealt = lambda among: F.pmod(F.xxhash64("block"), F.lit(among)).cast("int")
+    every = lambda among: F.explode(F.sequence(F.lit(0), F.lit(among - 1)).cast("array<int>"))
+    # The work of a group is far more than its bytes say, so each may have a task of its own.
+    apart = lambda side: side.repartition(min(n * m, MOST_TASKS), "rows", "asked")
+    left = apart(index.withColumns({"rows": dealt(n), "asked": every(m)}))
+    right = apart(asked.withColumns({"asked": dealt(m), "rows": every(n)}))
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out = {"query_id": [], "key": [], "score": []}

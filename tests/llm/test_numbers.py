@@ -45,6 +45,7 @@ def test_bit_sliced_sums():
 def test_top_k_against_all_scores(spark, monkeypatch, scale):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 70)
     monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "QUERY_BLOCKS", 1)  # many groups on both sides
     rng = np.random.default_rng(2)
     vectors = rng.normal(0, scale, (400, 6)).round(2).astype(np.float32)
     vectors[50:60] = vectors[100]  # ties
