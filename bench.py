@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quillframe.plans import QUERIES  # noqa: E402
+from quillframe.sources import discard  # noqa: E402
 
 HEADLINE = [
     "load_table",
@@ -79,6 +80,7 @@ def main() -> None:
         started = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - started, 3)
+    discard(spark)  # intermediate tables of this run
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(

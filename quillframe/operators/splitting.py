@@ -1,7 +1,8 @@
 """Train/test splits and cross-validation folds, repeatable for a key and a seed.
 
-Rows with the same key fall on the same side, so copies cannot leak from train to test; sizes are
-exact when keys are unique. An exact split divides the one key at its border.
+Rows with the same key fall on the same side, so copies cannot leak from train to test. A split of
+exact size, by class or not, divides the one key at its border by the digest of the row, so that only
+identical rows can make it inexact.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillframe.functions.hashing import hash_below, hash_hex
+from quillframe.functions.hashing import hash_below
 from quillframe.operators.joins import join_small, settle
 from quillframe.operators.models import training_rows
 from quillframe.operators.sampling import hash_cutoffs, row_digest
@@ -67,8 +68,11 @@ def allocate_test_rows(classes: DataFrame, label: str, test_size: float) -> Data
 def stratified_split(
     df: DataFrame, test_size: float, label: str, key: Sequence[str], seed: int = 42
 ) -> DataFrame:
-    """Add ``split`` with the class shares of the whole table on both sides."""
-    hashed = df.withColumn("_h", hash_hex(key, seed, "split"))
+    """Add ``split`` with the class shares of the whole table on both sides.
+
+    Of the rows that share the key at a class's border, those of lower row digest go to test.
+    """
+    hashed = df.withColumn("_h", row_digest(df, key, seed, "split"))
     targets = lambda classes: allocate_test_rows(settle(classes), label, test_size).select(
         label, F.lit(0).alias("slot"), "target"
     )
@@ -81,8 +85,9 @@ def stratified_kfold(
     df: DataFrame, k: int, label: str, key: Sequence[str], seed: int = 42
 ) -> DataFrame:
     """Add ``fold`` 0..k-1. A class of n rows gives fold i the random-order ranks from
-    ``i*n // k`` up to ``(i+1)*n // k``, so its fold sizes differ by at most one row."""
-    hashed = df.withColumn("_h", hash_hex(key, seed, "fold"))
+    ``i*n // k`` up to ``(i+1)*n // k``, so its fold sizes differ by at most one row. Rows that share a key at a border
+    are told apart by the digest of the row."""
+    hashed = df.withColumn("_h", row_digest(df, key, seed, "fold"))
     slots = F.explode(F.sequence(F.lit(1), F.lit(k - 1))).alias("slot")
     targets = lambda classes: classes.select(label, "n", slots).select(
         label, "slot", F.floor(F.col("slot") * F.col("n") / k).alias("target")

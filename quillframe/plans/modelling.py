@@ -267,6 +267,48 @@ def evaluate_report(spark, sf_dir):
     return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
+@query(
+    "predict_probabilities",
+    f"WITH {CLASSES_SQL} SELECT {KEYS_SQL}, y AS label, round(prob, 3) AS prob FROM scored",
+)
+def predict_probabilities(spark, sf_dir):
+    """P(class 1) of every test row."""
+    ready, model = fitted_classes(spark, sf_dir)
+    scored = models.predict(model, ready.where("split = 'test'"))
+    return scored.select(*LINE_KEY, "label", F.round("prob", 3).alias("prob"))
+
+
+@query(
+    "evaluate_confusion",
+    f"WITH {CLASSES_SQL}, g AS (SELECT a AS y_true, b AS y_pred FROM (VALUES (0), (1)) t(a)"
+    " CROSS JOIN (VALUES (0), (1)) u(b))"
+    " SELECT y_true, y_pred, count(y) AS n FROM g LEFT JOIN scored ON y = y_true AND pred = y_pred"
+    " GROUP BY 1, 2",
+)
+def evaluate_confusion(spark, sf_dir):
+    ready, model = fitted_classes(spark, sf_dir)
+    return metrics.evaluate(model, ready.where("split = 'test'"), "logistic")["confusion"]
+
+
+@query(
+    "evaluate_roc",
+    f"""WITH {CLASSES_SQL},
+roc_b AS (SELECT round(prob, 2) AS threshold, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y <> 1) AS neg
+      FROM scored GROUP BY 1),
+roc_r AS (SELECT threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM roc_b
+      WINDOW w AS (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+roc_t AS (SELECT sum(pos)::DOUBLE AS pos, sum(neg)::DOUBLE AS neg FROM roc_b)
+SELECT threshold, round(fp::DOUBLE / neg, 6) AS fpr, round(tp::DOUBLE / pos, 6) AS tpr FROM roc_r CROSS JOIN roc_t
+UNION ALL SELECT 'Infinity'::DOUBLE, 0, 0""",
+)
+def evaluate_roc(spark, sf_dir):
+    """The curve of the fitted model over scores of two digits."""
+    ready, model = fitted_classes(spark, sf_dir)
+    scored = models.predict(model, ready.where("split = 'test'"))
+    curve = metrics.roc_curve(scored, "label", "prob", digits=2)
+    return curve.withColumns({c: F.round(c, 6) for c in ("fpr", "tpr")})
+
+
 def _fitted_forest(spark, sf_dir, trees=200):
     parted = stratified_split(vectors(spark, sf_dir), 0.2, "label", ["vec_id"], SEED)
     ready = assemble(parted, VECTOR_FEATURES)

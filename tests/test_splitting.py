@@ -133,3 +133,16 @@ def test_rows_that_share_a_key_do_not_depend_on_the_layout(spark):
     for n in (1, 4, 8):
         parted = ops.split(hot.repartition(n), 0.2, ["k"], exact=True)
         assert parted.where("split = 'test'").count() == 2
+
+
+def test_a_key_that_many_rows_share_is_divided(spark):
+    rows = [(7, i, i % 2) for i in range(40)] + [(i, i, 0) for i in range(100, 110)]
+    frame = spark.createDataFrame(rows, "id int, v int, label int").repartition(5)
+    sides = ops.stratified_split(frame, 0.2, "label", ["id"]).groupBy("split", "label").count().collect()
+    assert {(r.split, r.label): r["count"] for r in sides} == {
+        ("test", 0): 6, ("train", 0): 24, ("test", 1): 4, ("train", 1): 16
+    }
+    folds = ops.stratified_kfold(frame, 5, "label", ["id"]).groupBy("fold", "label").count().collect()
+    assert {(r.fold, r.label): r["count"] for r in folds} == {(f, y): 6 - 2 * y for f in range(5) for y in (0, 1)}
+    again = ops.stratified_kfold(frame.repartition(3), 5, "label", ["id"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, ops.stratified_kfold(frame, 5, "label", ["id"]).collect()))
