@@ -257,14 +257,14 @@ def test_mixing_odd_rows(odd, none):
     assert mixing.mix(none).count() == 0 and mixing.mixed_documents(none).count() == 0
 
 
-def test_schedule_is_inverted():
-    from quillframe.llm.mixing import RAMP
-
-    start, end = RAMP
-    t = np.linspace(0, 1, 11)
-    done = (start * t + (end - start) * t * t / 2) / ((start + end) / 2)
-    root = (np.sqrt(start**2 + 2 * (end - start) * (start + end) / 2 * done) - start) / (end - start)
-    assert np.allclose(root, t)
+@pytest.mark.parametrize(("start", "end"), [mixing.RAMP, mixing.RAMP[::-1], (1.0, 1.0), (2.0, 0.0)])
+def test_schedule_is_inverted(spark, start, end):
+    """The share spent by a time, as the integral of the weights tells it, leads back to the time."""
+    times = np.linspace(0, 1, 11)
+    spent = lambda t: start * t + (end - start) * t * t / 2
+    frame = spark.createDataFrame([(float(t), float(spent(t) / spent(1.0))) for t in times], "t double, done double")
+    found = frame.select("t", mixing._when(F.col("done"), F.lit(start), F.lit(end)).alias("when")).collect()
+    assert np.allclose([r.when for r in found], [r.t for r in found], atol=1e-7)
 
 
 @pytest.mark.parametrize("by", [None, "g"])
