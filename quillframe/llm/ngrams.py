@@ -1,10 +1,17 @@
 """Language-model scores from a log-frequency Bloom filter of n-gram counts.
 
-Words and pairs of neighbouring words are counted over all training texts. A count is kept as its
-quantised logarithm q: the n-gram is put into a Bloom filter with each of the numbers 1 to q. To read
-it, one probes 1, 2, ... until a probe fails; a false positive makes a count too large by a step, with
-a small known chance. The filter is cut into segments by the n-gram's hash, so its parts are built in
-parallel; it grows with the corpus, a few bits for each distinct n-gram.
+Words and pairs of neighbouring words are counted over all training texts. The count of a pair is kept
+as its quantised logarithm q: the pair is put into a Bloom filter with each of the numbers 1 to q. To
+read it, one probes 1, 2, ... until a probe fails; a false positive makes a count too large by a step,
+with a small known chance. The filter is cut into segments by the pair's hash, so its parts are built
+in parallel; it grows with the corpus, some 18 bits for each step of each distinct pair. Words are
+counted exactly beside it.
+
+A word's probability after another is a mixture of two parts. The pair's share is the least count of
+its step over what follows the word before: that word's exact count, and room for the false positives
+that all words of the vocabulary may give together. The other part is the word's own share with one
+added to each count. So the probabilities of all words after one word, an unknown one among them, add
+up to 1 at most.
 
 Workers probe the whole filter by broadcast as long as it is below a stated size. A larger one stays
 in segments, and the n-grams of the texts are brought to them by shuffle: the same probes, the same
@@ -13,6 +20,7 @@ answers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,8 +34,8 @@ from pyspark.sql import functions as F
 from quillframe.llm.rows import balanced, cut_at_space, identified, words_of
 from quillframe.sources.artifacts import materialize
 
-PROBES = 4
-BITS_PER_ENTRY = 6  # about PROBES / ln 2: half the bits are set, one false probe in 16
+PROBES = 12
+BITS_PER_ENTRY = 18  # above PROBES / ln 2: under half the bits are set, one false answer in 4,096
 SEGMENT_BYTES = 8 << 20  # of training text for each segment
 SLICE_BYTES = 2 << 20
 PROBED_AT_ONCE = 1 << 18
@@ -97,16 +105,29 @@ def quantised(counts: np.ndarray) -> np.ndarray:
 
 
 def restored(q: np.ndarray) -> np.ndarray:
-    """The middle of the counts that share a quantised one; 0 stays 0."""
-    return np.where(q > 0, (3.0 * 2.0 ** (q - 1) - 1) / 2, 0.0)
+    """The least of the counts that share a quantised one; 0 stays 0."""
+    return np.where(q > 0, 2.0 ** (q.astype(np.float64) - 1), 0.0)
 
 
-def _places(keys: np.ndarray, level: np.ndarray, bits: np.ndarray) -> Iterator[np.ndarray]:
-    """The probed bits of (key, level) in filters of ``bits`` bits each."""
-    one = _mixed(keys + level.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    two = _mixed(one + _ODD) | np.uint64(1)
-    for i in range(PROBES):
-        yield (one + np.uint64(i) * two) % bits
+def room(distinct: int) -> float:
+    """What false positives may add to the counts of all pairs that begin with one word.
+
+    Each word of the vocabulary gives one with a chance of ``2 ** -PROBES`` at most; their number is
+    near a Poisson one, so five deviations and one more leave about one word in a million beyond.
+    """
+    mean = distinct / 2**PROBES
+    return mean + 5 * math.sqrt(mean) + 1
+
+
+def _seeds(keys: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (key, level), from which its places follow."""
+    one = _mixed(_mixed(keys + level.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
+    return one, _mixed(one + _ODD) | np.uint64(1)
+
+
+def _place(one: np.ndarray, two: np.ndarray, i: int, bits: np.ndarray) -> np.ndarray:
+    """The ``i``-th probed bit in filters of ``bits`` bits each; the cube keeps places apart."""
+    return (one + np.uint64(i) * two + np.uint64((i**3 - i) // 6)) % bits
 
 
 def build_segment(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
@@ -117,24 +138,30 @@ def build_segment(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
     for level in range(1, int(q.max(initial=0)) + 1):
         some = keys[q >= level]
         size = np.full(len(some), bits, np.uint64)
-        for place in _places(some, np.full(len(some), level), size):
-            flags[place.astype(np.int64)] = True
+        one, two = _seeds(some, np.full(len(some), level))
+        for i in range(PROBES):
+            flags[_place(one, two, i, size).astype(np.int64)] = True
     return np.packbits(flags, bitorder="little").tobytes(), bits
 
 
 class Filter:
-    """Some or all segments of the filter, side by side."""
+    """Some or all segments of the filter, side by side; memory is that of the segments given."""
 
     def __init__(self, segments: int, parts: dict[int, tuple[bytes, int]]) -> None:
         self.segments = np.uint64(segments)
-        self.bits = np.full(segments, 64, np.uint64)
-        self.start = np.zeros(segments, np.int64)
-        raw, at = [bytes(8)], 8  # a segment without n-grams is all zeros
-        for segment, (data, bits) in sorted(parts.items()):
-            self.bits[segment], self.start[segment] = bits, at
-            raw.append(data)
-            at += len(data)
-        self.raw = np.frombuffer(b"".join(raw), np.uint8)
+        held = sorted(parts.items())
+        # The last place stands for segments without n-grams: its bits are all zeros.
+        self.ids = np.array([segment for segment, _ in held], np.int64)
+        self.bits = np.array([*(bits for _, (_, bits) in held), 64], np.uint64)
+        sizes = [len(data) for _, (data, _) in held]
+        self.start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.raw = np.frombuffer(b"".join([*(data for _, (data, _) in held), bytes(8)]), np.uint8)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        segment = (keys % self.segments).astype(np.int64)
+        at = np.searchsorted(self.ids, segment)
+        found = np.append(self.ids, -1)[at] == segment
+        return np.where(found, at, len(self.ids))
 
     def probe(self, keys: np.ndarray) -> np.ndarray:
         """Quantised count of each key, 0 if it is not there."""
@@ -143,19 +170,19 @@ class Filter:
         return np.concatenate([np.zeros(0, np.int8), *found])
 
     def _probe(self, keys: np.ndarray) -> np.ndarray:
-        segment = (keys % self.segments).astype(np.int64)
-        bits, start = self.bits[segment], self.start[segment]
+        home = self._home(keys)
         out = np.zeros(len(keys), np.int8)
         left = np.arange(len(keys))
         level = 1
         while len(left):
-            hit = left
-            number = np.full(len(left), level)
-            keep = np.ones(len(left), bool)
-            for place in _places(keys[left], number, bits[left]):
-                byte = self.raw[start[left] + (place >> np.uint64(3)).astype(np.int64)]
-                keep &= (byte >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            left = hit[keep]
+            bits, start = self.bits[home[left]], self.start[home[left]]
+            one, two = _seeds(keys[left], np.full(len(left), level))
+            for i in range(PROBES):
+                place = _place(one, two, i, bits)
+                byte = self.raw[start + (place >> np.uint64(3)).astype(np.int64)]
+                hit = (byte >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                if not hit.all():  # most absent keys leave at the first probes
+                    one, two, bits, start, left = (x[hit] for x in (one, two, bits, start, left))
             out[left] = level
             level += 1
         return out
@@ -166,7 +193,7 @@ class LanguageModel:
     """Exact word counts and the filter's segments, as tables, with what scoring needs to know.
 
     ``words`` holds (segment, keys, counts) and ``grams`` (segment, filter, bits), one row for each
-    segment; ``total`` counts training tokens, ``distinct`` the different ones.
+    segment that holds any; ``total`` counts training tokens, ``distinct`` the different ones.
     """
 
     words: DataFrame
@@ -184,18 +211,17 @@ def _counted(texts: DataFrame, segments: int) -> DataFrame:
         held: list[list[np.ndarray]] = [[], []]
 
         def sent() -> pa.RecordBatch:
-            columns = [pa.array(range(segments), pa.int32())]
-            for parts in held:
-                keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                home = keys % np.uint64(segments)
+            counted = [np.unique(np.concatenate(p), return_counts=True) for p in held]
+            homes = [(keys % np.uint64(segments)).astype(np.int64) for keys, _ in counted]
+            filled = np.unique(np.concatenate(homes))  # a flush holds few of a large corpus's
+            columns = [pa.array(filled.astype(np.int32))]
+            for (keys, counts), home in zip(counted, homes, strict=True):
                 order = np.argsort(home, kind="stable")
-                cuts = np.searchsorted(home[order], np.arange(1, segments))
+                cuts = np.searchsorted(home[order], filled[1:])
                 for values in (keys.astype("<u8"), counts.astype("<u4")):
                     split = np.split(values[order], cuts)
                     columns.append(pa.array([x.tobytes() for x in split], pa.binary()))
-            batch = pa.RecordBatch.from_arrays(columns, names=names)
-            filled = [len(a.as_py()) + len(b.as_py()) > 0 for a, b in zip(columns[1], columns[3])]
-            return batch.filter(pa.array(filled))
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
             for _, keys, before in token_runs(batch.column(0)):
@@ -237,9 +263,7 @@ def train(texts: DataFrame, text: str = "text") -> LanguageModel:
     def build(group: pa.Table) -> pa.Table:
         words, word_counts = _merged(group["words"], group["word_counts"])
         pairs, pair_counts = _merged(group["pairs"], group["pair_counts"])
-        data, bits = build_segment(
-            np.concatenate([words, pairs]), np.concatenate([word_counts, pair_counts])
-        )
+        data, bits = build_segment(pairs, pair_counts)
         return pa.table(
             {
                 "segment": group["segment"][:1],
@@ -288,29 +312,31 @@ class WordCounts:
         return np.where(self.keys[at] == keys, self.counts[at], 0).astype(np.int64)
 
 
-def _scores(
-    rows: np.ndarray,
-    n: int,
-    count: np.ndarray,
-    own: np.ndarray,
-    pair: np.ndarray,
-    before: np.ndarray,
-    floor: int,
-) -> list[np.ndarray]:
-    """(n_tokens, n_known, base_score, score) of ``n`` texts from what was found for each token.
+def probabilities(
+    own: np.ndarray, before: np.ndarray, pair: np.ndarray, total: int, distinct: int
+) -> np.ndarray:
+    """Each token's probability after the token before it.
 
-    A probability is ``MIX`` of the pair's share of what follows the word before, and the rest the
-    word's own share with one added to each count; ``own``, ``pair`` and ``before`` are the
-    filter's quantised counts, ``floor`` the sum of all counts after one is added to each.
+    ``own`` and ``before`` are the exact counts of both, ``pair`` the filter's quantised count of
+    the two together. A pair comes no oftener than either word, which bounds a false answer. After
+    an unknown word the word's own share is all.
     """
-    known = restored(before)
-    share = np.minimum(np.divide(restored(pair), known, out=np.zeros(len(known)), where=known > 0), 1)
-    likely = MIX * share + (1 - MIX) * (restored(own) + 1) / floor
+    alone = (own + 1) / (total + distinct + 1)
+    seen = np.minimum(restored(pair), np.minimum(own, before))
+    mixed = MIX * seen / (before + room(distinct)) + (1 - MIX) * alone
+    return np.where(before > 0, mixed, alone)
+
+
+def _scores(
+    rows: np.ndarray, n: int, own: np.ndarray, before: np.ndarray, pair: np.ndarray, total: int, distinct: int
+) -> list[np.ndarray]:
+    """(n_tokens, n_known, base_score, score) of ``n`` texts from what was found for each token."""
+    alone = (own + 1) / (total + distinct + 1)
     return [
         np.bincount(rows, minlength=n),
-        np.bincount(rows, count > 0, n).astype(np.int64),
-        np.bincount(rows, np.log10((count + 1) / floor), n),
-        np.bincount(rows, np.log10(likely), n),
+        np.bincount(rows, own > 0, n).astype(np.int64),
+        np.bincount(rows, np.log10(alone), n),
+        np.bincount(rows, np.log10(probabilities(own, before, pair, total, distinct)), n),
     ]
 
 
@@ -323,7 +349,7 @@ def _score_by_broadcast(rows: DataFrame, model: LanguageModel) -> DataFrame:
     parts = {r[0]: (bytes(r[1]), r[2]) for r in model.grams.toLocalIterator()}
     context = rows.sparkSession.sparkContext
     shared = context.broadcast((WordCounts(words), Filter(model.segments, parts)))
-    floor = model.total + model.distinct + 1
+    total, distinct = model.total, model.distinct
     key = rows.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,11 +359,11 @@ def _score_by_broadcast(rows: DataFrame, model: LanguageModel) -> DataFrame:
             sums = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)]
             for row, keys, before in token_runs(batch.column(1)):
                 known, back = np.unique(np.concatenate([keys, before]), return_inverse=True)
-                q = grams.probe(known)
-                count = counts.of(known)
-                here, there = back[: len(keys)], back[len(keys) :]
-                pair = grams.probe(pair_keys(before, keys))
-                found = _scores(row, n, count[here], q[here], pair, q[there], floor)
+                count = counts.of(known)[back]
+                own, ahead = count[: len(keys)], count[len(keys) :]
+                asked, back = np.unique(pair_keys(before, keys), return_inverse=True)
+                pair = grams.probe(asked)[back]
+                found = _scores(row, n, own, ahead, pair, total, distinct)
                 for kept, value in zip(sums, found):
                     kept += value
             yield pa.RecordBatch.from_arrays(
@@ -358,6 +384,7 @@ def _score_by_shuffle(named: DataFrame, key: str, model: LanguageModel) -> DataF
     Rows are read twice and must have the same uid each time.
     """
     segments, floor = model.segments, float(model.total + model.distinct + 1)
+    spare = room(model.distinct)
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,13 +440,16 @@ def _score_by_shuffle(named: DataFrame, key: str, model: LanguageModel) -> DataF
             ),
             F.col(name) == F.col(f"_{name}"),
         )
-    middle = lambda q: F.when(F.col(q) > 0, (3 * F.pow(F.lit(2.0), F.col(q) - 1) - 1) / 2).otherwise(0.0)
-    share = F.coalesce(F.least(F.try_divide(middle("q_pair"), middle("q_before")), F.lit(1.0)), F.lit(0.0))
-    likely = MIX * share + (1 - MIX) * (middle("q_own") + 1) / floor
+    # As ``probabilities`` has it.
+    least = F.when(F.col("q_pair") > 0, F.pow(F.lit(2.0), F.col("q_pair") - 1)).otherwise(0.0)
+    seen = F.least(least, F.col("n_own"), F.col("n_before"))
+    alone = (F.col("n_own") + 1) / floor
+    mixed = MIX * seen / (F.col("n_before") + spare) + (1 - MIX) * alone
+    likely = F.when(F.col("n_before") > 0, mixed).otherwise(alone)
     sums = joined.groupBy(F.col("uid").alias("_uid")).agg(
         F.sum("times").alias("n_tokens"),
         F.sum(F.when(F.col("n_own") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("times") * F.log10((F.col("n_own") + 1) / floor)).alias("base_score"),
+        F.sum(F.col("times") * F.log10(alone)).alias("base_score"),
         F.sum(F.col("times") * F.log10(likely)).alias("score"),
     )
     return named.join(sums, F.col("uid") == F.col("_uid")).select(
@@ -437,7 +467,7 @@ def score(
     """(key, n_tokens, n_known, base_score, score) for each row of ``docs``.
 
     ``base_score`` is exact: log10 probabilities of single words with one added to each count.
-    ``score`` is the smoothed model's. Whole texts are scored; null and empty ones are one end
+    ``score`` is the log10 of the smoothed model's probability of the text. Whole texts are scored; null and empty ones are one end
     token. A model trained on nothing gives every word the same probability. The tables are
     broadcast if they have at most ``most`` bytes together; otherwise texts are scored by shuffle.
     """
