@@ -154,7 +154,7 @@ class Filter:
         self.ids = np.array([segment for segment, _ in held], np.int64)
         self.bits = np.array([*(bits for _, (_, bits) in held), 64], np.uint64)
         sizes = [len(data) for _, (data, _) in held]
-        self.start = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        self.start = np.cumsum([0, *sizes], dtype=np.int64)
         self.raw = np.frombuffer(b"".join([*(data for _, (data, _) in held), bytes(8)]), np.uint8)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
@@ -192,12 +192,11 @@ class Filter:
 class LanguageModel:
     """Exact word counts and the filter's segments, as tables, with what scoring needs to know.
 
-    ``words`` holds (segment, keys, counts) and ``grams`` (segment, filter, bits), one row for each
-    segment that holds any; ``total`` counts training tokens, ``distinct`` the different ones.
+    ``tables`` holds (segment, keys, counts, filter, bits), one row for each segment that holds any:
+    its words with their counts, and its part of the filter of pairs; ``total`` counts training tokens, ``distinct`` the different ones.
     """
 
-    words: DataFrame
-    grams: DataFrame
+    tables: DataFrame
     segments: int
     total: int
     distinct: int
@@ -287,8 +286,7 @@ def train(texts: DataFrame, text: str = "text") -> LanguageModel:
         F.sum(F.octet_length("keys") + F.octet_length("counts") + F.octet_length("filter")),
     ).first()
     return LanguageModel(
-        built.select("segment", "keys", "counts"),
-        built.select("segment", "filter", "bits"),
+        built.select("segment", "keys", "counts", "filter", "bits"),
         segments,
         sums[0] or 0,
         sums[1] or 0,
@@ -345,10 +343,13 @@ RESULT = "n_tokens long, n_known long, base_score double, score double"
 
 def _score_by_broadcast(rows: DataFrame, model: LanguageModel) -> DataFrame:
     """(key, ...) for rows (key, text): every worker probes the whole filter."""
-    words = [(bytes(r[0]), bytes(r[1])) for r in model.words.select("keys", "counts").toLocalIterator()]
-    parts = {r[0]: (bytes(r[1]), r[2]) for r in model.grams.toLocalIterator()}
-    context = rows.sparkSession.sparkContext
-    shared = context.broadcast((WordCounts(words), Filter(model.segments, parts)))
+    # One read of both tables, which were measured to be small.
+    held = model.tables.coalesce(1).toArrow()
+    counts = WordCounts([(k.as_buffer(), c.as_buffer()) for k, c in zip(held["keys"], held["counts"])])
+    data = zip(held["segment"].to_pylist(), held["filter"], held["bits"].to_pylist())
+    grams = Filter(model.segments, {segment: (f.as_buffer(), bits) for segment, f, bits in data})
+    shared = rows.sparkSession.sparkContext.broadcast((counts, grams))
+    del held, data, counts, grams
     total, distinct = model.total, model.distinct
     key = rows.columns[0]
 
@@ -424,11 +425,10 @@ def _score_by_shuffle(named: DataFrame, key: str, model: LanguageModel) -> DataF
         "tokens",
     )
     asked = spread.select("own", "before", "pair").mapInArrow(homes, "segment int, gram long")
-    tables = model.words.join(model.grams, "segment")
     answers = (
         asked.distinct()
         .groupBy("segment")
-        .cogroup(tables.groupBy("segment"))
+        .cogroup(model.tables.groupBy("segment"))
         .applyInArrow(answered, "gram long, q int, n long")
     )
     answers = materialize(answers, "answers")

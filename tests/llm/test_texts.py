@@ -437,8 +437,9 @@ def test_lm_probabilities_add_up(spark):
     # One context with seven followers that differ, one that always has the same.
     lines += [f"seven f{i} always same" for i in range(7)]
     model = ngrams.train(spark.createDataFrame([(x,) for x in lines], "text string"))
-    counts = ngrams.WordCounts([tuple(r) for r in model.words.select("keys", "counts").collect()])
-    grams = ngrams.Filter(model.segments, {r[0]: (r[1], r[2]) for r in model.grams.collect()})
+    held = model.tables.collect()
+    counts = ngrams.WordCounts([(r["keys"], r["counts"]) for r in held])
+    grams = ngrams.Filter(model.segments, {r["segment"]: (r["filter"], r["bits"]) for r in held})
     known = counts.keys.astype(np.uint64)
     words = np.append(known, np.uint64(12345))  # an unknown one too
     assert len(known) == model.distinct
