@@ -10,15 +10,15 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillframe.functions.scalars import map_codes
 from quillframe.operators.joins import join_small
-from quillframe.operators.models import training_rows
+from quillframe.operators.models import logistic_estimator, training_rows
 
 WORD = r"[\p{L}\p{N}]+"
 PAD_ID = 0
@@ -121,6 +121,41 @@ def fit_text_classifier(
         return text_classifier("_text", label, features, reg).fit(train)
 
 
+def fit_counted_classifier(
+    df: DataFrame, size: int, text: str = "text", label: str = "label", c: float = 1.0
+) -> PipelineModel:
+    """Fit on the shares of the ``size`` most frequent words, each a place of its own.
+
+    A NULL text has no words, and a text without known words is all zeros; rows without a label are
+    left out. Only the ``size`` words of the vocabulary come to the driver. Texts without any word
+    at all cannot be fitted.
+    """
+    rows = df.select(
+        F.coalesce(text, F.lit("")).alias("_text"), F.col(label).cast("double").alias(label)
+    ).where(F.col(label).isNotNull())
+    with training_rows(rows) as (train, n):
+        known = build_vocab(train, size, "_text").orderBy("token_id").select("token")
+        vocabulary = [r.token for r in known.toLocalIterator()]
+        if not vocabulary:
+            raise ValueError("no words to fit on")
+        counter = CountVectorizerModel.from_vocabulary(vocabulary, "_tokens", "_counts")
+        stages = [
+            RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern=WORD, gaps=False),
+            counter,
+            Normalizer(p=1.0, inputCol="_counts", outputCol="features"),
+            logistic_estimator(n, c, label=label),
+        ]
+        return Pipeline(stages=stages).fit(train)
+
+
+def word_weights(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(token, weight) of a classifier of counted words: above 0 speaks for class 1."""
+    words_ = model.stages[1].vocabulary
+    weights = model.stages[-1].coefficients.toArray()
+    pairs = [(w, float(x)) for w, x in zip(words_, weights, strict=True)]
+    return spark.createDataFrame(pairs, "token string, weight double")
+
+
 def predict_sentiment(
     df: DataFrame, model: PipelineModel, names: dict[int, str] = SENTIMENTS, text: str = "text"
 ) -> DataFrame:

@@ -8,10 +8,12 @@ from quillframe.operators import text as ops
 from quillframe.operators.metrics import evaluate_scored
 from quillframe.operators.splitting import stratified_split
 from quillframe.plans.registry import query
-from quillframe.plans.standins import SEED, reviews
+from quillframe.plans.modelling import logistic_sql
+from quillframe.plans.standins import REVIEWS_SQL, SEED, reviews, stratified_sql
 from quillframe.sources.tables import load_table
 
 VOCAB_SIZE = 5000
+COUNTED_WORDS = 5  # few, since each is a column of the checking SQL
 
 _WORDS = r"""words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS tokens FROM documents)"""
@@ -102,3 +104,52 @@ def predict_sentiment(spark, sf_dir):
     train, _ = _split_reviews(spark, sf_dir)
     model = ops.fit_text_classifier(train)
     return ops.predict_sentiment(load_table(spark, sf_dir, "benchmark"), model)
+
+
+_PLACES = range(1, COUNTED_WORDS + 1)
+_COUNTED = rf"""{REVIEWS_SQL}, {stratified_sql('reviews', 'label', 'doc_id')},
+worded AS (SELECT doc_id, label, split, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS tokens
+           FROM parted),
+said AS (SELECT doc_id, split, unnest(tokens) AS token FROM worded),
+counts AS (SELECT token, count(*) AS n FROM said WHERE split = 'train' GROUP BY 1),
+places AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS place FROM counts),
+vocab AS (SELECT {', '.join(f'max(token) FILTER (place = {i}) AS t{i}' for i in _PLACES)} FROM places),
+counted AS (SELECT worded.doc_id, any_value(label) AS label, any_value(worded.split) AS split,
+                   {', '.join(f'count(*) FILTER (token = t{i})::DOUBLE AS n{i}' for i in _PLACES)}
+            FROM worded LEFT JOIN said ON said.doc_id = worded.doc_id CROSS JOIN vocab GROUP BY 1),
+shares AS (SELECT doc_id, label, split, {', '.join(
+    f"n{i} / greatest({' + '.join(f'n{j}' for j in _PLACES)}, 1) AS s{i}" for i in _PLACES)} FROM counted),
+train AS MATERIALIZED (SELECT * FROM shares WHERE split = 'train'),
+{logistic_sql('train', [f's{i}' for i in _PLACES], 'fit')}"""
+_WORD_SCORE = " + ".join(["w0", *[f"w{i} * s{i}" for i in _PLACES]])
+
+
+@query(
+    "fit_counted_classifier",
+    f"WITH {_COUNTED} "
+    + " UNION ALL ".join(
+        f"SELECT t{i} AS token, round(w{i}, 3) AS weight FROM fit CROSS JOIN vocab" for i in _PLACES
+    ),
+)
+def fit_counted_classifier(spark, sf_dir):
+    """Weights of the most frequent words for the label."""
+    train, _ = _split_reviews(spark, sf_dir)
+    weights = ops.word_weights(spark, ops.fit_counted_classifier(train, COUNTED_WORDS))
+    return weights.withColumn("weight", F.round("weight", 3))
+
+
+@query(
+    "predict_sentiment_counted",
+    f"""WITH {_COUNTED},
+told AS (SELECT doc_id, 1::DOUBLE / (1::DOUBLE + exp(-({_WORD_SCORE}))) AS p
+         FROM shares CROSS JOIN fit WHERE split = 'test')
+SELECT doc_id, CASE WHEN p > 0.5 THEN 'Positive' ELSE 'Negative' END AS label,
+       round(greatest(p, 1 - p), 3) AS confidence, round(p, 3) AS positive_prob,
+       round(1 - p, 3) AS negative_prob FROM told""",
+)
+def predict_sentiment_counted(spark, sf_dir):
+    """Every test text by the shares of the most frequent words."""
+    train, test = _split_reviews(spark, sf_dir)
+    told = ops.predict_sentiment(test, ops.fit_counted_classifier(train, COUNTED_WORDS))
+    probs = ("confidence", "positive_prob", "negative_prob")
+    return told.select("doc_id", "label", *[F.round(c, 3).alias(c) for c in probs])

@@ -73,3 +73,16 @@ def test_a_missing_text_has_no_words(spark):
     model = ops.fit_text_classifier(df, features=64)
     scored = {r.text: r.positive_prob for r in ops.predict_sentiment(df, model).collect()}
     assert scored[None] == scored[""] and scored["good fine"] > scored["bad poor"]
+
+
+def test_counted_words_keep_their_weights(spark):
+    rows = [("good fine good", 1), ("bad bad", 0), ("good", 1), ("bad poor", 0), (None, 1), ("", 0), ("x", None)]
+    df = spark.createDataFrame(rows, "text string, label int").repartition(3)
+    model = ops.fit_counted_classifier(df, 2)
+    weights = {r.token: r.weight for r in ops.word_weights(spark, model).collect()}
+    assert set(weights) == {"good", "bad"} and weights["good"] > 0 > weights["bad"]
+    scored = {r.text: r.positive_prob for r in ops.predict_sentiment(df, model).collect()}
+    assert scored[None] == scored[""] == scored["x"]  # no known word
+    assert scored["good"] == pytest.approx(scored["good fine good"])  # shares, not lengths
+    with pytest.raises(ValueError, match="no words"):
+        ops.fit_counted_classifier(df.where("text = ''"), 2)
