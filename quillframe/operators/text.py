@@ -55,23 +55,26 @@ def encode(
     key: Sequence[str],
     text: str = "text",
     max_len: int = MAX_LENGTH,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Texts as ``max_len`` word ids and a mask of the real ones; ``key`` identifies a text.
 
-    A text is cut to ``max_len`` words. Its words are looked up by a join and gathered again in
+    Columns named in ``carry``, as a label, stay beside their text. A text is cut to ``max_len`` words. Its words are looked up by a join and gathered again in
     one list of at most ``max_len`` ids, put together before the shuffle.
     """
-    cut = df.select(*key, F.slice(words(F.col(text)), 1, max_len).alias("_words"))
-    placed = cut.select(*key, F.posexplode_outer("_words").alias("_pos", "token"))
+    cut = df.select(*key, *carry, F.slice(words(F.col(text)), 1, max_len).alias("_words"))
+    placed = cut.select(*key, *carry, F.posexplode_outer("_words").alias("_pos", "token"))
     known = join_small(placed, vocab.select("token", "token_id"), ["token"], "left")
     entry = F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id"))
     gathered = known.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), entry))).alias("_entries")
+        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), entry))).alias("_entries"),
+        *[F.any_value(c).alias(c) for c in carry],
     )
-    ids = gathered.select(*key, F.col("_entries.id").alias("_ids"))
+    ids = gathered.select(*key, *carry, F.col("_entries.id").alias("_ids"))
     fill = F.lit(max_len) - F.size("_ids")
     return ids.select(
         *key,
+        *carry,
         F.concat("_ids", F.array_repeat(F.lit(PAD_ID), fill)).alias("input_ids"),
         F.concat(
             F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), fill)

@@ -153,3 +153,28 @@ def predict_sentiment_counted(spark, sf_dir):
     told = ops.predict_sentiment(test, ops.fit_counted_classifier(train, COUNTED_WORDS))
     probs = ("confidence", "positive_prob", "negative_prob")
     return told.select("doc_id", "label", *[F.round(c, 3).alias(c) for c in probs])
+
+
+@query(
+    "encode_labelled",
+    f"""WITH {_VOCAB},
+placed AS (SELECT doc_id, unnest(tokens[1:256]) AS token, unnest(range(1, least(len(tokens), 256) + 1))
+                  AS pos FROM words),
+ids AS (SELECT doc_id, string_agg(coalesce(token_id, 1)::VARCHAR, ' ' ORDER BY pos) AS ids
+        FROM placed LEFT JOIN vocab USING (token) GROUP BY 1)
+SELECT doc_id, toxic AS label,
+       trim(coalesce(ids, '') || repeat(' 0', 256 - least(len(tokens), 256)::INT)) AS input_ids,
+       least(len(tokens), 256)::INT AS n_real
+FROM words JOIN labels USING (doc_id) LEFT JOIN ids USING (doc_id)""",
+)
+def encode_labelled(spark, sf_dir):
+    """Labelled texts as ids with their label, ready to train on."""
+    vocab = ops.build_vocab(_documents(spark, sf_dir), VOCAB_SIZE)
+    labelled = reviews(spark, sf_dir).select("doc_id", "text", "label")
+    encoded = ops.encode(labelled, vocab, ["doc_id"], carry=["label"])
+    return encoded.select(
+        "doc_id",
+        "label",
+        F.array_join(F.col("input_ids").cast("array<string>"), " ").alias("input_ids"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("n_real"),
+    )

@@ -86,3 +86,11 @@ def test_counted_words_keep_their_weights(spark):
     assert scored["good"] == pytest.approx(scored["good fine good"])  # shares, not lengths
     with pytest.raises(ValueError, match="no words"):
         ops.fit_counted_classifier(df.where("text = ''"), 2)
+
+
+def test_encoding_keeps_the_label(texts):
+    labelled = texts.withColumn("label", F.when(F.col("id") != 2, F.col("id") % 2))
+    rows = ops.encode(labelled, ops.build_vocab(texts, 2), ["id"], max_len=2, carry=["label"]).collect()
+    assert {r.id: (r.label, r.input_ids) for r in rows} == {
+        1: (1, [2, 1]), 2: (None, [3, 1]), 3: (1, [0, 0]), 4: (0, [0, 0]), 5: (1, [1, 2])
+    }
