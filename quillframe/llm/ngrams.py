@@ -11,7 +11,9 @@ A word's probability after another is a mixture of two parts. The pair's share i
 its step over what follows the word before: that word's exact count, and room for the false positives
 that all words of the vocabulary may give together. The other part is the word's own share with one
 added to each count. So the probabilities of all words after one word, an unknown one among them, add
-up to 1 at most.
+up to 1 at most, but for two rare cases: more false positives than there is room for, and a frequent
+pair whose count the filter gives a step too high (one in some 4,000 pairs), where the least counts of
+the other pairs leave less free than that step adds.
 
 Workers probe the whole filter by broadcast as long as it is below a stated size. A larger one stays
 in segments, and the n-grams of the texts are brought to them by shuffle: the same probes, the same
