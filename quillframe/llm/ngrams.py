@@ -150,14 +150,28 @@ class Filter:
     """Some or all segments of the filter, side by side; memory is that of the segments given."""
 
     def __init__(self, segments: int, parts: dict[int, tuple[bytes, int]]) -> None:
+        raw, places = bytearray(), []
+        for segment, (data, bits) in parts.items():
+            places.append((segment, bits, len(raw)))
+            raw += data
+        self._take(segments, places, raw)
+
+    @classmethod
+    def placed(cls, segments: int, places: list[tuple[int, int, int]], raw: bytearray) -> Filter:
+        """Over (segment, bits, start) of parts that lie in ``raw`` already; it is kept, not copied."""
+        new = cls.__new__(cls)
+        new._take(segments, places, raw)
+        return new
+
+    def _take(self, segments: int, places: list[tuple[int, int, int]], raw: bytearray) -> None:
         self.segments = np.uint64(segments)
-        held = sorted(parts.items())
         # The last place stands for segments without n-grams: its bits are all zeros.
-        self.ids = np.array([segment for segment, _ in held], np.int64)
-        self.bits = np.array([*(bits for _, (_, bits) in held), 64], np.uint64)
-        sizes = [len(data) for _, (data, _) in held]
-        self.start = np.cumsum([0, *sizes], dtype=np.int64)
-        self.raw = np.frombuffer(b"".join([*(data for _, (data, _) in held), bytes(8)]), np.uint8)
+        held = [*sorted(places), (-1, 64, len(raw))]
+        raw += bytes(8)
+        self.ids = np.array([segment for segment, _, _ in held[:-1]], np.int64)
+        self.bits = np.array([bits for _, bits, _ in held], np.uint64)
+        self.start = np.array([start for _, _, start in held], np.int64)
+        self.raw = np.frombuffer(raw, np.uint8)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         segment = (keys % self.segments).astype(np.int64)
@@ -195,7 +209,8 @@ class LanguageModel:
     """Exact word counts and the filter's segments, as tables, with what scoring needs to know.
 
     ``tables`` holds (segment, keys, counts, filter, bits), one row for each segment that holds any:
-    its words with their counts, and its part of the filter of pairs; ``total`` counts training tokens, ``distinct`` the different ones.
+    its words with their counts, and its part of the filter of pairs; ``total`` counts training tokens,
+    ``distinct`` the different ones.
     """
 
     tables: DataFrame
@@ -300,10 +315,11 @@ class WordCounts:
     """Exact counts of some or all words."""
 
     def __init__(self, parts: list[tuple[bytes, bytes]]) -> None:
-        keys = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(k, "<u8") for k, _ in parts)])
-        counts = np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(c, "<i8") for _, c in parts)])
+        keys = np.frombuffer(b"".join(k for k, _ in parts), "<u8")
+        counts = np.frombuffer(b"".join(c for _, c in parts), "<i8")
         order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order].astype(np.uint32)
+        narrow = np.uint32 if counts.max(initial=0) < 2**32 else np.int64
+        self.keys, self.counts = keys[order], counts.astype(narrow)[order]
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -343,15 +359,24 @@ def _scores(
 RESULT = "n_tokens long, n_known long, base_score double, score double"
 
 
+def _held(model: LanguageModel) -> tuple[WordCounts, Filter]:
+    """Both tables, which were measured to be small.
+
+    A partition at a time comes to the driver and is added to what it holds: a result of all of them
+    would take several times their size there.
+    """
+    keys, counts, raw, places = bytearray(), bytearray(), bytearray(), []
+    for row in model.tables.toLocalIterator():
+        keys += row["keys"]
+        counts += row["counts"]
+        places.append((row["segment"], row["bits"], len(raw)))
+        raw += row["filter"]
+    return WordCounts([(keys, counts)]), Filter.placed(model.segments, places, raw)
+
+
 def _score_by_broadcast(rows: DataFrame, model: LanguageModel) -> DataFrame:
     """(key, ...) for rows (key, text): every worker probes the whole filter."""
-    # One read of both tables, which were measured to be small.
-    held = model.tables.coalesce(1).toArrow()
-    counts = WordCounts([(k.as_buffer(), c.as_buffer()) for k, c in zip(held["keys"], held["counts"])])
-    data = zip(held["segment"].to_pylist(), held["filter"], held["bits"].to_pylist())
-    grams = Filter(model.segments, {segment: (f.as_buffer(), bits) for segment, f, bits in data})
-    shared = rows.sparkSession.sparkContext.broadcast((counts, grams))
-    del held, data, counts, grams
+    shared = rows.sparkSession.sparkContext.broadcast(_held(model))
     total, distinct = model.total, model.distinct
     key = rows.columns[0]
 
