@@ -25,12 +25,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, SparkContext
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from quillframe.llm.rows import balanced, cut_at_space, identified, words_of
@@ -43,6 +45,7 @@ SLICE_BYTES = 2 << 20
 PROBED_AT_ONCE = 1 << 18
 HELD_GRAMS = 1 << 20  # pairs a task counts before it sends them on
 BROADCAST_BYTES = 256 << 20
+PART_BYTES = 16 << 20  # of a broadcast
 MIX = 0.7  # weight of the pair's share in a probability, the rest is the word's own
 
 _END = np.uint64(xxhash.xxh64_intdigest(b"\n", 1))  # no word holds white space
@@ -150,28 +153,14 @@ class Filter:
     """Some or all segments of the filter, side by side; memory is that of the segments given."""
 
     def __init__(self, segments: int, parts: dict[int, tuple[bytes, int]]) -> None:
-        raw, places = bytearray(), []
-        for segment, (data, bits) in parts.items():
-            places.append((segment, bits, len(raw)))
-            raw += data
-        self._take(segments, places, raw)
-
-    @classmethod
-    def placed(cls, segments: int, places: list[tuple[int, int, int]], raw: bytearray) -> Filter:
-        """Over (segment, bits, start) of parts that lie in ``raw`` already; it is kept, not copied."""
-        new = cls.__new__(cls)
-        new._take(segments, places, raw)
-        return new
-
-    def _take(self, segments: int, places: list[tuple[int, int, int]], raw: bytearray) -> None:
         self.segments = np.uint64(segments)
+        held = sorted(parts.items())
         # The last place stands for segments without n-grams: its bits are all zeros.
-        held = [*sorted(places), (-1, 64, len(raw))]
-        raw += bytes(8)
-        self.ids = np.array([segment for segment, _, _ in held[:-1]], np.int64)
-        self.bits = np.array([bits for _, bits, _ in held], np.uint64)
-        self.start = np.array([start for _, _, start in held], np.int64)
-        self.raw = np.frombuffer(raw, np.uint8)
+        self.ids = np.array([segment for segment, _ in held], np.int64)
+        self.bits = np.array([*(bits for _, (_, bits) in held), 64], np.uint64)
+        sizes = [len(data) for _, (data, _) in held]
+        self.start = np.cumsum([0, *sizes], dtype=np.int64)
+        self.raw = np.frombuffer(b"".join([*(data for _, (data, _) in held), bytes(8)]), np.uint8)
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
         segment = (keys % self.segments).astype(np.int64)
@@ -359,38 +348,78 @@ def _scores(
 RESULT = "n_tokens long, n_known long, base_score double, score double"
 
 
-def _held(model: LanguageModel) -> tuple[WordCounts, Filter]:
-    """Both tables, which were measured to be small.
+class Shared:
+    """The whole model on a worker: broadcasts of (counts, filter), each of some whole segments."""
 
-    A partition at a time comes to the driver and is added to what it holds: a result of all of them
-    would take several times their size there.
+    def __init__(self, segments: int) -> None:
+        self.segments = np.uint64(segments)
+        self.home = np.full(segments, -1, np.int32)  # which broadcast holds a segment
+        self.parts: list[Broadcast] = []
+
+    def add(self, context: SparkContext, rows: list[Row]) -> None:
+        counts = WordCounts([(row["keys"], row["counts"]) for row in rows])
+        parts = {row["segment"]: (row["filter"], row["bits"]) for row in rows}
+        self.home[list(parts)] = len(self.parts)
+        self.parts.append(context.broadcast((counts, Filter(int(self.segments), parts))))
+
+    def _asked(self, keys: np.ndarray, which: int) -> np.ndarray:
+        out = np.zeros(len(keys), np.int64)
+        home = self.home[(keys % self.segments).astype(np.int64)]
+        for i, part in enumerate(self.parts):
+            at = np.flatnonzero(home == i)
+            held = part.value[which]
+            out[at] = held.probe(keys[at]) if which else held.of(keys[at])
+        return out
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        return self._asked(keys, 0)
+
+    def probe(self, keys: np.ndarray) -> np.ndarray:
+        return self._asked(keys, 1)
+
+
+_last: WeakKeyDictionary[SparkContext, list[Broadcast]] = WeakKeyDictionary()
+
+
+def _shared(model: LanguageModel) -> Shared:
+    """Broadcast a model that was measured to be small, ``PART_BYTES`` at a time.
+
+    Neither the driver nor an executor then holds a second copy of all of it on the way. Executors
+    let go of the model of the call before; a frame that still needs it has it sent again.
     """
-    keys, counts, raw, places = bytearray(), bytearray(), bytearray(), []
+    context = model.tables.sparkSession.sparkContext
+    for old in _last.pop(context, []):
+        old.unpersist(blocking=True)
+    shared = Shared(model.segments)
+    waiting, size = [], 0
     for row in model.tables.toLocalIterator():
-        keys += row["keys"]
-        counts += row["counts"]
-        places.append((row["segment"], row["bits"], len(raw)))
-        raw += row["filter"]
-    return WordCounts([(keys, counts)]), Filter.placed(model.segments, places, raw)
+        waiting.append(row)
+        size += sum(len(row[name]) for name in ("keys", "counts", "filter"))
+        if size >= PART_BYTES:
+            shared.add(context, waiting)
+            waiting, size = [], 0
+    if waiting:
+        shared.add(context, waiting)
+    _last[context] = shared.parts
+    return shared
 
 
 def _score_by_broadcast(rows: DataFrame, model: LanguageModel) -> DataFrame:
     """(key, ...) for rows (key, text): every worker probes the whole filter."""
-    shared = rows.sparkSession.sparkContext.broadcast(_held(model))
+    shared = _shared(model)
     total, distinct = model.total, model.distinct
     key = rows.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, grams = shared.value
         for batch in batches:
             n = batch.num_rows
             sums = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)]
             for row, keys, before in token_runs(batch.column(1)):
                 known, back = np.unique(np.concatenate([keys, before]), return_inverse=True)
-                count = counts.of(known)[back]
+                count = shared.counts(known)[back]
                 own, ahead = count[: len(keys)], count[len(keys) :]
                 asked, back = np.unique(pair_keys(before, keys), return_inverse=True)
-                pair = grams.probe(asked)[back]
+                pair = shared.probe(asked)[back]
                 found = _scores(row, n, own, ahead, pair, total, distinct)
                 for kept, value in zip(sums, found):
                     kept += value
