@@ -22,6 +22,7 @@ answers.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -411,6 +412,7 @@ def _score_by_broadcast(rows: DataFrame, model: LanguageModel) -> DataFrame:
     key = rows.columns[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()  # a worker's last call leaves its function, and with it a model, in a cycle
         for batch in batches:
             n = batch.num_rows
             sums = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)]

@@ -494,6 +494,17 @@ def test_lm_odd_rows_both_ways(odd, none, monkeypatch, slice_bytes):
     assert blank.total == 0 and ngrams.score(small, blank).where("n_known = 0").count() == len(texts)
 
 
+def test_lm_in_parts_scores_as_in_one(odd, monkeypatch):
+    monkeypatch.setattr(ngrams, "SEGMENT_BYTES", 400_000)
+    model = ngrams.train(odd)
+    runs = []
+    for part_bytes in (1 << 30, 1):
+        monkeypatch.setattr(ngrams, "PART_BYTES", part_bytes)
+        rows = ngrams.score(odd, model)  # the one before has let go of its parts on executors
+        runs.append(rows.orderBy("doc_id", "n_tokens", "score").collect())
+    assert runs[0] == runs[1] and len(runs[0]) == odd.count()
+
+
 def test_long_text_is_one_text(monkeypatch):
     text = "ab cd ef gh ij " * 50
     whole = list(ngrams.token_runs(pa.array(["x y", text, "z"])))
