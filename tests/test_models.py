@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from quillframe.operators import metrics, models
+from quillframe.operators import forests, metrics, models
 from quillframe.operators.scaling import assemble, scale_and_assemble
 from quillframe.plans.standins import FEATURES, classed_lines
 from quillframe.sources import artifacts
@@ -127,3 +127,41 @@ def test_forest_does_not_depend_on_the_layout(spark):
         forest = models.fit_forest(ready, trees=5, max_depth=3, partitions=6)
         found.append(forest.featureImportances.toArray().tolist())
     assert found[0] == found[1] == found[2]
+
+
+def test_forest_grown_in_one_task_or_in_stages_is_the_same(spark):
+    rows = spark.range(600).selectExpr(
+        "cast(id % 37 as double) AS a", "cast(id % 23 as double) AS b", "cast(xxhash64(id) % 2 = 0 as int) AS label"
+    )
+    ready = assemble(rows, ["a", "b"])
+    estimator = models.forest_estimator(trees=1, max_depth=30).setSeed(7)
+    layout = F.xxhash64("a", "b", "label")
+    found = []
+    with models.training_rows(ready, layout, 4) as (train, n):
+        for size in (10_000, 100):
+            forest = forests.grow_forest(train, n, estimator, task_rows=size)
+            scored = models.predict(forest, ready).select("a", "b", "label", "prediction", "prob")
+            found.append((forest.totalNumNodes, forest.featureImportances.toArray().tolist(), rows_of(scored)))
+    one, staged = found
+    assert one[0] > 50
+    assert staged[0] == one[0] and staged[2] == one[2] and np.allclose(staged[1], one[1])
+
+
+def test_tree_splits_where_the_classes_part(spark):
+    rows = assemble(spark.range(400).selectExpr(
+        "cast(id as double) AS a", "cast(id % 2 as double) AS b", "cast(id >= 200 as int) AS label"
+    ), ["a", "b"])
+    for size in (10_000, 10):
+        estimator = models.forest_estimator(trees=1, max_depth=5)
+        with models.training_rows(rows, F.xxhash64("a"), 3) as (train, n):
+            forest = forests.grow_forest(train, n, estimator, task_rows=size)
+        rules = models.tree_rules(spark, forest, ["a", "b"]).collect()
+        assert len(rules) == 2 and all(abs(r.conditions[0].threshold - 199.5) < 15 for r in rules)
+        assert forest.featureImportances.toArray().tolist() == [1.0, 0.0]
+
+
+def test_forest_refuses_missing_and_broken_classes(spark):
+    for label in ("if(id = 3, null, 1)", "id + 0.5", "-1"):
+        rows = assemble(spark.range(9).selectExpr("cast(id as double) AS a", f"{label} AS label"), ["a"])
+        with pytest.raises(Exception):
+            models.fit_forest(rows, trees=2)
