@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from quillframe.functions.hashing import hash_hex, hash_normal, hash_unit
 from quillframe.functions.scalars import signed_direction
 from quillframe.operators.joins import join_small
-from quillframe.operators.models import predict
+from quillframe.operators.models import predict, tree_cuts
 from quillframe.operators.ordered import top_k
 from quillframe.operators.quantiles import quantiles
 from quillframe.operators.sampling import sample_n
@@ -202,7 +202,32 @@ def exact_shapley(
         .agg(F.sort_array(F.collect_list(vector)))
         .scalar()
     )
-    mixes = rows.select(*key, vector.alias("_x"), F.explode(starts).alias("_from")).withColumn(
+    cuts = tree_cuts(model, d)
+    if cuts is None:
+        sums = _subset_sums(rows.select(*key, vector.alias("_x")), [*key, "_x"], starts, model, d)
+        return _explained(sums, F.size(starts), features, key)
+    cell = [f"_cell{i}" for i in range(d)]
+    # NaN is above all thresholds; a missing value has no cell, and is an error as in any vector.
+    at = [
+        F.when(F.get("_x", F.lit(i)).isNotNull(), _bin_of(F.get("_x", F.lit(i)), cuts[i])).alias(cell[i])
+        for i in range(d)
+    ]
+    placed = rows.select(*key, vector.alias("_x")).select(*key, "_x", *at)
+    # A cell is scored at the thresholds that close it.
+    corner = F.array(
+        *[F.get(F.array(*[F.lit(e) for e in [*cuts[i], math.inf]]), F.col(cell[i])) for i in range(d)]
+    )
+    cells = materialize(placed.select(*cell).distinct(), "cells")
+    sums = _subset_sums(cells.select(*cell, corner.alias("_x")), cell, starts, model, d)
+    found = materialize(sums.drop("_times"), "contributions")
+    joined = join_small(placed, found, cell).withColumn("_times", F.lit(1))
+    return _explained(joined, F.lit(1), features, key)
+
+
+def _subset_sums(vectors: DataFrame, by: Sequence[str], starts: Column, model: Model, d: int) -> DataFrame:
+    """Per group the contributions ``_push0``.., base and prediction of its vector ``_x`` over all
+    subsets of features, and how many mixes began at the sampled rows."""
+    mixes = vectors.withColumn("_from", F.explode(starts)).withColumn(
         "_own", F.explode(F.sequence(F.lit(0), F.lit(2**d - 1)))
     )
     mixed = F.array(
@@ -214,7 +239,7 @@ def exact_shapley(
         ]
     )
     scored = model_scores(model)(
-        mixes.select(*key, "_x", "_own", array_to_vector(mixed).alias("features"))
+        mixes.select(*by, "_own", array_to_vector(mixed).alias("features"))
     )
     score = F.col("_score").cast("double")
 
@@ -228,13 +253,12 @@ def exact_shapley(
         weights = F.array(*[F.lit(weight(i, own)) for own in range(2**d)])
         return (F.avg(score * F.get(weights, F.col("_own"))) * 2**d).alias(f"_push{i}")
 
-    sums = scored.groupBy(*key, "_x").agg(
+    return scored.groupBy(*by).agg(
         F.count_if(F.col("_own") == 0).alias("_times"),
         *[push(i) for i in range(d)],
         F.avg(F.when(F.col("_own") == 0, score)).alias("base"),
         F.avg(F.when(F.col("_own") == 2**d - 1, score)).alias("prediction"),
     )
-    return _explained(sums, F.size(starts), features, key)
 
 
 def shapley_ranking(contributions: DataFrame, k: int | None = None) -> DataFrame:
@@ -358,9 +382,10 @@ def pick_examples(scored: DataFrame, y: str, pred: str, key: Sequence[str]) -> D
 # --- local surrogate -------------------------------------------------------------------------
 
 
-def _bin_of(col: str, edges: Sequence[float]) -> Column:
+def _bin_of(col: str | Column, edges: Sequence[float]) -> Column:
     """How many edges lie below the value: values on an edge belong to the bin it closes."""
-    return sum(((F.col(col) > F.lit(e)).cast("int") for e in edges), F.lit(0))
+    value = F.col(col) if isinstance(col, str) else col
+    return sum(((value > F.lit(e)).cast("int") for e in edges), F.lit(0))
 
 
 def _condition(feature: str, edges: Sequence[float], i: int) -> str:
@@ -443,7 +468,8 @@ def local_surrogate(
     ``n_samples`` samples of one row, so its group has a fixed size.
     """
     names = list(features)
-    doubles = train.select(*[F.col(c).cast("double").alias(c) for c in names])
+    # Read for the quartiles and again for the bins.
+    doubles = materialize(train.select(*[F.col(c).cast("double").alias(c) for c in names]), "train")
     edges: dict[str, list[float]] = {c: [] for c in names}
     for r in quantiles(doubles, names, [0.25, 0.5, 0.75]).toLocalIterator():
         edges[r["feature"]].append(r["value"])

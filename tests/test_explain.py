@@ -187,3 +187,41 @@ def test_forest_query_takes_twenty_background_rows_and_all_orders(monkeypatch):
     monkeypatch.setattr(ops, "exact_shapley", lambda *_, **options: seen.update(options))
     explaining.sampled_shapley_forest(None, "")
     assert seen["n_background"] == 20
+
+
+def test_shapley_of_trees_is_that_of_scoring_every_row(spark, monkeypatch):
+    rows = spark.range(300).selectExpr(
+        "id", "cast(id % 17 as double) AS a", "cast(id * 7 % 29 as double) AS b",
+        "cast(id % 17 + id * 7 % 29 > 20 as int) AS label",
+    )
+    rows = rows.unionByName(rows.where("id < 5")).coalesce(2)
+    odd = spark.createDataFrame([(900, float("nan"), 3.0, 0), (901, 1e9, -1e9, 1)], rows.schema)
+    model = fit_forest(assemble(rows, ["a", "b"]), trees=4, max_depth=4)
+    explained = lambda: {
+        (r.id, r.feature, str(r.value), n): (r.contribution, r.base, r.prediction)
+        for n, r in enumerate(sorted(
+            ops.exact_shapley(rows.unionByName(odd), model, ["a", "b"], rows, ["id"], ["id"]).collect(),
+            key=lambda r: (r.id, r.feature),
+        ))
+    }
+    found = explained()
+    monkeypatch.setattr(ops, "tree_cuts", lambda model, d: None)
+    plain = explained()
+    assert found.keys() == plain.keys() and len(found) == 2 * 307
+    for k, v in plain.items():
+        assert found[k] == pytest.approx(v, abs=1e-9)
+
+
+def test_training_rows_of_a_surrogate_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(i):
+        made.add(1)
+        return float(i % 50)
+
+    plain = spark.range(400).select("id", (F.col("id") % 50).cast("double").alias("a"), (F.col("id") % 2).alias("label"))
+    model = fit_forest(assemble(plain, ["a"]), trees=2, max_depth=2)
+    train = spark.range(400).select(costly("id").alias("a"))
+    ops.local_surrogate(plain.where("id = 3"), model, train, ["a"], ["id"], n_samples=50).collect()
+    assert made.value == 400
