@@ -8,6 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from quillframe.operators import cleaning as ops
+from quillframe.functions.hashing import hash_hex
+from quillframe.operators import sampling
 from quillframe.operators.ordered import add_row_index
 from quillframe.plans.standins import LINE_KEY, lines
 from quillframe.sources.tables import load_table, nan_to_null
@@ -136,3 +138,19 @@ def test_filters_reach_the_scan(spark):
 def test_median_value_is_finite(spark):
     report = ops.impute_report(lines(spark, SF_SMALL), ["net"]).first()
     assert report.n_missing == 0 and math.isfinite(report["median"])
+
+
+def test_a_sample_looks_at_whole_rows_near_its_edge_only(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def costly(i):
+        made.add(1)
+        return i * 2
+
+    rows = spark.range(3000).select("id", costly("id").alias("v"))
+    found = {r.id: r.v for r in sampling.sample_n(rows, 5, ["id"]).collect()}
+    assert len(found) == 5 and all(v == 2 * i for i, v in found.items())
+    assert made.value < 300
+    digests = spark.range(3000).select("id", hash_hex(["id"], 42, "sample").alias("h")).orderBy("h").limit(5)
+    assert found.keys() == {r.id for r in digests.collect()}
