@@ -7,7 +7,7 @@ from conftest import SF_SMALL, rows_of
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from quillframe.operators import scaling
+from quillframe.operators import models, scaling
 from quillframe.operators import splitting as ops
 from quillframe.operators.sampling import sample_n
 from quillframe.plans.standins import classed_lines
@@ -118,7 +118,7 @@ def test_cross_validation_scales_on_training_folds_only(table):
 
     def prepare(train, features):
         seen.append({r.id for r in train.collect()})
-        return scaling.scale_and_assemble(train, features)
+        return scaling.scaling.scale_and_assemble(train, features)
 
     df = table([(i, float(i), i % 2) for i in range(40)], "id int, x double, label int")
     ops.cross_validate(df, LogisticRegression(), 4, ["x"], "label", KEY, prepare=prepare)
@@ -146,3 +146,23 @@ def test_a_key_that_many_rows_share_is_divided(spark):
     assert {(r.fold, r.label): r["count"] for r in folds} == {(f, y): 6 - 2 * y for f in range(5) for y in (0, 1)}
     again = ops.stratified_kfold(frame.repartition(3), 5, "label", ["id"])
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, ops.stratified_kfold(frame, 5, "label", ["id"]).collect()))
+
+
+def test_folds_are_kept_without_their_keys(spark):
+    rows = spark.range(60).selectExpr("id", "cast(id % 7 as double) AS a", "cast(id % 2 as int) AS label")
+    seen = []
+
+    def prepare(train, features):
+        seen.append(train.columns)
+        return scaling.scale_and_assemble(train, features)
+
+    folds, _ = ops.cross_validate(rows, models.logistic_estimator, 2, ["a"], "label", ["id"], prepare=prepare)
+    assert folds.count() == 2 and all("id" not in columns for columns in seen)
+
+
+def test_fitted_classes_make_no_digests_again(spark):
+    from quillframe.plans.modelling import fitted_classes
+
+    ready, _ = fitted_classes(spark, SF_SMALL)
+    assert "md5" not in ready._jdf.queryExecution().optimizedPlan().toString()
+    assert ready.count() == 6000
