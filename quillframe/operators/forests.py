@@ -1,9 +1,12 @@
-"""Growing a forest in stages, as MLlib grows one node by node, into an MLlib model.
+"""Growing a forest in stages, as MLlib grows one node by node, and scoring by it.
 
 MLlib's tasks send statistics of every open node, reached by their rows or not, so a forest of deep
 trees costs tasks times nodes. Here only nodes of many rows are split from sums over all tasks. A
 smaller node's rows come together in one task, which grows the tree below it; such a node has at most
 ``TASK_ROWS`` rows of a bootstrap sample, however large the table is.
+
+MLlib also sends the whole forest with every task that scores. Here some rows meet some trees in a
+task, and the votes of a row are added in the order of the trees.
 """
 
 from __future__ import annotations
@@ -15,8 +18,9 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +32,9 @@ TASK_ROWS = 32_768
 PASS_NODES = 4_096
 CHUNK_NODES = 512
 _SAMPLE_ROWS = 10_000
+# Trees and rows that a task scores together.
+SCORED_TREES = 8
+SCORED_ROWS = 65_536
 
 _NODE = (
     "struct<id:int,prediction:double,impurity:double,impurityStats:array<double>,rawCount:bigint,"
@@ -95,6 +102,19 @@ def _row_matrix() -> Callable[[pa.Array, int], np.ndarray]:
     return rows
 
 
+def _binner(cuts: list[np.ndarray]) -> Callable[[pa.Array], np.ndarray]:
+    """Feature arrays as a matrix of bins."""
+
+    def binned(column: pa.Array) -> np.ndarray:
+        x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), len(cuts))
+        bins = np.empty(x.shape, dtype=np.uint8)
+        for i, cut in enumerate(cuts):
+            bins[:, i] = np.searchsorted(cut, x[:, i])
+        return bins
+
+    return binned
+
+
 class _Top:
     """The nodes split by sums over all tasks: per tree, in the order they were made."""
 
@@ -142,7 +162,7 @@ def _points(
     train: DataFrame, label: str, features: str, cuts: list[np.ndarray], trees: int, seed: int
 ) -> DataFrame:
     """Rows as (class, bins, how often each tree draws the row), written once."""
-    d = len(cuts)
+    bins_of = _binner(cuts)
 
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -150,10 +170,7 @@ def _points(
         draws = np.random.default_rng([seed, TaskContext.get().partitionId()])
         for batch in batches:
             n = batch.num_rows
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(n, d)
-            bins = np.empty((n, d), dtype=np.uint8)
-            for i, cut in enumerate(cuts):
-                bins[:, i] = np.searchsorted(cut, x[:, i])
+            bins = bins_of(batch.column(1))
             drawn = np.minimum(draws.poisson(1.0, (n, trees)), 255).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -477,9 +494,135 @@ def _written(estimator: RandomForestClassifier, nodes: DataFrame, d: int, n_clas
     return RandomForestClassificationModel.load(path)
 
 
+def _packed(nodes: DataFrame, n_classes: int, cuts: list[np.ndarray]) -> DataFrame:
+    """One row for each tree, its nodes by id: (tree, left, feature, cut, votes), written once."""
+
+    def packed(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("id").to_numpy())
+        column = lambda name: table.column(name).to_numpy()[order]
+        feature, threshold = column("feature"), column("threshold")
+        cut = np.zeros(len(order), dtype=np.uint8)
+        for f in np.unique(feature[feature >= 0]):
+            cut[feature == f] = np.searchsorted(cuts[f], threshold[feature == f])
+        counts = pa.concat_arrays([c.flatten() for c in table.column("counts").chunks]).to_numpy()
+        counts = counts.reshape(-1, n_classes)[order]
+        total = counts.sum(axis=1, keepdims=True)
+        votes = np.divide(counts, total, out=np.zeros_like(counts), where=total > 0)
+        parts = {"left": column("left"), "feature": feature, "cut": cut, "votes": votes}
+        tree = table.column("tree").slice(0, 1).cast(pa.int32())
+        return pa.table({"tree": tree} | {k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
+
+    shown = nodes.select("tree", "id", "left", "feature", "threshold", "counts")
+    schema = "tree int, left binary, feature binary, cut binary, votes binary"
+    return materialize(shown.groupBy("tree").applyInArrow(packed, schema), "trees")
+
+
+def _votes(rows: DataFrame, trees: DataFrame, n_classes: int, cuts: list[np.ndarray], n_trees: int) -> DataFrame:
+    """(_row, raw): the votes of all trees for the rows (_row, x), added in the order of the trees."""
+    d, bins_of = len(cuts), _binner(cuts)
+    buckets = max(1, -(-rows.count() // SCORED_ROWS))
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, bins = batch.column(0).to_numpy(), bins_of(batch.column(1))
+            for bucket in np.unique(row % buckets).tolist():
+                mine = row % buckets == bucket
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket], pa.int32()),
+                        pa.array([row[mine].tobytes()], pa.binary()),
+                        pa.array([bins[mine].tobytes()], pa.binary()),
+                    ],
+                    names=["bucket", "rows", "bins"],
+                )
+
+    def leaves(bins: np.ndarray, left: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        at, live = np.zeros(len(bins), dtype=np.int32), np.arange(len(bins))
+        while len(live := live[feature[at[live]] >= 0]):
+            node = at[live]
+            at[live] = left[node] + (bins[live, feature[node]] > cut[node])
+        return at
+
+    def scored(part: pa.Table, some: pa.Table) -> pa.Table:
+        joined = lambda c, kind: np.frombuffer(b"".join(part.column(c).to_pylist()), kind)
+        row, bins, some = joined("rows", np.int64), joined("bins", np.uint8).reshape(-1, d), some.sort_by("tree")
+        found = np.empty((len(row), some.num_rows, n_classes))
+        for i, tree in enumerate(some.to_pylist()):
+            votes = np.frombuffer(tree["votes"]).reshape(-1, n_classes)
+            at = leaves(
+                bins, np.frombuffer(tree["left"], np.int32), np.frombuffer(tree["feature"], np.int32),
+                np.frombuffer(tree["cut"], np.uint8),
+            )
+            found[:, i] = votes[at]
+        ends = pa.array(np.arange(len(row) + 1, dtype=np.int32) * some.num_rows)
+        block = np.full(len(row), some.column("block")[0].as_py(), np.int32)
+        shown = {"_row": pa.array(row), "block": pa.array(block)}
+        for c in range(n_classes):
+            shown[f"votes{c}"] = pa.ListArray.from_arrays(ends, pa.array(found[:, :, c].ravel()))
+        return pa.table(shown)
+
+    named = [f"votes{c}" for c in range(n_classes)]
+    blocks = -(-n_trees // SCORED_TREES)
+    to_all = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    parts = rows.mapInArrow(sent, "bucket int, rows binary, bins binary").withColumn("block", to_all(blocks))
+    block = F.floor(F.col("tree") / SCORED_TREES).cast("int")
+    trees = trees.withColumn("block", block).withColumn("bucket", to_all(buckets))
+    schema = ", ".join(["_row long, block int", *[f"{c} array<double>" for c in named]])
+    met = parts.groupBy("block", "bucket").cogroup(trees.groupBy("block", "bucket"))
+    met = met.applyInArrow(scored, schema)
+    met = met.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("block", *named))).alias("met"))
+    add = lambda c: F.aggregate(F.flatten(F.col(f"met.{c}")), F.lit(0.0), lambda a, v: a + v)
+    return met.select("_row", F.array(*[add(c) for c in named]).alias("raw"))
+
+
+class GrownForest(Model):
+    """A forest whose nodes are a table; what is not given here is asked of MLlib's model of them,
+    which is made then."""
+
+    def __init__(
+        self, estimator: RandomForestClassifier, nodes: DataFrame, n_classes: int, cuts: list[np.ndarray]
+    ) -> None:
+        super().__init__()
+        self._estimator, self._nodes, self._n_classes, self._cuts = estimator.copy(), nodes, n_classes, cuts
+        self._trees = _packed(nodes, n_classes, cuts)
+        self._made: list[RandomForestClassificationModel] = []
+
+    @property
+    def mllib(self) -> RandomForestClassificationModel:
+        if not self._made:
+            self._made.append(_written(self._estimator, self._nodes, len(self._cuts), self._n_classes))
+        return self._made[0]
+
+    def __getattr__(self, name: str) -> Any:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return getattr(self.mllib, name)
+
+    def transform(self, dataset: DataFrame, params: dict | None = None) -> DataFrame:
+        own = self._estimator
+        if params or own.isSet(own.thresholds) or own.getLeafCol():
+            return self.mllib.transform(dataset, params)
+        return super().transform(dataset)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        """The rows, written with a number of their own, and MLlib's three columns."""
+        own, said = self._estimator, F.col("raw")
+        rows = materialize(dataset.withColumn("_row", F.monotonically_increasing_id()), "unscored")
+        x = vector_to_array(own.getFeaturesCol()).alias("x")
+        raw = _votes(rows.select("_row", x), self._trees, self._n_classes, self._cuts, own.getNumTrees())
+        total = F.aggregate(said, F.lit(0.0), lambda a, v: a + v)
+        share = F.transform(said, lambda v: F.when(total != 0, F.try_divide(v, total)).otherwise(v))
+        shown = {
+            own.getRawPredictionCol(): array_to_vector(said),
+            own.getProbabilityCol(): array_to_vector(share),
+            own.getPredictionCol(): (F.array_position(said, F.array_max(said)) - 1).cast("double"),
+        }
+        return rows.join(raw, "_row").select(*dataset.columns, *[c.alias(n) for n, c in shown.items()])
+
+
 def grow_forest(
     train: DataFrame, n: int, estimator: RandomForestClassifier, task_rows: int = TASK_ROWS
-) -> RandomForestClassificationModel:
+) -> GrownForest:
     """The forest ``estimator`` asks for, of ``n`` rows whose partitions and order depend on them alone.
 
     Bootstrap samples, cuts at even ranks of a sample, the square root of the columns as candidates of
@@ -555,4 +698,4 @@ def grow_forest(
             "feature", "threshold", "gain", "counts",
         )
         nodes = nodes.unionByName(placed)
-    return _written(estimator, nodes.select(*shown), d, n_classes)
+    return GrownForest(estimator, nodes.select(*shown), n_classes, cuts)

@@ -165,3 +165,22 @@ def test_forest_refuses_missing_and_broken_classes(spark):
         rows = assemble(spark.range(9).selectExpr("cast(id as double) AS a", f"{label} AS label"), ["a"])
         with pytest.raises(Exception):
             models.fit_forest(rows, trees=2)
+
+
+def test_grown_forest_scores_as_mllib_does_and_is_not_sent_whole(spark, monkeypatch):
+    rows = spark.range(700).selectExpr(
+        "id", "cast(id % 37 as double) AS a", "if(id % 50 = 0, double('nan'), cast(id % 23 as double)) AS b",
+        "cast(pmod(xxhash64(id), 3) as int) AS label",
+    )
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep").transform(rows)
+    monkeypatch.setattr(forests, "SCORED_TREES", 3)
+    monkeypatch.setattr(forests, "SCORED_ROWS", 150)
+    forest = models.fit_forest(ready.where("id % 5 > 0"), trees=10)
+    columns = ["rawPrediction", "probability", "prediction"]
+    scored = forest.transform(ready).orderBy("id")
+    assert scored.columns == [*ready.columns, *columns]
+    got = scored.select("id", "label", *columns).collect()
+    assert len(got) == 700 and forest._made == []
+    assert forest.transform(ready.limit(0)).count() == 0
+    assert got == forest.mllib.transform(ready).orderBy("id").select("id", "label", *columns).collect()
+    assert forest.totalNumNodes == forest.mllib.totalNumNodes > 100

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gc
 import math
+import weakref
 
 import pytest
 from conftest import SF_SMALL, rows_of
@@ -166,3 +168,21 @@ def test_fitted_classes_make_no_digests_again(spark):
     ready, _ = fitted_classes(spark, SF_SMALL)
     assert "md5" not in ready._jdf.queryExecution().optimizedPlan().toString()
     assert ready.count() == 6000
+
+
+def test_a_fold_is_scored_before_the_next_is_fitted_and_its_model_is_dropped(spark):
+    rows = spark.range(90).selectExpr("id", "cast(id % 7 as double) AS a", "cast(id % 2 as int) AS label")
+    made, alive = [], []
+
+    class Noted(LogisticRegression):
+        def _fit(self, dataset):
+            gc.collect()
+            alive.append(sum(m() is not None for m in made))
+            model = super()._fit(dataset)
+            made.append(weakref.ref(model))
+            return model
+
+    wanted = ops.cross_validate(rows, LogisticRegression(), 3, ["a"], "label", ["id"])
+    found = ops.cross_validate(rows, Noted(), 3, ["a"], "label", ["id"], at_once=1)
+    assert alive == [0, 0, 0]
+    assert rows_of(found[0]) == rows_of(wanted[0]) and rows_of(found[1]) == rows_of(wanted[1])
