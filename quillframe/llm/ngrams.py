@@ -17,27 +17,31 @@ the other pairs leave less free than that step adds.
 
 Workers probe the whole filter by broadcast as long as it is below a stated size. A larger one stays
 in segments, and the n-grams of the texts are brought to them by shuffle: the same probes, the same
-answers.
+answers. Texts are packed in pieces for that. A piece asks for each of its n-grams once, the answers
+come back in the order asked, without the n-grams, and meet the piece's text; only a part of the pieces
+is on the way at a time.
 """
 
 from __future__ import annotations
 
 import gc
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import Broadcast, SparkContext
+from pyspark import Broadcast, SparkContext, TaskContext
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quillframe.llm.rows import balanced, cut_at_space, identified, words_of
-from quillframe.sources.artifacts import materialize
+from quillframe.llm.rows import balanced, cut_at_space, flat, identified, words_of
+from quillframe.sources.artifacts import brief_shuffles, materialize, shared_path
 
 PROBES = 12
 BITS_PER_ENTRY = 18  # above PROBES / ln 2: under half the bits are set, one false answer in 4,096
@@ -47,6 +51,9 @@ PROBED_AT_ONCE = 1 << 18
 HELD_GRAMS = 1 << 20  # pairs a task counts before it sends them on
 BROADCAST_BYTES = 256 << 20
 PART_BYTES = 16 << 20  # of a broadcast
+PIECE_BYTES = 8 << 20  # of text that asks for its n-grams together
+TURNS = 8  # in which pieces are scored by shuffle, and the text that a turn has at least
+TURN_BYTES = 256 << 20
 MIX = 0.7  # weight of the pair's share in a probability, the rest is the word's own
 
 _END = np.uint64(xxhash.xxh64_intdigest(b"\n", 1))  # no word holds white space
@@ -210,6 +217,18 @@ class LanguageModel:
     bytes: int
 
 
+def _dealt(
+    sets: list[np.ndarray], segments: int
+) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The segments that hold any key of some sets, few of a large corpus's, and for each set its
+    order by segment and where the next segments begin in it."""
+    homes = [(keys % np.uint64(segments)).astype(np.int64) for keys in sets]
+    filled = np.unique(np.concatenate(homes))
+    orders = [np.argsort(home, kind="stable") for home in homes]
+    cuts = [np.searchsorted(home[order], filled[1:]) for home, order in zip(homes, orders)]
+    return filled, list(zip(orders, cuts))
+
+
 def _counted(texts: DataFrame, segments: int) -> DataFrame:
     """(segment, words, word_counts, pairs, pair_counts): what each task has counted."""
 
@@ -218,12 +237,9 @@ def _counted(texts: DataFrame, segments: int) -> DataFrame:
 
         def sent() -> pa.RecordBatch:
             counted = [np.unique(np.concatenate(p), return_counts=True) for p in held]
-            homes = [(keys % np.uint64(segments)).astype(np.int64) for keys, _ in counted]
-            filled = np.unique(np.concatenate(homes))  # a flush holds few of a large corpus's
+            filled, dealt = _dealt([keys for keys, _ in counted], segments)
             columns = [pa.array(filled.astype(np.int32))]
-            for (keys, counts), home in zip(counted, homes, strict=True):
-                order = np.argsort(home, kind="stable")
-                cuts = np.searchsorted(home[order], filled[1:])
+            for (keys, counts), (order, cuts) in zip(counted, dealt, strict=True):
                 for values in (keys.astype("<u8"), counts.astype("<u4")):
                     split = np.split(values[order], cuts)
                     columns.append(pa.array([x.tobytes() for x in split], pa.binary()))
@@ -286,7 +302,8 @@ def train(texts: DataFrame, text: str = "text") -> LanguageModel:
         "segment int, keys binary, counts binary, filter binary, bits long, total long, distinct long"
     )
     counted = _counted(plain, segments)
-    built = materialize(counted.groupBy("segment").applyInArrow(build, schema), "model")
+    with brief_shuffles(texts.sparkSession):
+        built = materialize(counted.groupBy("segment").applyInArrow(build, schema), "model")
     sums = built.agg(
         F.sum("total"),
         F.sum("distinct"),
@@ -437,82 +454,164 @@ def _field(rows: DataFrame) -> str:
     return f"`{rows.columns[0]}` {rows.schema[0].dataType.simpleString()}"
 
 
-def _score_by_shuffle(named: DataFrame, key: str, model: LanguageModel) -> DataFrame:
-    """(``key``, ...) for rows (uid, key, text): n-grams are brought to the segments that hold them.
+def _pieces(rows: DataFrame) -> DataFrame:
+    """Rows (uid, key, text) packed and written once: (piece, uids, keys, texts, start, ends, size, turn).
 
-    Rows are read twice and must have the same uid each time.
+    A text longer than a piece is cut into several, which are alone in theirs. ``start`` is the key
+    before the first token, and ``ends`` says whether the last text does.
     """
-    segments, floor = model.segments, float(model.total + model.distinct + 1)
-    spare = room(model.distinct)
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for row, keys, before in token_runs(batch.column(2)):
-                values = (keys, before, pair_keys(before, keys))
+            items = [*balanced(batch.column(2), PIECE_BYTES, cut_at_space)]
+            start = _END
+            for i, (numbers, texts) in enumerate(items):
+                ends = i + 1 == len(items) or items[i + 1][0][0] != numbers[-1]
+                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(pa.array(row)),
-                        *[pa.array(v.astype(np.uint64).view(np.int64)) for v in values],
+                        pa.array([(task << 33) + made], pa.int64()),
+                        *[one(batch.column(c).slice(numbers[0], len(numbers))) for c in (0, 1)],
+                        one(texts),
+                        pa.array(np.array([start], np.uint64).view(np.int64)),
+                        pa.array([ends]),
+                        pa.array([texts.nbytes], pa.int64()),
+                        pa.array([(task + made) % TURNS], pa.int32()),
                     ],
-                    names=["uid", "own", "before", "pair"],
+                    names=schema.names,
                 )
-
-    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                made += 1
+                words = [_END] if ends else word_keys(texts)[1][:-1]
+                start = words[-1] if len(words) else start
+
+    schema = T.StructType(
+        [
+            T.StructField("piece", T.LongType()),
+            T.StructField("uids", T.ArrayType(rows.schema[0].dataType)),
+            T.StructField("keys", T.ArrayType(rows.schema[1].dataType)),
+            T.StructField("texts", T.ArrayType(T.StringType())),
+            T.StructField("start", T.LongType()),
+            T.StructField("ends", T.BooleanType()),
+            T.StructField("size", T.LongType()),
+            T.StructField("turn", T.IntegerType()),
+        ]
+    )
+    path = shared_path(rows.sparkSession, "pieces")
+    # A row is large, so that groups of rows are looked at after each.
+    options = {
+        "compression": "zstd",
+        "parquet.block.size": 2 * PIECE_BYTES,
+        "parquet.block.size.row.check.min": 1,
+        "parquet.page.size.row.check.min": 1,
+    }
+    rows.mapInArrow(packed, schema).write.partitionBy("turn").options(**options).parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
+def _opened(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """For each piece its place, and (text number, key, key before) of its tokens."""
+    ends, texts = flat(batch.column("texts"))
+    for i, (start, whole) in enumerate(zip(batch["start"].to_pylist(), batch["ends"].to_pylist())):
+        runs = [*token_runs(texts.slice(ends[i], ends[i + 1] - ends[i]))]
+        row, keys, before = (np.concatenate(x) for x in zip(*runs, strict=True))
+        before[0] = np.int64(start).view(np.uint64)
+        upto = len(keys) if whole else len(keys) - 1
+        yield i, [row[:upto], keys[:upto], before[:upto]]
+
+
+def _score_by_shuffle(rows: DataFrame, key: str, model: LanguageModel) -> DataFrame:
+    """(``key``, ...) for rows (uid, key, text): n-grams are brought to the segments that hold them."""
+    segments, total, distinct = model.segments, model.total, model.distinct
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.unique(np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.columns]))
-            home = (keys.view(np.uint64) % np.uint64(segments)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(home), pa.array(keys)], names=["segment", "gram"])
+            for i, (_, keys, before) in _opened(batch):
+                sets = [np.unique(np.concatenate([keys, before])), np.unique(pair_keys(before, keys))]
+                filled, dealt = _dealt(sets, segments)
+                if not len(filled):
+                    continue
+                columns = [
+                    pa.array(filled.astype(np.int32)),
+                    pa.array(np.full(len(filled), batch["piece"][i].as_py())),
+                ]
+                for grams, (order, cuts) in zip(sets, dealt, strict=True):
+                    split = np.split(grams.astype("<u8")[order], cuts)
+                    columns.append(pa.array([x.tobytes() for x in split], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=["segment", "piece", "words", "pairs"])
 
     def answered(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys = left["gram"].to_numpy().view(np.uint64)
         held = right.to_pylist()
         grams = Filter(segments, {r["segment"]: (r["filter"], r["bits"]) for r in held})
         counts = WordCounts([(r["keys"], r["counts"]) for r in held])
+
+        def told(column: str, of: Callable[[np.ndarray], np.ndarray], kind: str) -> pa.Array:
+            parts = [np.frombuffer(x, "<u8") for x in left[column].to_pylist()]
+            if not parts:
+                return pa.array([], pa.binary())
+            known, back = np.unique(np.concatenate(parts), return_inverse=True)
+            found = of(known).astype(kind)[back]
+            split = np.split(found, np.cumsum([len(x) for x in parts[:-1]]))
+            return pa.array([x.tobytes() for x in split], pa.binary())
+
         return pa.table(
             {
-                "gram": left["gram"],
-                "q": pa.array(grams.probe(keys).astype(np.int32)),
-                "n": pa.array(counts.of(keys)),
+                "piece": left["piece"],
+                "segment": left["segment"],
+                "n": told("words", counts.of, "<i8"),
+                "q": told("pairs", grams.probe, "i1"),
             }
         )
 
-    spread = materialize(
-        named.mapInArrow(tokens, "uid long, own long, before long, pair long")
-        .groupBy("uid", "own", "before", "pair")
-        .agg(F.count("*").alias("times")),
-        "tokens",
-    )
-    asked = spread.select("own", "before", "pair").mapInArrow(homes, "segment int, gram long")
-    answers = (
-        asked.distinct()
-        .groupBy("segment")
-        .cogroup(model.tables.groupBy("segment"))
-        .applyInArrow(answered, "gram long, q int, n long")
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("segment")
+        parts = []
+        for batch in right.to_batches():
+            for i, (row, keys, before) in _opened(batch):
+                words, word = np.unique(np.concatenate([keys, before]), return_inverse=True)
+                pairs, pair = np.unique(pair_keys(before, keys), return_inverse=True)
+                _, dealt = _dealt([words, pairs], segments)
+                found = []
+                for column, kind, (order, _) in zip("nq", ("<i8", "i1"), dealt, strict=True):
+                    values = np.empty(len(order), kind)
+                    values[order] = np.frombuffer(b"".join(left[column].to_pylist()), kind)
+                    found.append(values)
+                count, q = found[0][word], found[1][pair]
+                own, ahead = count[: len(keys)], count[len(keys) :]
+                uids, names = (batch[c].slice(i, 1).flatten() for c in ("uids", "keys"))
+                sums = _scores(row, len(uids), own, ahead, q, total, distinct)
+                parts.append(pa.Table.from_arrays([uids, names, *map(pa.array, sums)], shown.names))
+        return pa.concat_tables(parts)
+
+    pieces = _pieces(rows)
+    size = pieces.agg(F.sum("size")).first()[0] or 0
+    turns = max(1, min(TURNS, size // TURN_BYTES))
+    shown = T.StructType(
+        [
+            T.StructField("uid", rows.schema[0].dataType),
+            T.StructField("key", rows.schema[1].dataType),
+            *T._parse_datatype_string(RESULT).fields,
+        ]
     )
-    answers = materialize(answers, "answers")
-    joined = spread
-    for name in ("own", "before", "pair"):
-        joined = joined.join(
-            answers.select(
-                F.col("gram").alias(f"_{name}"), F.col("q").alias(f"q_{name}"), F.col("n").alias(f"n_{name}")
-            ),
-            F.col(name) == F.col(f"_{name}"),
+    done = []
+    for turn in range(turns):
+        part = pieces.where(F.col("turn") % turns == turn).drop("size", "turn")
+        wanted = part.select("piece", "texts", "start", "ends").mapInArrow(
+            asked, "segment int, piece long, words binary, pairs binary"
         )
-    # As ``probabilities`` has it.
-    least = F.when(F.col("q_pair") > 0, F.pow(F.lit(2.0), F.col("q_pair") - 1)).otherwise(0.0)
-    seen = F.least(least, F.col("n_own"), F.col("n_before"))
-    alone = (F.col("n_own") + 1) / floor
-    mixed = MIX * seen / (F.col("n_before") + spare) + (1 - MIX) * alone
-    likely = F.when(F.col("n_before") > 0, mixed).otherwise(alone)
-    sums = joined.groupBy(F.col("uid").alias("_uid")).agg(
-        F.sum("times").alias("n_tokens"),
-        F.sum(F.when(F.col("n_own") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("times") * F.log10(alone)).alias("base_score"),
-        F.sum(F.col("times") * F.log10(likely)).alias("score"),
-    )
-    return named.join(sums, F.col("uid") == F.col("_uid")).select(
-        F.col("key").alias(key), "n_tokens", "n_known", "base_score", "score"
-    )
+        answers = (
+            wanted.groupBy("segment")
+            .cogroup(model.tables.groupBy("segment"))
+            .applyInArrow(answered, "piece long, segment int, n binary, q binary")
+        )
+        sums = answers.groupBy("piece").cogroup(part.groupBy("piece")).applyInArrow(scored, shown)
+        with brief_shuffles(rows.sparkSession):
+            done.append(materialize(sums, "scores"))
+    whole = reduce(DataFrame.unionAll, done).groupBy("uid")  # a cut text has a row for each piece
+    return whole.agg(
+        F.first("key").alias(key),
+        *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")],
+    ).drop("uid")
 
 
 def score(
@@ -534,6 +633,5 @@ def score(
         "uid", row[key].alias("key"), F.coalesce(row[text], F.lit("")).alias("_text")
     )
     if model.bytes > most:
-        # Read again, and to meet the same numbers then.
-        return _score_by_shuffle(materialize(rows, "numbered"), key, model)
+        return _score_by_shuffle(rows, key, model)
     return _score_by_broadcast(rows.select(F.col("key").alias(key), "_text"), model)

@@ -8,6 +8,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,11 @@ import pyarrow.parquet as pq
 import pytest
 import regex
 from odd_tables import SF_SMALL, documents, none, odd, texts  # noqa: F401
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quillframe.llm import licences, ngrams, quality, queries, token_files, tokens
+from quillframe.sources import artifacts
 
 BYTES, WORDS = (queries.tokenizer_file(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -505,6 +508,52 @@ def test_lm_in_parts_scores_as_in_one(odd, monkeypatch):
     assert runs[0] == runs[1] and len(runs[0]) == odd.count()
 
 
+@pytest.mark.parametrize("piece_bytes", [1_000, 1 << 20])
+def test_lm_pieces_in_turns_score_as_by_broadcast(odd, monkeypatch, piece_bytes):
+    monkeypatch.setattr(ngrams, "SEGMENT_BYTES", 4_000_000)
+    few = odd.withColumn("text", F.substring("text", 1, 20_000)).repartition(3)
+    model = ngrams.train(few)
+    wanted = ngrams.score(few, model).collect()
+    monkeypatch.setattr(ngrams, "PIECE_BYTES", piece_bytes)
+    monkeypatch.setattr(ngrams, "TURN_BYTES", 5_000)  # long texts are cut, over several turns
+    found = ngrams.score(few, model, most=0)
+    assert found.schema == ngrams.score(few, model).schema
+    in_order = lambda rows: sorted(map(tuple, rows), key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+    wanted, found = in_order(wanted), in_order(found.collect())
+    assert [r[:3] for r in found] == [r[:3] for r in wanted]
+    assert np.allclose([r[3:] for r in found], [r[3:] for r in wanted], rtol=1e-12)
+
+
+def test_lm_by_shuffle_keeps_little_on_disk(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(11)
+    vocab = np.array([f"word{i}" for i in range(20_000)])
+    lines = [" ".join(vocab[rng.integers(0, 20_000, 400)]) for _ in range(600)]
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    model = ngrams.train(docs)
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        files = [files.apply(i) for i in range(files.size())]
+        return sum(f.length() for f in files if f.getName().startswith("shuffle_"))
+
+    written = []
+    first, kept = shuffled(), artifacts.shared_path
+
+    def noted(spark, name):
+        written.append(kept(spark, name))
+        return written[-1]
+
+    monkeypatch.setattr(artifacts, "shared_path", noted)
+    monkeypatch.setattr(ngrams, "shared_path", noted, raising=False)
+    assert ngrams.score(docs, model, most=0).count() == 600
+    on_disk = sum(f.stat().st_size for p in written for f in Path(p.removeprefix("file:")).rglob("*.parquet"))
+    time.sleep(1)
+    text = sum(map(len, lines))
+    assert shuffled() - first + on_disk < text
+
+
 def test_long_text_is_one_text(monkeypatch):
     text = "ab cd ef gh ij " * 50
     whole = list(ngrams.token_runs(pa.array(["x y", text, "z"])))
