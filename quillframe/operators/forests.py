@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -495,7 +496,8 @@ def _written(estimator: RandomForestClassifier, nodes: DataFrame, d: int, n_clas
 
 
 def _packed(nodes: DataFrame, n_classes: int, cuts: list[np.ndarray]) -> DataFrame:
-    """One row for each tree, its nodes by id: (tree, left, feature, cut, votes), written once."""
+    """One row for each tree, its nodes by id: (tree, left, feature, cut, votes), and what its splits by
+    each column lower impurity (lowered), written once."""
 
     def packed(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("id").to_numpy())
@@ -508,12 +510,17 @@ def _packed(nodes: DataFrame, n_classes: int, cuts: list[np.ndarray]) -> DataFra
         counts = counts.reshape(-1, n_classes)[order]
         total = counts.sum(axis=1, keepdims=True)
         votes = np.divide(counts, total, out=np.zeros_like(counts), where=total > 0)
-        parts = {"left": column("left"), "feature": feature, "cut": cut, "votes": votes}
+        inner = feature >= 0
+        lowered = np.bincount(feature[inner], column("gain")[inner] * total[inner, 0], len(cuts))
+        parts = {
+            "left": column("left"), "feature": feature, "cut": cut, "votes": votes,
+            "lowered": lowered.astype(float),
+        }
         tree = table.column("tree").slice(0, 1).cast(pa.int32())
         return pa.table({"tree": tree} | {k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
 
-    shown = nodes.select("tree", "id", "left", "feature", "threshold", "counts")
-    schema = "tree int, left binary, feature binary, cut binary, votes binary"
+    shown = nodes.select("tree", "id", "left", "feature", "threshold", "gain", "counts")
+    schema = "tree int, left binary, feature binary, cut binary, votes binary, lowered binary"
     return materialize(shown.groupBy("tree").applyInArrow(packed, schema), "trees")
 
 
@@ -566,7 +573,7 @@ def _votes(rows: DataFrame, trees: DataFrame, n_classes: int, cuts: list[np.ndar
     to_all = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     parts = rows.mapInArrow(sent, "bucket int, rows binary, bins binary").withColumn("block", to_all(blocks))
     block = F.floor(F.col("tree") / SCORED_TREES).cast("int")
-    trees = trees.withColumn("block", block).withColumn("bucket", to_all(buckets))
+    trees = trees.drop("lowered").withColumn("block", block).withColumn("bucket", to_all(buckets))
     schema = ", ".join(["_row long, block int", *[f"{c} array<double>" for c in named]])
     met = parts.groupBy("block", "bucket").cogroup(trees.groupBy("block", "bucket"))
     met = met.applyInArrow(scored, schema)
@@ -593,6 +600,17 @@ class GrownForest(Model):
             self._made.append(_written(self._estimator, self._nodes, len(self._cuts), self._n_classes))
         return self._made[0]
 
+    @property
+    def featureImportances(self) -> SparseVector:
+        """As MLlib has them: a column's part of what a tree's splits lower impurity, its mean over the
+        trees. The driver sees a number for each tree and column, no nodes."""
+        each = self._trees.select("tree", "lowered").orderBy("tree").collect()
+        lowered = np.array([np.frombuffer(r["lowered"]) for r in each])
+        whole = lowered.sum(axis=1, keepdims=True)
+        found = np.divide(lowered, whole, out=np.zeros_like(lowered), where=whole != 0).sum(axis=0)
+        found = found / (found.sum() or 1.0)
+        return Vectors.sparse(len(found), np.flatnonzero(found), found[found != 0])
+
     def __getattr__(self, name: str) -> Any:
         if name.startswith("_"):
             raise AttributeError(name)

@@ -160,6 +160,24 @@ def test_tree_splits_where_the_classes_part(spark):
         assert forest.featureImportances.toArray().tolist() == [1.0, 0.0]
 
 
+def test_importances_of_a_grown_forest_load_no_nodes(spark, monkeypatch):
+    rows = spark.range(500).selectExpr(
+        "cast(id % 37 as double) AS a", "cast(id % 23 as double) AS b", "0.0D AS c",
+        "cast(xxhash64(id) % 3 = 0 or id % 37 > 20 as int) AS label",
+    )
+    forest = models.fit_forest(assemble(rows, ["a", "b", "c"]), trees=7)
+    wanted = forest.mllib.featureImportances
+    forest._made.clear()
+    monkeypatch.setattr(forests, "_written", lambda *_: pytest.fail("the nodes were taken to the driver"))
+    found = forest.featureImportances
+    assert found.size == wanted.size and np.allclose(found.toArray(), wanted.toArray(), rtol=1e-12)
+    assert found.toArray()[2] == 0 and found.toArray()[0] > found.toArray()[1] > 0
+    ranked = models.feature_importance(spark, forest, ["a", "b", "c"], 2).collect()
+    assert [r.feature for r in ranked] == ["a", "b"]
+    pure = assemble(rows.withColumn("label", F.lit(1)), ["a", "b", "c"])  # trees without a split
+    assert models.fit_forest(pure, trees=2).featureImportances.toArray().tolist() == [0.0, 0.0, 0.0]
+
+
 def test_forest_refuses_missing_and_broken_classes(spark):
     for label in ("if(id = 3, null, 1)", "id + 0.5", "-1"):
         rows = assemble(spark.range(9).selectExpr("cast(id as double) AS a", f"{label} AS label"), ["a"])
